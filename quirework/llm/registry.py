@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from .mixing import OP3_SQL, op3_mixing
+from .sharding import op2_sharding
 from .substring_dedup import OP1_SQL, op1_substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_sharding": op2_sharding,
+    "op3_mixing": op3_mixing,
 }
 
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
+    "op3_mixing": OP3_SQL,
 }
