@@ -5,11 +5,13 @@ from __future__ import annotations
 from .mixing import OP3_SQL, op3_mixing
 from .sharding import op2_sharding
 from .substring_dedup import OP1_SQL, op1_substring_dedup
+from .token_files import op5_token_files
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
+    "op5_token_files": op5_token_files,
 }
 
 ORACLE_SQL = {
