@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .bpe import op6_bpe
+from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .mixing import OP3_SQL, op3_mixing
 from .sharding import op2_sharding
 from .substring_dedup import OP1_SQL, op1_substring_dedup
@@ -12,9 +14,12 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
     "op5_token_files": op5_token_files,
+    "op6_bpe": op6_bpe,
+    "op8_embedding_dedup": op8_embedding_dedup,
 }
 
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op3_mixing": OP3_SQL,
+    "op8_embedding_dedup": OP8_SQL,
 }
