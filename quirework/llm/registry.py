@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .audio_features import op9_audio_features
 from .bpe import op6_bpe
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .mixing import OP3_SQL, op3_mixing
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_audio_features": op9_audio_features,
 }
 
 ORACLE_SQL = {
