@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, spread, text_slices, written
+from .common import Table, documents, spread, text_slices, written
 from .vocabularies import tokenizer_path
 
 LEXICON = 1 << 16
@@ -243,30 +243,6 @@ class Lexicon:
         return np.where(fits & (lengths > 0) & self.final[state], number, -1)
 
 
-class Table(dict):
-    """Numbers for keys as they come, and an array of ids for each."""
-
-    def __init__(self):
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.new: list = []
-        self.flat, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def __missing__(self, key):
-        self[key] = at = len(self)
-        self.new.append(key)
-        return at
-
-    def learn(self, flat: np.ndarray, counts: np.ndarray) -> None:
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-        self.counts, self.flat, self.new = np.concatenate([self.counts, counts]), np.concatenate([self.flat, flat.astype(np.int32)]), []
-
-    def ids(self, at: np.ndarray) -> np.ndarray:
-        return self.flat[spread(self.starts[at], self.counts[at])]
-
-
 _MERGES: dict[str, Merges] = {}
 
 
