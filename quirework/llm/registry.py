@@ -5,6 +5,7 @@ from __future__ import annotations
 from .audio_features import op9_audio_features
 from .bpe import op6_bpe
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
+from .minhash_dedup import OP10_SQL, op10_minhash_dedup
 from .mixing import OP3_SQL, op3_mixing
 from .sharding import op2_sharding
 from .substring_dedup import OP1_SQL, op1_substring_dedup
@@ -18,10 +19,12 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_audio_features": op9_audio_features,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
 
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op3_mixing": OP3_SQL,
     "op8_embedding_dedup": OP8_SQL,
+    "op10_minhash_dedup": OP10_SQL,
 }
