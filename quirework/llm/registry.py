@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .attention_lm import op7_lm_scores
 from .audio_features import op9_audio_features
 from .bpe import op6_bpe
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .minhash_dedup import OP10_SQL, op10_minhash_dedup
 from .mixing import OP3_SQL, op3_mixing
+from .quality import op4_quality
 from .sharding import op2_sharding
 from .substring_dedup import OP1_SQL, op1_substring_dedup
 from .token_files import op5_token_files
@@ -15,8 +17,10 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
+    "op7_lm_scores": op7_lm_scores,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_audio_features": op9_audio_features,
     "op10_minhash_dedup": op10_minhash_dedup,
