@@ -1,12 +1,519 @@
-"""The registered queries over the driver's tables, with the SQL that gives the same rows."""
+"""The registered queries over the driver's tables, with the SQL that gives the same rows.
+
+Roles of the tables: conversations are objects whose turns are pages; documents are page texts with an expected language and a
+source as group; events are a review log; labels are verified outcomes; orders, customers and parts are a large catalogue.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import rules, similarity, text
+from ..operators import catalogue as cat
+from ..operators import layout, pages, readings, review
 
-QUERIES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet").groupBy("conv_id").count()
+def query(sql: str | None = None):
+    def add(f):
+        name = f.__name__.removeprefix("q_")
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("object_id"), F.col("turn").alias("pos"), "role", "text")
+
+
+def _words(c: str) -> str:
+    return rf"list_filter(string_split_regex(coalesce({c}, ''), '\s+'), lambda x: x <> '')"
+
+
+def _normalize(c: str) -> str:
+    s = f"replace({c}, chr(13) || chr(10), chr(10))"
+    s = rf"regexp_replace({s}, '[^\S\n]+(\n|\z)', '\1', 'g')"
+    s = rf"regexp_replace({s}, '[^\S\n]+', ' ', 'g')"
+    s = f"replace(replace(replace(replace({s}, '-' || chr(10), ''), chr(10) || chr(10), chr(1)), chr(10), ' '), chr(1), chr(10))"
+    for p, k in ((r"~~(.*?)~~", r"\1"), (r"\{(.*?)\}", r"\1"), (r"\[Stempel:\s*(.+?)\]", r"\1"), (r"\[Marginalie:\]", ""), (r"\[\.\.\.(?:\d+\.\.\.)?\]", ""), (r"\[\?\]", "")):
+        s = f"regexp_replace({s}, '{p}', '{k}', 'g')"
+    s = rf"regexp_replace(regexp_replace({s}, '[^\S\n]+', ' ', 'g'), ' *\n *', chr(10), 'g')"
+    return rf"regexp_replace({s}, '^\s+|\s+\z', '', 'g')"
+
+
+def _tight(s: str) -> str:
+    return rf"regexp_replace(regexp_replace({s}, '\s+([.,;:!?])', '\1', 'g'), '^\s+|\s+\z', '', 'g')"
+
+
+def _flat(c: str) -> str:
+    return _tight(rf"regexp_replace({_normalize(c)}, '\s+', ' ', 'g')")
+
+
+def _orderless(c: str) -> str:
+    lines = rf"list_transform(string_split({_normalize(c)}, chr(10)), lambda l: regexp_replace(regexp_replace(l, '\s+', ' ', 'g'), '^\s+|\s+\z', '', 'g'))"
+    return _tight(f"array_to_string(list_sort(list_filter({lines}, lambda l: length(l) >= 5)), ' ')")
+
+
+def _ascii(c: str) -> str:
+    return f"regexp_replace({c}, '[^\\x00-\\x7F]', '?', 'g')"
+
+
+def plain_ascii(c):
+    """Edit distances count characters here and bytes in the other engine; on ASCII they agree."""
+    return F.regexp_replace(c, r"[^\x00-\x7F]", "?")
+
+
+def _jaccard(a: str, b: str) -> str:
+    return f"CASE WHEN len({a}) > 0 AND len({b}) > 0 THEN len(list_intersect({a}, {b})) / CAST(len(list_distinct(list_concat({a}, {b}))) AS DOUBLE) ELSE 0.0 END"
+
+
+def _stopwords(runs: str) -> dict[str, str]:
+    return {lang: f"len(list_intersect({runs}, [{', '.join(repr(w) for w in words)}]))" for lang, words in rules.STOPWORDS.items()}
+
+
+def _language(c: str) -> str:
+    runs = f"list_distinct(regexp_extract_all(lower({c}), '[a-zäöüàâéèêëïîôùûç]+'))"
+    h = _stopwords(runs)
+    best = f"greatest({', '.join(h.values())})"
+    return f"CASE WHEN {best} < 3 THEN '' " + " ".join(f"WHEN {n} = {best} THEN '{k}'" for k, n in h.items()) + " END"
+
+
+TURN = "SELECT conv_id AS object_id, turn AS pos, role, coalesce(text, '') AS text FROM conversations"
+TYPED = rf"SELECT *, CASE WHEN regexp_replace(text, '^\s+|\s+\z', '', 'g') = '' THEN 'blank' ELSE 'content' END AS type, length(text) AS chars, len({_words('text')}) AS words FROM ({TURN})"
+SIGNALS = f"""
+WITH p AS ({TYPED}),
+s AS (SELECT object_id, sum(chars)::BIGINT AS total_chars, sum(words)::BIGINT AS total_words, count(*) AS pages, count(*) FILTER (type = 'content' AND chars > 0) AS total_pages,
+  count(*) FILTER (type = 'blank') AS blank_pages, array_to_string(list(chars ORDER BY pos), ',') AS chars_per_page, round_even(coalesce(median(chars) FILTER (type = 'content' AND chars > 0), 0), 1)::DOUBLE AS med,
+  {_language("string_agg(text, ' ' ORDER BY pos)")} AS language_detected FROM p GROUP BY object_id),
+a AS (SELECT p.object_id, count(*) AS n FROM p JOIN s USING (object_id) WHERE type = 'content' AND chars > 0 AND chars < med * 0.1 GROUP BY p.object_id)
+"""
+
+
+@query(SIGNALS + "SELECT s.*, coalesce(n, 0) AS anomalies FROM s LEFT JOIN a USING (object_id)")
+def q_agg_signals(spark, d):
+    s = pages.signals(pages.typed(turns(spark, d)))
+    return s.select("object_id", "total_chars", F.col("total_words").cast("long").alias("total_words"), "pages", "total_pages", "blank_pages", F.array_join(F.transform("chars_per_page", lambda c: c.cast("string")), ",").alias("chars_per_page"), F.col("chars_per_page_median").alias("med"), "language_detected", F.size("page_length_anomalies").cast("long").alias("anomalies"))
+
+
+def _reviewed(spark, d) -> DataFrame:
+    rows = turns(spark, d)
+    first = rows.where("pos = 0").select("object_id", F.col("role").alias("group"))
+    objects = first.select("object_id", F.lit("en").alias("language"), F.lit(None).cast("long").alias("images"))
+    s = pages.signals(pages.typed(rows), objects)
+    return s.join(first, "object_id").withColumns({"collection": F.when(F.col("total_pages") > 4, "long").otherwise("short"), "confidence": F.when(F.col("total_words") < 100, "low").otherwise("high")})
+
+
+REVIEWED = f"""{SIGNALS},
+r AS (SELECT s.*, coalesce(n, 0) > 0 AS r1, language_detected NOT IN ('', 'en') AND total_words >= 50 AS r3, role AS grp, CASE WHEN total_pages > 4 THEN 'long' ELSE 'short' END AS collection,
+  CASE WHEN total_words < 100 THEN 'low' ELSE 'high' END AS confidence FROM s LEFT JOIN a USING (object_id) JOIN p ON p.object_id = s.object_id AND p.pos = 0),
+e AS (SELECT grp, 'page_length_anomaly' AS reason FROM r WHERE r1 UNION ALL SELECT grp, 'language_mismatch' FROM r WHERE r3)
+"""
+
+
+@query(f"{REVIEWED} SELECT object_id, grp, collection, confidence, r1 OR r3 AS needs_review, concat_ws(',', CASE WHEN r1 THEN 'page_length_anomaly' END, CASE WHEN r3 THEN 'language_mismatch' END) AS reasons FROM r")
+def q_needs_review(spark, d):
+    return _reviewed(spark, d).select("object_id", F.col("group").alias("grp"), "collection", "confidence", "needs_review", F.array_join("needs_review_reasons", ",").alias("reasons"))
+
+
+flagship = q_needs_review
+
+
+@query(f"""{REVIEWED}
+SELECT 'all' AS grain, '' AS key, count(*) AS n, count(*) FILTER (r1 OR r3) AS flagged FROM r
+UNION ALL SELECT 'group', grp, count(*), count(*) FILTER (r1 OR r3) FROM r GROUP BY grp
+UNION ALL SELECT 'collection', collection, count(*), count(*) FILTER (r1 OR r3) FROM r GROUP BY collection
+UNION ALL SELECT 'confidence', confidence, count(*), count(*) FILTER (r1 OR r3) FROM r GROUP BY confidence
+UNION ALL SELECT 'reason', reason, count(*), count(*) FROM e GROUP BY reason
+UNION ALL SELECT 'group_reason', grp || '/' || reason, count(*), count(*) FROM e GROUP BY grp, reason""")
+def q_agg_quality_report(spark, d):
+    return pages.quality_report(_reviewed(spark, d))
+
+
+@query(f"{REVIEWED} SELECT grp, reason, n, nth FROM (SELECT grp, reason, count(*) AS n, row_number() OVER (PARTITION BY grp ORDER BY count(*) DESC, reason)::INT AS nth FROM e GROUP BY grp, reason) WHERE nth <= 3")
+def q_agg_top_reasons(spark, d):
+    return pages.top_reasons(_reviewed(spark, d)).withColumnRenamed("group", "grp")
+
+
+@query(f"""WITH p AS (SELECT *, list_distinct({_words('lower(text)')}) AS bag FROM ({TYPED}) WHERE type = 'content' AND length(trim(text)) > 50)
+SELECT a.object_id, a.pos AS i, b.pos AS j FROM p a JOIN p b ON a.object_id = b.object_id AND a.pos < b.pos WHERE {_jaccard('a.bag', 'b.bag')} > 0.9""")
+def q_jn_page_pairs(spark, d):
+    return pages.duplicate_pairs(pages.typed(turns(spark, d)))
+
+
+@query(f"""WITH p AS (SELECT object_id, pos + 1 AS page_no, text FROM ({TURN})), n AS (SELECT object_id, max(page_no) AS n FROM p GROUP BY 1),
+k AS (SELECT * FROM p WHERE page_no % 3 <> 2), h AS (SELECT object_id, count(*) AS have, max(page_no) AS most FROM k GROUP BY 1), g AS (SELECT * FROM h JOIN n USING (object_id)),
+l AS (SELECT object_id, unnest(range(1, n + 1)) AS page_no FROM g WHERE n <> have AND most > have), t AS (SELECT object_id, unnest(range(have + 1, n + 1)) AS page_no FROM g WHERE n <> have AND most <= have AND n > have)
+SELECT object_id, page_no::INT AS page_no, text FROM k WHERE object_id NOT IN (SELECT object_id FROM l)
+UNION ALL SELECT l.object_id, l.page_no::INT, coalesce(k.text, '') FROM l LEFT JOIN k ON k.object_id = l.object_id AND k.page_no = l.page_no
+UNION ALL SELECT object_id, page_no::INT, '' FROM t""")
+def q_win_fill_missing(spark, d):
+    rows = turns(spark, d).select("object_id", "pos", (F.col("pos") + 1).alias("page_no"), F.coalesce("text", F.lit("")).alias("text"))
+    return pages.fill_missing(rows.where("page_no % 3 != 2"), rows.groupBy("object_id").agg(F.max("page_no").alias("n")))
+
+
+@query(f"SELECT doc_id, md5({_normalize('text')}) AS normal, md5({_flat('text')}) AS flat, md5({_orderless('text')}) AS orderless FROM documents")
+def q_fn_normalize_text(spark, d):
+    md5 = lambda c: F.md5(c.cast("binary"))
+    return table(spark, d, "documents").select("doc_id", md5(text.normalize("text")).alias("normal"), md5(text.normalize_flat("text")).alias("flat"), md5(text.normalize_orderless("text")).alias("orderless"))
+
+
+@query(f"""SELECT doc_id, len({_words('text')})::INT AS words, len(list_distinct({_words('lower(text)')}))::INT AS distinct_words, len(list_distinct(regexp_extract_all(lower(text), '[a-zäöüàâéèêëïîôùûç]+')))::INT AS letter_runs,
+len(regexp_extract_all(text, '\\[\\?\\]'))::INT AS doubtful, len(regexp_extract_all(text, '\\[\\.\\.\\..*?\\]'))::INT AS illegible FROM documents""")
+def q_fn_tokens(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.word_count("text").alias("words"), F.size(text.word_set("text")).alias("distinct_words"), F.size(text.letter_runs("text")).alias("letter_runs"), text.doubtful_marks("text").alias("doubtful"), text.illegible_marks("text").alias("illegible"))
+
+
+@query(f"""WITH l AS (SELECT *, {_language('text')} AS detected, CASE WHEN lang IN ('de', 'fr', 'en') THEN lang ELSE '' END AS expected FROM documents)
+SELECT source, expected, detected, count(*) AS n, count(*) FILTER (expected <> '' AND detected <> '' AND expected <> detected AND len({_words('text')}) >= 50) AS mismatches FROM l GROUP BY 1, 2, 3""")
+def q_sim_detect_language(spark, d):
+    rows = table(spark, d, "documents").withColumns({"detected": rules.detect_language(F.col("text")), "expected": text.language_key("lang")})
+    other = (F.col("expected") != "") & (F.col("detected") != "") & (F.col("expected") != F.col("detected")) & (text.word_count("text") >= 50)
+    return rows.groupBy("source", "expected", "detected").agg(F.count("*").alias("n"), F.count_if(other).alias("mismatches"))
+
+
+def _variant(c):
+    """A second reading: lower case, and each 'th' read as 't'."""
+    return F.regexp_replace(F.lower(c), "th", "t")
+
+
+def _readings(spark, d):
+    rows = pages.typed(turns(spark, d).withColumn("text", plain_ascii("text")))
+    return rows, rows.withColumn("text", _variant(F.col("text")))
+
+
+VARIANT = "regexp_replace(lower(text), 'th', 't', 'g')"
+ALIGNED = f"WITH p AS (SELECT object_id, pos, type, {_ascii('text')} AS text FROM ({TYPED})), x AS (SELECT object_id, pos, type, text AS a, {VARIANT} AS b FROM p)"
+
+
+def _cer(a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) > 0 THEN levenshtein({a}, {b}) / length({a})::DOUBLE WHEN length({b}) = 0 THEN 0.0 ELSE 1.0 END"
+
+
+@query(f"""{ALIGNED}, f AS (SELECT object_id, pos, type, {_flat('a')} AS fa, {_flat('b')} AS fb, {_orderless('a')} AS oa, {_orderless('b')} AS ob FROM x),
+c AS (SELECT object_id, pos, type, {_cer('fa', 'fb')} AS cer, {_cer('oa', 'ob')} AS cer_orderless FROM f), e AS (SELECT *, least(cer, cer_orderless) AS eff FROM c)
+SELECT object_id, pos, CASE WHEN type = 'content' THEN round(cer, 9) END AS cer, CASE WHEN type = 'content' THEN round(eff, 9) END AS effective_cer,
+CASE WHEN type <> 'content' THEN 'skipped' WHEN eff < 0.03 THEN 'high' WHEN eff < 0.10 THEN 'moderate' ELSE 'low' END AS agreement FROM e""")
+def q_sim_page_consensus(spark, d):
+    rows = readings.page_agreement(readings.align(*_readings(spark, d)))
+    return rows.select("object_id", "pos", F.round("cer", 9).alias("cer"), F.round("effective_cer", 9).alias("effective_cer"), "agreement")
+
+
+@query(f"""{ALIGNED}, o AS (SELECT object_id, count(*) FILTER (type = 'content') AS content_pages, coalesce(string_agg(a, ' ' ORDER BY pos) FILTER (type = 'content'), '') AS a, coalesce(string_agg(b, ' ' ORDER BY pos) FILTER (type = 'content'), '') AS b FROM x GROUP BY 1),
+f AS (SELECT object_id, content_pages, {_flat('a')} AS fa, {_flat('b')} AS fb, {_orderless('a')} AS oa, {_orderless('b')} AS ob FROM o),
+w AS (SELECT *, list_distinct({_words('lower(fa)')}) AS wa, list_distinct({_words('lower(fb)')}) AS wb FROM f),
+c AS (SELECT object_id, content_pages, least({_cer('fa', 'fb')}, {_cer('oa', 'ob')}) AS c, CASE WHEN len(wa) = 0 AND len(wb) = 0 THEN 1.0 ELSE {_jaccard('wa', 'wb')} END AS w FROM w)
+SELECT object_id, content_pages, round(c, 9) AS cer, round(w, 9) AS overlap, CASE WHEN c < 0.03 OR (w >= 0.95 AND c < 0.10) THEN 'verified' WHEN c < 0.10 OR w >= 0.90 THEN 'moderate' WHEN w >= 0.75 THEN 'review' ELSE 'divergent' END AS category FROM c""")
+def q_agg_consensus_overall(spark, d):
+    rows = readings.object_consensus(readings.align(*_readings(spark, d)))
+    return rows.select("object_id", "content_pages", F.round("cer", 9).alias("cer"), F.round("overlap", 9).alias("overlap"), "category")
+
+
+@query(f"""{ALIGNED}, t AS (SELECT object_id, pos, a AS ta, b AS tb, CASE WHEN pos % 2 = 0 THEN a ELSE upper(b) END AS tc FROM x),
+n AS (SELECT *, {_normalize('ta')} AS na, {_normalize('tb')} AS nb, {_normalize('tc')} AS nc FROM t), c AS (SELECT *, {_cer('na', 'nb')} AS ab, {_cer('na', 'nc')} AS ac, {_cer('nb', 'nc')} AS bc FROM n),
+m AS (SELECT *, trim(ta) = '' AND trim(tb) = '' AND trim(tc) = '' AS none, ab < 0.02 AND ac < 0.02 AND bc < 0.02 AS same, least(ab, ac, bc) < 0.05 AS close FROM c)
+SELECT object_id, pos, md5(CASE WHEN none THEN '' WHEN NOT same AND close AND ab <= ac AND ab <= bc THEN tb ELSE tc END) AS merged, CASE WHEN none OR same THEN 'consensus_3of3' WHEN close THEN 'majority_2of3' ELSE 'strongest_only' END AS source FROM m""")
+def q_sim_merge3(spark, d):
+    rows = readings.align(*_readings(spark, d)).withColumn("text_c", F.when(F.col("pos") % 2 == 0, F.col("text_a")).otherwise(F.upper("text_b")))
+    return readings.merge_three(rows).select("object_id", "pos", F.md5(F.col("merged").cast("binary")).alias("merged"), "source")
+
+
+@query()
+def q_sim_evaluate(spark, d):
+    """Error rates by matching blocks have no SQL; tests compare them with difflib."""
+    a, b = _readings(spark, d)
+    rows = readings.align(a, b).select("object_id", "pos", F.col("text_a").alias("reference"), F.col("text_b").alias("other"))
+    return readings.evaluate(rows).select("object_id", "pos", "cer", "cer_blocks", "wer", "edits.*", "overlap")
+
+
+@query()
+def q_sim_diff_words(spark, d):
+    a, b = _readings(spark, d)
+    rows = readings.align(a, b).withColumn("diff", similarity.word_diff("text_a", "text_b"))
+    return rows.select("object_id", "pos", similarity.diff_statistics(F.col("diff")).alias("s")).select("object_id", "pos", "s.*")
+
+
+KINDS = ("Manuskript", "Typoskriptdurchschlag", "Korrekturfahne", "Zeitungsausschnitt", "Konvolut", "Notizbuch", "Geburtsschein", "Register", "Postkarte", "Briefumschlag", "Adressbuch", "Brief")
+CLASSES = ("Werke", "Rechtsdokumente", "Verzeichnisse", "Diverses", "Verlagsverträge", "Tagebücher", "Finanzen")
+
+
+def _pick(names, c):
+    return F.element_at(F.array(*map(F.lit, names)), (F.col(c) % len(names) + 1).cast("int"))
+
+
+def _sql_pick(names, c):
+    return f"[{', '.join(repr(n) for n in names)}][{c} % {len(names)} + 1]"
+
+
+def _sql_has(c: str, words) -> str:
+    return "(" + (" OR ".join(f"contains({c}, '{w}')" for w in words) or "false") + ")"
+
+
+@query(f"""WITH o AS (SELECT p_partkey, lower({_sql_pick(KINDS, 'p_partkey')}) AS k, lower({_sql_pick(CLASSES, 'p_size')}) AS c, CASE WHEN p_partkey % 11 = 0 THEN 'korrespondenzen' ELSE 'werke' END AS col FROM part),
+g AS (SELECT CASE WHEN col = 'korrespondenzen' THEN 'korrespondenz' {' '.join(f"WHEN {_sql_has('k', t)} OR {_sql_has('c', cs)} THEN '{g}'" for t, cs, g in rules.GROUP_RULES)} ELSE 'handschrift' END AS grp,
+CASE WHEN col = 'korrespondenzen' THEN 'letter' {' '.join(f"WHEN contains(k, '{w}') THEN '{v}'" for w, v in rules.DOCUMENT_TYPES.items())} WHEN {_sql_has('c', ('rechtsdokumente', 'finanzen'))} THEN 'form' WHEN contains(c, 'verlagsvertr') THEN 'certificate' ELSE 'manuscript' END AS document_type FROM o)
+SELECT grp, document_type, count(*) AS n FROM g GROUP BY 1, 2""")
+def q_cls_group(spark, d):
+    kind, cls = _pick(KINDS, "p_partkey"), _pick(CLASSES, "p_size")
+    collection = F.when(F.col("p_partkey") % 11 == 0, rules.LETTERS).otherwise("werke")
+    rows = table(spark, d, "part").select(rules.object_group(kind, cls, collection).alias("grp"), rules.document_type(kind, cls, collection).alias("document_type"))
+    return rows.groupBy("grp", "document_type").agg(F.count("*").alias("n"))
+
+
+NOTES = ("Farbskala am Rand", "Rückseite, leer", "", "Kodak color patches", "kein Text")
+
+
+@query(f"""WITH p AS (SELECT turn, CASE WHEN turn % 4 = 1 THEN '' WHEN turn % 4 = 2 THEN 'S. 3' ELSE coalesce(text, '') END AS t, lower({_sql_pick(NOTES, '(conv_id + turn)')}) AS n FROM conversations)
+SELECT CASE WHEN {_sql_has('n', rules.CHART_WORDS)} THEN 'color_chart' WHEN trim(t) = '' OR (length(trim(t)) < 10 AND {_sql_has('n', rules.BLANK_WORDS)}) THEN 'blank' ELSE 'content' END AS type, count(*) AS n FROM p GROUP BY 1""")
+def q_cls_page_type(spark, d):
+    t = F.when(F.col("turn") % 4 == 1, "").when(F.col("turn") % 4 == 2, "S. 3").otherwise(F.col("text"))
+    rows = table(spark, d, "conversations").withColumn("k", F.col("conv_id") + F.col("turn"))
+    return rows.select(rules.page_type(t, _pick(NOTES, "k")).alias("type")).groupBy("type").agg(F.count("*").alias("n"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey % 9 AS images, o_orderkey % 7 AS images_in, count(l_orderkey) AS pages FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+t AS (SELECT CASE WHEN images > 0 THEN CASE WHEN images_in > 0 AND images_in <= 5 AND images > 5 THEN 'max5_truncated' WHEN pages = 0 THEN 'zero_pages' WHEN images_in > 5 AND pages < images_in THEN 'vlm_mismatch' END END AS issue FROM o)
+SELECT coalesce(issue, 'none') AS issue, count(*) AS n FROM t GROUP BY 1""")
+def q_agg_truncation(spark, d):
+    counted = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("pages"))
+    rows = table(spark, d, "orders").join(counted, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    issue = rules.truncation(F.coalesce("pages", F.lit(0)), F.col("o_orderkey") % 7, F.col("o_custkey") % 9)
+    return rows.groupBy(F.coalesce(issue, F.lit("none")).alias("issue")).agg(F.count("*").alias("n"))
+
+
+CUSTOMERS = """SELECT c_custkey AS id, c_name AS title, 'SZ-' || n_name AS signature, 'o:' || c_custkey AS pid, n_name AS classification, c_mktsegment AS group_label, r_name AS collection, c_acctbal AS balance,
+CASE WHEN c_acctbal < 0 THEN 'low' ELSE 'high' END AS confidence FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+
+
+def customers(spark, d) -> DataFrame:
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.concat(F.lit("SZ-"), "n_name").alias("signature"), F.concat(F.lit("o:"), F.col("c_custkey").cast("string")).alias("pid"), F.col("n_name").alias("classification"), F.col("c_mktsegment").alias("group_label"), F.col("r_name").alias("collection"), F.col("c_acctbal").alias("balance"), F.when(F.col("c_acctbal") < 0, "low").otherwise("high").alias("confidence"))
+
+
+@query(f"SELECT id, title, signature, balance FROM ({CUSTOMERS}) WHERE group_label = 'BUILDING' AND confidence = 'high' AND contains(lower(title || ' ' || signature || ' ' || pid), '1') AND (contains(lower(title), '1') OR contains(lower(signature), '1') OR contains(pid, '1')) ORDER BY balance DESC, id LIMIT 50 OFFSET 50")
+def q_flt_catalog(spark, d):
+    q = cat.Query(group="BUILDING", confidence="high", search="1", sort="balance", descending=True, page=2)
+    return cat.run(customers(spark, d), q).select("id", "title", "signature", "balance")
+
+
+@query(f"SELECT collection, group_label, count(*) AS n, count(*) FILTER (confidence = 'low') AS low, round(sum(balance), 2) AS balance FROM ({CUSTOMERS}) GROUP BY 1, 2")
+def q_agg_stats(spark, d):
+    rows = cat.statistics(customers(spark, d), ["collection", "group_label"], {"low": F.col("confidence") == "low"}, {"balance": F.col("balance")})
+    return rows.withColumn("balance", F.round("balance", 2))
+
+
+@query("""SELECT c_mktsegment AS grp, CAST(floor(count(*) FILTER (c_acctbal < 0) * 100 / count(*)::DOUBLE + 0.5) AS BIGINT) AS debt, CAST(floor(count(*) FILTER (c_nationkey < 5) * 100 / count(*)::DOUBLE + 0.5) AS BIGINT) AS near FROM customer GROUP BY 1""")
+def q_agg_heatmap(spark, d):
+    rows = table(spark, d, "customer").withColumnRenamed("c_mktsegment", "grp")
+    return cat.heatmap(rows, "grp", {"debt": F.col("c_acctbal") < 0, "near": F.col("c_nationkey") < 5})
+
+
+@query("SELECT o_orderpriority AS grp, list_sort(list(o_totalprice))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS upper_median, median(o_totalprice) AS median FROM orders GROUP BY 1")
+def q_agg_median_upper(spark, d):
+    return table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("grp")).agg(cat.upper_median("o_totalprice").alias("upper_median"), F.median("o_totalprice").alias("median"))
+
+
+TIER = "CASE WHEN o_orderkey % 17 = 0 THEN 'gt_verified' WHEN o_orderstatus = 'F' THEN 'approved' WHEN o_orderstatus = 'P' THEN 'agent_verified' WHEN o_totalprice > 100000 THEN 'needs_review' WHEN o_totalprice > 1000 THEN 'ok' ELSE 'none' END"
+
+
+@query(f"SELECT tier, n, n / sum(n) OVER () AS share FROM (SELECT {TIER} AS tier, count(*) AS n FROM orders GROUP BY 1)")
+def q_agg_curation(spark, d):
+    status = F.when(F.col("o_orderstatus") == "F", "approved").when(F.col("o_orderstatus") == "P", "agent_verified").otherwise("")
+    needs = F.when(F.col("o_totalprice") > 1000, F.col("o_totalprice") > 100000)
+    return cat.shares(table(spark, d, "orders").withColumn("tier", rules.review_tier(F.col("o_orderkey") % 17 == 0, status, needs)), "tier")
+
+
+@query("SELECT c_mktsegment AS grp, count(*) AS have, 300 AS target, greatest(300 - count(*), 0) AS missing FROM customer GROUP BY 1")
+def q_agg_group_counts(spark, d):
+    rows = table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("grp")).agg(F.count("*").alias("have"))
+    return rows.select("grp", "have", F.lit(300).alias("target"), F.greatest(F.lit(300) - F.col("have"), F.lit(0)).alias("missing"))
+
+
+@query("""WITH r AS (SELECT c_mktsegment AS grp, c_custkey AS id, c_acctbal < 0 AS flagged FROM customer), k AS (SELECT *, row_number() OVER (PARTITION BY grp, flagged ORDER BY id) AS nth,
+least(count(*) FILTER (flagged) OVER (PARTITION BY grp), count(*) FILTER (NOT flagged) OVER (PARTITION BY grp)) AS both FROM r),
+s AS (SELECT *, CASE WHEN nth <= both THEN 2 * nth - CASE WHEN flagged THEN 0 ELSE 1 END ELSE 1099511627776 + CASE WHEN flagged THEN 1099511627776 ELSE 0 END + nth END AS slot FROM k)
+SELECT grp, id, flagged, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY slot) AS place FROM s) WHERE place <= 25""".replace("AS both", "AS each_").replace("<= both", "<= each_"))
+def q_smp_stratified(spark, d):
+    rows = table(spark, d, "customer").select(F.col("c_mktsegment").alias("grp"), F.col("c_custkey").alias("id"), (F.col("c_acctbal") < 0).alias("flagged"))
+    return cat.alternating_sample(rows, "grp", "flagged", "id", 25)
+
+
+@query("""WITH n AS (SELECT c_mktsegment AS grp, 5 + length(c_mktsegment) AS need FROM customer GROUP BY 1)
+SELECT grp, id FROM (SELECT c_mktsegment AS grp, c_custkey AS id, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS nth FROM customer) JOIN n USING (grp) WHERE nth <= need""")
+def q_lim_per_group(spark, d):
+    rows = table(spark, d, "customer").select(F.col("c_mktsegment").alias("grp"), F.col("c_custkey").alias("id"))
+    return cat.first_needed(rows, "grp", "id", rows.select("grp").distinct().withColumn("need", 5 + F.length("grp")))
+
+
+@query("SELECT o_orderkey AS id, lag(o_orderkey) OVER w AS previous, lead(o_orderkey) OVER w AS next FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
+def q_nav_prev_next(spark, d):
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", "o_orderdate")
+    return cat.neighbours(rows, ["o_orderdate", "id"], "id", ["o_custkey"]).select("id", "previous", "next")
+
+
+@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events) WHERE nth = 1")
+def q_upd_approve(spark, d):
+    return review.latest(table(spark, d, "events"), "user_id", "ts", "event_id").select("user_id", "event_id", "event_type", "value")
+
+
+@query("""WITH v AS (SELECT user_id, ts, event_id, value FROM events WHERE event_type <> 'purchase'), p AS (SELECT event_id AS probe, user_id, ts AS at FROM events WHERE event_type = 'purchase')
+SELECT probe, v.value FROM p LEFT JOIN LATERAL (SELECT value FROM v WHERE v.user_id = p.user_id AND v.ts <= p.at ORDER BY v.ts DESC, v.event_id DESC LIMIT 1) v ON true""")
+def q_src_history_version(spark, d):
+    rows = table(spark, d, "events")
+    versions = rows.where("event_type != 'purchase'").select("user_id", "ts", "event_id", "value")
+    probes = rows.where("event_type = 'purchase'").select("user_id", F.struct("ts", "event_id").alias("at"))
+    versions = versions.withColumn("when", F.struct("ts", F.lit((1 << 63) - 1).alias("event_id")))
+    # A probe comes after all versions of its own time.
+    probes = probes.withColumn("probe", F.col("at.event_id"))
+    return review.as_of(versions.select("user_id", F.struct("ts", F.lit(-1).cast("long").alias("event_id")).alias("when"), "event_id", "value"), probes.select("user_id", "at"), "user_id", "when", "event_id").select(F.col("at.event_id").alias("probe"), "value")
+
+
+def _edits(spark, d):
+    rows = turns(spark, d).select("object_id", (F.col("pos") + 1).alias("page_no"), F.coalesce("text", F.lit("")).alias("text"))
+    history = F.array().cast("array<struct<text:string,by:string,at:string>>")
+    edits = rows.where("(object_id + page_no) % 3 = 0").select("object_id", "page_no", F.when(F.col("page_no") % 2 == 0, F.translate("text", "aeiou", "AEIOU")).otherwise(F.col("text")).alias("new_text"), F.lit("x").alias("by"), F.lit("now").alias("at"))
+    return rows.withColumn("history", history), edits
+
+
+@query(f"""WITH p AS (SELECT object_id, pos + 1 AS page_no, text FROM ({TURN})), e AS (SELECT *, (object_id + page_no) % 3 = 0 AS edited, CASE WHEN page_no % 2 = 0 THEN translate(text, 'aeiou', 'AEIOU') ELSE text END AS new_text FROM p)
+SELECT object_id, page_no, md5(CASE WHEN edited THEN new_text ELSE text END) AS text, CASE WHEN edited AND new_text <> text THEN 1 ELSE 0 END::INT AS history, edited FROM e""")
+def q_upd_edit(spark, d):
+    return review.apply_edits(*_edits(spark, d)).select("object_id", "page_no", F.md5(F.col("text").cast("binary")).alias("text"), F.size("history").alias("history"), "edited")
+
+
+@query("""WITH c AS (SELECT user_id AS id, event_type AS kind, event_id, CASE WHEN event_type LIKE 'c%' THEN 0 ELSE 1 END AS rank FROM events)
+SELECT id, kind, event_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rank, kind, event_id) AS nth FROM c) WHERE nth = 1""")
+def q_src_resolve_ocr(spark, d):
+    rows = table(spark, d, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("kind"), "event_id", F.when(F.col("event_type").startswith("c"), 0).otherwise(1).alias("rank"))
+    return cat.choose(rows, ["id"], ["rank", "kind", "event_id"]).select("id", "kind", "event_id")
+
+
+@query("SELECT l_orderkey AS id, min(l_partkey) AS partkey FROM lineitem GROUP BY 1 HAVING count(*) = 1")
+def q_src_resolve_result(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("partkey"), "l_linenumber")
+    return cat.choose(rows, ["id"], ["l_linenumber"], unique=True).select("id", "partkey")
+
+
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)")
+def q_jn_not_done(spark, d):
+    done = table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("id"))
+    return cat.missing(table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), done, ["id"])
+
+
+@query("""WITH a AS (SELECT conv_id, turn, text FROM conversations WHERE turn % 3 <> 0), b AS (SELECT conv_id, turn, text FROM conversations WHERE turn % 2 = 0)
+SELECT coalesce(a.conv_id, b.conv_id) AS object_id, coalesce(a.turn, b.turn) AS pos, length(coalesce(a.text, ''))::INT AS a, length(coalesce(b.text, ''))::INT AS b FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.turn = b.turn""")
+def q_jn_positional_outer(spark, d):
+    rows = turns(spark, d).withColumn("type", F.lit("content"))
+    return readings.align(rows.where("pos % 3 != 0"), rows.where("pos % 2 = 0"), outer=True).select("object_id", "pos", F.length("text_a").alias("a"), F.length("text_b").alias("b"))
+
+
+@query("""WITH n AS (SELECT o_custkey AS object_id, count(*) AS n FROM orders GROUP BY 1), k AS (SELECT object_id, n, unnest(range(0, CAST(floor((n - 1) / 20) AS BIGINT) + 1)) AS chunk FROM n)
+SELECT object_id, chunk::INT AS chunk, (chunk * 20 + 1)::INT AS "first", least((chunk + 1) * 20, n) AS "last" FROM k""")
+def q_win_chunk(spark, d):
+    return pages.chunks(table(spark, d, "orders").groupBy(F.col("o_custkey").alias("object_id")).agg(F.count("*").alias("n")))
+
+
+@query("""WITH g AS (SELECT p_brand AS grp, p_partkey AS id, p_retailprice AS chars_per_page FROM part), z AS (SELECT grp, id, (chars_per_page - avg(chars_per_page) OVER w) / nullif(stddev_samp(chars_per_page) OVER w, 0) AS z, count(*) OVER w AS n FROM g WINDOW w AS (PARTITION BY grp))
+SELECT grp, id, coalesce(n >= 10 AND abs(z) > 1.5, false) AS outlier FROM z""")
+def q_agg_z_density(spark, d):
+    rows = table(spark, d, "part").select(F.col("p_brand").alias("group"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("chars_per_page"))
+    return pages.length_outliers(rows, limit=1.5).select(F.col("group").alias("grp"), "id", "outlier")
+
+
+@query("""WITH r AS (SELECT l.doc_id, max(l.quality) = 0 AS truth, max(CASE WHEN len(list_distinct(string_split_regex(lower(text), '\\s+'))) < 0.3 * len(string_split_regex(text, '\\s+')) THEN 1 ELSE 0 END) = 1 AS flag FROM labels l JOIN documents d ON l.doc_id = d.doc_id GROUP BY 1),
+c AS (SELECT count(*) FILTER (flag AND truth) AS tp, count(*) FILTER (flag AND NOT truth) AS fp, count(*) FILTER (NOT flag AND truth) AS fn FROM r)
+SELECT tp, fp, fn, tp / nullif(tp + fp, 0) AS "precision", tp / nullif(tp + fn, 0) AS recall, 2 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0)) / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0) AS f1 FROM c""")
+def q_agg_signal_eval(spark, d):
+    parts = lambda c: F.split(c, r"\s+")
+    few = F.size(F.array_distinct(parts(F.lower("text")))) < 0.3 * F.size(parts(F.col("text")))
+    rows = table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id").groupBy("doc_id").agg((F.max("quality") == 0).alias("truth"), (F.max(few.cast("int")) == 1).alias("flag"))
+    return review.signal_quality(rows, "flag", "truth")
+
+
+NAMES = ("Deutsch", "Französisch, Deutsch", "english (US)", "Jiddisch", "unbekannt", "", "Latein")
+
+
+def _sql_map(key: str, names: dict[str, str], other: str) -> str:
+    return f"CASE {' '.join(f'WHEN {key} = {k!r} THEN {v!r}' for k, v in names.items())} ELSE {other} END"
+
+
+@query(f"""WITH l AS (SELECT p_partkey AS id, {_sql_pick(NAMES, 'p_partkey')} AS l FROM part), k AS (SELECT id, trim(lower(string_split(string_split(l, ',')[1], '(')[1])) AS f, trim(lower(l)) AS w FROM l)
+SELECT id, {_sql_map('f', text.LANGUAGE_KEYS, "''")} AS key, CASE WHEN w = '' THEN 'und' ELSE {_sql_map('w', text.LANGUAGE_CODES, 'left(w, 3)')} END AS iso, CASE WHEN w = '' THEN 'und' ELSE {_sql_map('w', text.LANGUAGE_CODES, 'left(w, 2)')} END AS mods FROM k""")
+def q_fn_lang_norm(spark, d):
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), _pick(NAMES, "p_partkey").alias("l"))
+    return rows.select("id", text.language_key("l").alias("key"), text.language_code("l").alias("iso"), text.language_code("l", 2).alias("mods"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN p_name || ', SZ-' || p_brand WHEN p_partkey % 3 = 1 THEN p_name || ', ' || p_type ELSE p_name END AS t FROM part)
+SELECT id, CASE WHEN id % 3 = 0 THEN regexp_replace(t, ',\\s*SZ-[^,]*$', '') ELSE t END AS title, CASE WHEN id % 3 = 0 THEN regexp_extract(t, ',\\s*(SZ-[^,]*)$', 1) ELSE '' END AS signature, left(t, 40) AS label, 'o:szd.' || id AS pid FROM t""")
+def q_fn_signature(spark, d):
+    key = F.col("p_partkey")
+    t = F.when(key % 3 == 0, F.concat("p_name", F.lit(", SZ-"), "p_brand")).when(key % 3 == 1, F.concat("p_name", F.lit(", "), "p_type")).otherwise(F.col("p_name"))
+    rows = table(spark, d, "part").select(key.alias("id"), t.alias("t"), F.concat(F.lit("o_szd."), key.cast("string"), F.lit("_gemini-x")).alias("o"))
+    return rows.select("id", text.split_signature("t").alias("s"), F.substring("t", 1, 40).alias("label"), text.object_to_pid("o").alias("pid")).select("id", "s.title", "s.signature", "label", "pid")
+
+
+@query("""SELECT page_id, md5(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS escaped, regexp_replace(url, '^http:', 'https:') AS url FROM pages""")
+def q_fn_escape_html(spark, d):
+    return table(spark, d, "pages").select("page_id", F.md5(text.escape_html("html").cast("binary")).alias("escaped"), text.https("url").alias("url"))
+
+
+@query("""WITH n AS (SELECT max(ts) AS now FROM events), s AS (SELECT event_id, ts, epoch(now)::BIGINT - CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events, n)
+SELECT event_id, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN (s // 60) || 'm' WHEN s < 86400 THEN (s // 3600) || 'h' WHEN s < 2592000 THEN (s // 86400) || 'd' ELSE strftime(ts, '%Y-%m-%d') END AS ago FROM s""".replace("epoch(now)::BIGINT", "CAST(floor(epoch(now)) AS BIGINT)"))
+def q_fn_relative_time(spark, d):
+    rows = table(spark, d, "events")
+    now = rows.agg(F.max("ts").alias("now"))  # one row
+    return rows.crossJoin(F.broadcast(now)).select("event_id", text.relative_time(F.col("ts"), F.col("now")).alias("ago"))
+
+
+@query("""SELECT p_partkey AS id, '- Titel: ' || p_name || CASE WHEN p_size % 2 = 0 THEN chr(10) || '- Datum: ' || p_size ELSE '' END || chr(10) || '- Objekttyp: ' || p_type AS block FROM part""")
+def q_fn_format_context(spark, d):
+    date = F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), text.context_block({"title": F.col("p_name"), "date": date, "objecttyp": F.col("p_type"), "notes": F.lit("")}).alias("block"))
+
+
+BOX = "[l_tax * 1000 % 60, l_discount * 700 % 60, l_quantity, l_quantity / 2 + 5]"
+
+
+@query(f"""WITH b AS (SELECT l_orderkey AS page, l_linenumber AS region, {BOX} AS b FROM lineitem), p AS (SELECT x.page, x.region AS i, y.region AS j, x.b AS a, y.b AS b FROM b x JOIN b y ON x.page = y.page AND x.region < y.region),
+w AS (SELECT *, least(a[1] + a[3], b[1] + b[3]) - greatest(a[1], b[1]) AS w, least(a[2] + a[4], b[2] + b[4]) - greatest(a[2], b[2]) AS h FROM p),
+i AS (SELECT page, i, j, a, b, CASE WHEN w > 0 AND h > 0 THEN w * h ELSE 0.0 END AS x FROM w)
+SELECT page, i, j, round(coalesce(x / nullif(a[3] * a[4] + b[3] * b[4] - x, 0), 0), 6) AS iou, (b[1] >= a[1] - 1 AND b[1] + b[3] <= a[1] + a[3] + 1) AND (b[2] >= a[2] - 1 AND b[2] + b[4] <= a[2] + a[4] + 1) AS contained FROM i""")
+def q_geo_iou(spark, d):
+    box = F.array(F.col("l_tax") * 1000 % 60, F.col("l_discount") * 700 % 60, F.col("l_quantity"), F.col("l_quantity") / 2 + 5)
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("region"), box.alias("box"))
+    a, b = rows.alias("a"), rows.alias("b")
+    met = a.join(b, (F.col("a.page") == F.col("b.page")) & (F.col("a.region") < F.col("b.region")))
+    return met.select("a.page", F.col("a.region").alias("i"), F.col("b.region").alias("j"), F.round(layout.iou(F.col("a.box"), F.col("b.box")), 6).alias("iou"), layout.contains(F.col("a.box"), F.col("b.box")).alias("contained"))
+
+
+@query("""WITH e AS (SELECT event_type AS grp, value FROM events), n AS (SELECT grp, count(*) AS n, count(*) FILTER (value > 50) AS high FROM e GROUP BY ROLLUP (grp)) SELECT coalesce(grp, 'all') AS grp, n, high FROM n""")
+def q_agg_rollup(spark, d):
+    rows = table(spark, d, "events").rollup(F.col("event_type").alias("grp")).agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("high"))
+    return rows.withColumn("grp", F.coalesce("grp", F.lit("all")))
+
+
+@query("""WITH a AS (SELECT user_id AS object_id, list_sort(list_distinct(list(event_type))) AS reasons FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT user_id AS object_id, list_sort(list_distinct(list(event_type))) AS reasons FROM events WHERE event_id % 2 = 1 GROUP BY 1)
+SELECT a.object_id FROM a JOIN b USING (object_id) WHERE a.reasons <> b.reasons""")
+def q_set_reason_diff(spark, d):
+    rows = table(spark, d, "events")
+    half = lambda k: rows.where(f"event_id % 2 = {k}").groupBy(F.col("user_id").alias("object_id")).agg(F.collect_set("event_type").alias("reasons"))
+    return review.reason_changes(half(0), half(1)).select("object_id")
+
+
+@query("""WITH p AS (SELECT conv_id AS object_id, CASE WHEN role = 'system' THEN 'blank' ELSE 'content' END AS type, length(text) % 5 > 0 AS approved FROM conversations)
+SELECT object_id, count(*) FILTER (type = 'content') AS content_pages, count(*) FILTER (type = 'content' AND approved) AS approved_pages, count(*) FILTER (type = 'content') = count(*) FILTER (type = 'content' AND approved) AS expert_verified FROM p GROUP BY 1""")
+def q_agg_review_progress(spark, d):
+    kind = F.when(F.col("role") == "system", "blank").otherwise("content")
+    return review.progress(turns(spark, d).select("object_id", kind.alias("type"), (F.length("text") % 5 > 0).alias("approved")))
