@@ -15,20 +15,23 @@ KNOWN = {"Mitgebrine": "Mitbringsel"}
 
 def variants(word: Column) -> Column:
     """Array of (variant, rule, at): every place where one confusion applies, found without regard to case; capitals carry over."""
-    found = []
-    for wrong, right in CONFUSIONS:
-        n = len(wrong)
-        first = 2 if (wrong, right) == WITHIN else 1
-        places = F.filter(F.sequence(F.lit(first), F.greatest(F.length(word) - n + 1, F.lit(first))), lambda p, n=n, wrong=wrong: F.lower(F.substring(word, p, F.lit(n))) == wrong.lower())
-
-        def variant(p, n=n, right=right, wrong=wrong):
-            old = F.substring(word, p, F.lit(1))
-            new = F.when((F.upper(old) == old) & (F.lower(old) != old), F.lit(right[0].upper() + right[1:])).otherwise(F.lit(right))
-            whole = F.concat(F.substring(word, F.lit(1), p - 1), new, F.substring(word, p + n, F.length(word)))
-            return F.struct(whole.alias("variant"), F.lit(f"{wrong}->{right}").alias("rule"), (p - 1).alias("at"))
-
-        found.append(F.transform(places, variant))
-    return F.concat(*found)
+    return F.concat(*(_variants_by(word, wrong, right) for wrong, right in CONFUSIONS))
+
+
+def _variants_by(word: Column, wrong: str, right: str) -> Column:
+    n = len(wrong)
+    first = F.lit(2 if (wrong, right) == WITHIN else 1)
+    last = F.length(word) - n + 1
+    places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    def variant(p: Column) -> Column:
+        old = F.substring(word, p, F.lit(1))
+        capital = (F.upper(old) == old) & (F.lower(old) != old)
+        new = F.when(capital, F.lit(right[0].upper() + right[1:])).otherwise(F.lit(right))
+        whole = F.concat(F.substring(word, F.lit(1), p - 1), new, F.substring(word, p + n, F.length(word)))
+        return F.struct(whole.alias("variant"), F.lit(f"{wrong}->{right}").alias("rule"), (p - 1).alias("at"))
+
+    return F.transform(F.filter(places, lambda p: F.lower(F.substring(word, p, F.lit(n))) == wrong.lower()), variant)
 
 
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ LAYOUT = f"object_id string, collection string, `group` string, model string, pa
 
 def _json(spark: SparkSession, path: str, schema: str, glob: str) -> DataFrame:
     rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("pathGlobFilter", glob).option("recursiveFileLookup", True).json(path)
-    return rows.withColumn("file", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+    return rows.select("*", F.col("_metadata.file_name").alias("file"))
 
 
 def results(spark: SparkSession, path: str, glob: str = "*.json", collection: str | None = None, group: str | None = None) -> DataFrame:
@@ -55,7 +55,7 @@ def layouts(spark: SparkSession, path: str, glob: str = "*_layout.json") -> Data
 
 def tei(spark: SparkSession, path: str) -> DataFrame:
     """pid, title, language, object_type, extent of each described object: one scan for all, the last of equal pids."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)(<biblFull\b.*?</biblFull>)"), F.lit(1))).alias("x"))
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)(<biblFull\b.*?</biblFull>)"), F.lit(1))).alias("x"))
     one = lambda tag: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract("x", rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1), "<[^>]+>", ""), r"(?U)\s+", " "))
     rows = rows.withColumn("at", F.monotonically_increasing_id()).select(F.regexp_extract("x", r'<idno[^>]*type="PID"[^>]*>\s*(o:szd\.\d+)\s*<', 1).alias("pid"), one("title").alias("title"), one("lang").alias("language"), one("term").alias("object_type"), one("extent").alias("extent"), "at")
     return rows.where("pid != ''").groupBy("pid").agg(F.max_by(F.struct("title", "language", "object_type", "extent"), "at").alias("m")).select("pid", "m.*")
@@ -71,7 +71,7 @@ def with_fallback(objects: DataFrame, first: DataFrame, second: DataFrame, key:
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
     """slug, header (between --- lines), body, words."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.md$", 1).alias("slug"), "value")
+    rows = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", r"(.+)\.md$", 1).alias("slug"), "value")
     head = r"(?s)\A---\n(.*?)\n---\n"
     rows = rows.select("slug", F.regexp_extract("value", head, 1).alias("header"), F.regexp_replace("value", head, "").alias("body"))
     return rows.withColumn("words", F.regexp_count("body", F.lit(r"(?U)\w+")))
