@@ -176,3 +176,12 @@ class Table(dict):
 
     def ids(self, at: np.ndarray) -> np.ndarray:
         return self.flat[spread(self.starts[at], self.counts[at])]
+
+
+def packed(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of packed ones, and how many each row has; without copies."""
+    large = pa.types.is_large_binary(column.type)
+    ends = np.frombuffer(column.buffers()[1], np.int64 if large else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    size = np.dtype(kind).itemsize
+    return (np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind) if data is not None else np.zeros(0, kind)), np.diff(ends) // size

@@ -13,8 +13,6 @@ one another in an order set by a hash of their ids. Very long documents make one
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,135 +21,57 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Table, documents, shuffle_partitions, spread, text_slices, written
+from .common import documents, packed, shuffle_partitions, spread, text_slices, written
 from .vocabularies import tokenizer_path
+from .word_ids import unit_ids
 
 BLOCK = 256
 LIMIT = 16
 SEGMENT = 1 << 19
 END_ID = 1
-MEMO = 300_000
-BATCH = 20_000
+SLICE = 4 << 20
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("n", pa.int64())])
 _SEGMENTS = "part int, seq int, first long, doc_ids binary, has_id binary, doc_counts binary, checkpoints binary, payload binary"
 
 
-#: Words of these characters alone fall into runs of letters, single digits and runs of the rest, each of which the tokenizer encodes by itself.
-PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]*")
-RUNS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")
-
-
-class WordIds:
-    """Ids of texts by the library, each distinct word, and within plain words each distinct run, encoded once a worker.
-
-    A word is what lies between ASCII white space, across which the tokenizer neither joins nor looks.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.words, self.runs = Table(), Table()
-        self.between = None
-        if len(zero := self.library(["0"])[0]) == 1 and [len(x) for x in self.library(["a 0 b"])] == [3]:
-            self.between = zero[0]
-
-    def library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn_runs(self) -> None:
-        """Encodes new runs many at a time, with zeros between, which no run but a digit holds."""
-        if not self.runs.new:
-            return
-        got: list = [None] * len(self.runs.new)
-        many = [i for i, r in enumerate(self.runs.new) if self.between is not None and not r.isdigit()]
-        for a in range(0, len(many), BATCH):
-            part = many[a : a + BATCH]
-            ids = np.array(self.tokenizer.encode(" 0 ".join(self.runs.new[i] for i in part), add_special_tokens=False).ids, np.int32)
-            cuts = np.flatnonzero(ids == self.between)
-            for i, x in zip(part, np.split(ids, cuts), strict=True):
-                got[i] = x[1:] if i != part[0] else x
-        for i in (i for i, x in enumerate(got) if x is None):
-            got[i] = np.array(self.library([self.runs.new[i]])[0], np.int32)
-        self.runs.learn(np.concatenate(got), np.array([len(x) for x in got], np.int64))
-
-    def learn_words(self) -> None:
-        new = [w.decode() for w in self.words.new]
-        split = [RUNS.findall(w.lower()) if PLAIN.fullmatch(w) and not self.special.search(w) else None for w in new]
-        at = np.fromiter((self.runs[r] for rs in split if rs for r in rs), np.int64)
-        self.learn_runs()
-        n_runs = np.array([len(rs) if rs else 0 for rs in split], np.int64)
-        lengths = np.concatenate([[0], np.cumsum(self.runs.counts[at])])
-        ends = np.cumsum(n_runs)
-        counts = lengths[ends] - lengths[ends - n_runs]
-        whole = [i for i, rs in enumerate(split) if rs is None]
-        others = [ids for a in range(0, len(whole), BATCH) for ids in self.library([new[i] for i in whole[a : a + BATCH]])]
-        counts[whole] = [len(x) for x in others]
-        flat, stop = np.zeros(int(counts.sum()), np.int32), np.cumsum(counts)
-        plain = np.array([rs is not None for rs in split], bool)
-        flat[spread(stop[plain] - counts[plain], counts[plain])] = self.runs.ids(at)
-        flat[spread(stop[~plain] - counts[~plain], counts[~plain])] = np.array([i for x in others for i in x], np.int32)
-        self.words.learn(flat, counts)
-
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each with the end id, and the number of each."""
-        for table in (self.words, self.runs):
-            if len(table) > MEMO:
-                table.forget()
-        split = [t.split() for t in texts]
-        n_words = np.fromiter(map(len, split), np.int64, len(split))
-        words = np.fromiter((i for ws in split for i in map(self.words.__getitem__, ws)), np.int64, int(n_words.sum()))
-        if self.words.new:
-            self.learn_words()
-        lengths = self.words.counts[words]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        last = np.cumsum(n_words)
-        counts = total[last] - total[last - n_words] + 1
-        out = np.full(int(counts.sum()), end_id, np.uint32)
-        inner = np.ones(len(out), bool)
-        inner[np.cumsum(counts) - 1] = False
-        out[inner] = self.words.ids(words)
-        return out, counts
-
-
-_ENCODERS: dict[str, WordIds] = {}
-
-
-def _encode_texts(path: str, end_id: int):
+def width_of(path: str, end_id: int = END_ID) -> type:
+    """The unsigned type that holds a tokenizer's ids."""
+    return np.uint16 if max(unit_ids(path).size - 1, end_id) < 1 << 16 else np.uint32
+
+
+def _encode_texts(path: str, end_id: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, off in text_slices(batch, "text"):
-                memo = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordIds(path))
-                raw = data.tobytes()
-                ids, counts = memo.encode([raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], end_id)
-                cuts = np.concatenate([[0], np.cumsum(counts)])
-                packed = [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.record_batch([rows.column("doc_id"), pa.array(packed, pa.binary()), pa.array(counts)], schema=_IDS)
+            for rows, data, off in text_slices(batch, "text", SLICE):
+                ids, counts = unit_ids(path).encode(data, off, end_id)
+                ids, cuts = ids.astype(kind), np.concatenate([[0], np.cumsum(counts)])
+                texts = [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.record_batch([rows.column("doc_id"), pa.array(texts, pa.binary()), pa.array(counts)], schema=_IDS)
 
     return run
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, ids (little-endian uint32), n."""
-    return docs.select("doc_id", "text").mapInArrow(_encode_texts(path, end_id), "doc_id long, ids binary, n long")
+    """doc_id, ids (little-endian, of width_of()), n."""
+    return docs.select("doc_id", "text").mapInArrow(_encode_texts(path, end_id, width_of(path, end_id)), "doc_id long, ids binary, n long")
 
 
-def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, np.int64)
-    for batch in batches:
-        more = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.uint32))
-        if len(more) > len(counts):
-            counts = np.concatenate([counts, np.zeros(len(more) - len(counts), np.int64)])
-        counts[: len(more)] += more
-    at = np.flatnonzero(counts)
-    if len(at):
-        yield pa.record_batch([at, counts[at]], names=["id", "n"])
+def _count_ids(kind: type):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(0, np.int64)
+        for batch in batches:
+            flat, _ = packed(batch.column("ids"), kind)
+            for i in range(0, len(flat), SEGMENT):
+                more = np.bincount(flat[i : i + SEGMENT])
+                if len(more) > len(counts):
+                    counts = np.concatenate([counts, np.zeros(len(more) - len(counts), np.int64)])
+                counts[: len(more)] += more
+        at = np.flatnonzero(counts)
+        if len(at):
+            yield pa.record_batch([at, counts[at]], names=["id", "n"])
+
+    return run
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -235,7 +155,7 @@ class Decoder:
         return out.T.reshape(-1)[:n]
 
 
-def _write_segments(lengths: bytes, segment: int):
+def _write_segments(lengths: bytes, segment: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(lengths, np.uint8)
         codes = canonical_codes(bits)
@@ -256,7 +176,7 @@ def _write_segments(lengths: bytes, segment: int):
             for p, d, x in zip(batch.column("part"), batch.column("doc_id"), batch.column("ids"), strict=True):
                 part = p.as_py()
                 docs.append(d.as_py())
-                ids.append(np.frombuffer(x.as_py(), np.uint32))
+                ids.append(np.frombuffer(x.as_py(), kind))
                 held += len(ids[-1])
                 if held >= segment:
                     yield put(part, docs, ids)
@@ -285,17 +205,17 @@ def _read_segments(lengths: bytes):
     return run
 
 
-def write_token_files(ids: DataFrame, limit: int = LIMIT, segment: int = SEGMENT) -> tuple[DataFrame, bytes]:
-    """Writes ids (of token_ids(), in a table) as segments in ascending doc_id order: the file table and the code lengths."""
+def write_token_files(ids: DataFrame, kind: type, limit: int = LIMIT, segment: int = SEGMENT) -> tuple[DataFrame, bytes]:
+    """Writes ids (of token_ids(), in a table; kind: width_of() its tokenizer) as segments in ascending doc_id order: the file table and the code lengths."""
     spark = ids.sparkSession
-    found = ids.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
+    found = ids.select("ids").mapInArrow(_count_ids(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
     counts = np.zeros(max((r.id for r in found), default=-1) + 1, np.int64)
     for r in found:
         counts[r.id] = r.n
     lengths = code_lengths(counts, limit).tobytes()
     rows = ids.select("doc_id", "ids", F.xxhash64("ids").alias("tie"))
     rows = rows.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
-    return written(rows.select(F.spark_partition_id().alias("part"), "doc_id", "ids").mapInArrow(_write_segments(lengths, segment), _SEGMENTS), "token-files"), lengths
+    return written(rows.select(F.spark_partition_id().alias("part"), "doc_id", "ids").mapInArrow(_write_segments(lengths, segment, kind), _SEGMENTS), "token-files"), lengths
 
 
 def read_token_files(files: DataFrame, lengths: bytes) -> DataFrame:
@@ -320,6 +240,7 @@ def _crc_of_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = written(token_ids(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")), "token-ids")
-    files, lengths = write_token_files(ids)
+    path = tokenizer_path("word_bpe_49k.json")
+    ids = written(token_ids(documents(spark, sf_dir), path), "token-ids")
+    files, lengths = write_token_files(ids, width_of(path))
     return read_token_files(files, lengths).mapInArrow(_crc_of_ids, "doc_id long, start long, n_tokens long, ids_crc32 long")
