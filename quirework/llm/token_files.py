@@ -224,7 +224,8 @@ def read_token_files(files: DataFrame, lengths: bytes) -> DataFrame:
     rows = files.mapInArrow(_read_segments(lengths), "part int, doc_id long, at long, n_tokens long, ids binary")
     ids_in = files.select("part", F.col("first"), "doc_counts").mapInArrow(_part_ends, "part int, n long").groupBy("part").agg(F.max("n").alias("n"))
     parts = ids_in.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    return rows.join(parts, "part").select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", "ids")
+    # One row a file, and there are as many files as shuffle partitions: small enough to send, so that ids need not be shuffled.
+    return rows.join(F.broadcast(parts), "part").select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", "ids")
 
 
 def _part_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
