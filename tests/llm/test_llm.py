@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import same_rows
 from pyspark.sql import functions as F
@@ -384,6 +385,18 @@ def test_near_duplicates(spark):
     assert minhash_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_members_all_but_equal_to_a_leader_keep_their_other_pairs():
+    draws = np.arange(3 * 48, dtype=np.int32).reshape(3, 48)
+    draws[1, :44] = draws[0, :44]  # all but equal to the first
+    draws[2, 21:] = draws[1, 21:]  # worth a look beside the second, not beside the first
+    n = np.arange(3)
+    zero = np.zeros(3, np.int64)
+    batch = {"k64": n, "k32": n.astype(np.int32), "r64": n, "r32": n.astype(np.int32), "draws": list(draws), "band": zero.astype(np.int32), "key": zero, "other": zero.astype(np.int32), "other_key": zero}
+    assert (draws[0] == draws[1]).mean() >= 0.9 and (draws[1] == draws[2]).mean() >= 0.55 > (draws[0] == draws[2]).mean()
+    found = [pair for out in minhash_dedup._pair_up(iter([pa.RecordBatch.from_pydict(batch)])) for pair in zip(out.column("a64").to_pylist(), out.column("b64").to_pylist(), strict=True)]
+    assert sorted(found) == [(0, 1), (1, 2)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
