@@ -397,6 +397,35 @@ def test_members_all_but_equal_to_a_leader_keep_their_other_pairs():
     assert sorted(found) == [(0, 1), (1, 2)]
 
 
+def drifting(seed, chains, steps):
+    """doc_id, text: chains of texts of 200 words, each with one or two words other than the one before."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows = []
+    for _ in range(chains):
+        text = [word() for _ in range(200)]
+        for _ in range(steps):
+            rows.append((len(rows), " ".join(text)))
+            for at in rng.sample(range(200), rng.choice((1, 2))):
+                text[at] = word()
+    return rows
+
+
+def test_links_of_drifting_copies(spark):
+    rows = drifting(4, 3, 40)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = minhash_dedup.weighted_sets([t for _, t in rows], minhash_dedup.corpus_idf(df.select("text")))
+    near = [[i != j and minhash_dedup.weighted_jaccard(x, y) >= 0.8 for j, y in enumerate(sets)] for i, x in enumerate(sets)]
+    least = list(range(len(rows)))
+    for _ in rows:
+        least = [min(least[i], *(least[j] for j, y in enumerate(x) if y), i) for i, x in enumerate(near)]
+    got = {r.doc_id: r for r in minhash_dedup.near_duplicates(df, bands=24).collect()}
+    assert [got[i].n_links for i in range(len(rows))] == [sum(x) for x in near]
+    assert [got[i].class_id for i in range(len(rows))] == least
+    quick = minhash_dedup.near_duplicates(df, bands=24, count_links=False)
+    assert {r.doc_id: r.class_id for r in quick.collect()} == dict(enumerate(least))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
