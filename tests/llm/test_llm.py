@@ -391,7 +391,7 @@ def test_members_all_but_equal_to_a_leader_keep_their_other_pairs():
     draws[2, 21:] = draws[1, 21:]  # worth a look beside the second, not beside the first
     n = np.arange(3)
     zero = np.zeros(3, np.int64)
-    batch = {"k64": n, "k32": n.astype(np.int32), "r64": n, "r32": n.astype(np.int32), "draws": list(draws), "band": zero.astype(np.int32), "key": zero, "other": zero.astype(np.int32), "other_key": zero}
+    batch = {"k64": n, "k32": n.astype(np.int32), "r64": n, "r32": n.astype(np.int32), "draws": list(draws), "band": zero.astype(np.int32), "key": zero, "other": zero.astype(np.int32), "other_key": zero, "tile": zero.astype(np.int32)}
     assert (draws[0] == draws[1]).mean() >= 0.9 and (draws[1] == draws[2]).mean() >= 0.55 > (draws[0] == draws[2]).mean()
     found = [pair for out in minhash_dedup._pair_up(iter([pa.RecordBatch.from_pydict(batch)])) for pair in zip(out.column("a64").to_pylist(), out.column("b64").to_pylist(), strict=True)]
     assert sorted(found) == [(0, 1), (1, 2)]
@@ -426,6 +426,13 @@ def test_links_of_drifting_copies(spark):
     assert {r.doc_id: r.class_id for r in quick.collect()} == dict(enumerate(least))
 
 
+def test_links_do_not_depend_on_the_size_of_buckets(spark, monkeypatch):
+    df = spark.createDataFrame(drifting(5, 2, 30), "doc_id long, text string")
+    whole = sorted(map(tuple, minhash_dedup.near_duplicates(df, bands=2).collect()))
+    monkeypatch.setattr(minhash_dedup, "LARGE", 2)
+    assert sorted(map(tuple, minhash_dedup.near_duplicates(df, bands=2).collect())) == whole
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
