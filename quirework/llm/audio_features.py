@@ -186,6 +186,45 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=names)
 
 
+_PARTS = "array<struct<start_s:double,end_s:double,active:double,log_mel:array<float>>>"
+
+
+def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "energy", "spans", "tensors"]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            one = batch.slice(i, 1)
+            wav = one.column("media")[0].as_py()
+            _, samples = from_wav(wav)
+            energy = log_mel(samples)[1]
+            made = pa.Table.from_batches(list(_tensor_rows(iter([one])))).combine_chunks().to_batches()[0]
+            parts = pa.StructArray.from_arrays([made.column(c) for c in ("start_s", "end_s", "active", "log_mel")], ["start_s", "end_s", "active", "log_mel"])
+            row = [len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(wav), hashlib.sha256(wav).hexdigest()]
+            lists = [pa.array([energy], pa.list_(pa.float32())), pa.array([segments(energy).ravel()], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts)]
+            yield pa.record_batch([one.column("doc_id"), one.column("n_bytes"), *(pa.array([x]) for x in row), *lists], names=names)
+
+
+def stored_tensors(media: DataFrame) -> DataFrame:
+    """One row a recording, written and read back: digests, energy of each frame, spans (first frame and end of each segment, flat), and its tensors with their time spans."""
+    return written(media.mapInArrow(_keep, f"doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, energy array<float>, spans array<long>, tensors {_PARTS}"), "tensors")
+
+
+def _from_tensors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    same = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256"]
+    for batch in batches:
+        rows = []
+        for energy, spans, parts in zip(batch.column("energy"), batch.column("spans"), batch.column("tensors"), strict=True):
+            energy, spans = energy.values.to_numpy(), spans.values.to_numpy().reshape(-1, 2)
+            held = as_tensors(pa.table({"log_mel": parts.values.field("log_mel")})).column("log_mel").combine_chunks()
+            held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
+            bands = held.to_numpy_ndarray().reshape(-1, MELS)[: len(energy)]
+            active = round(float(sum(seconds(b - a) for a, b in spans)), 3)
+            shown = " ".join(f"{v:.2f}" for v in [*bands.mean(axis=0, dtype=np.float64), energy.mean(dtype=np.float64), len(spans), active])
+            rows.append((shown, len(bands), len(spans), active))
+        columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else [pa.array([], t) for t in (pa.string(), pa.int64(), pa.int64(), pa.float64())]
+        yield pa.record_batch([*(batch.column(c) for c in same), *columns], names=[*same, "feature", "n_frames", "n_segments", "active_s"])
+
+
 def op9_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    media = store_media(documents(spark, sf_dir))
-    return media.mapInArrow(_digest, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, n_segments long, active_s double")
+    kept = stored_tensors(store_media(documents(spark, sf_dir)))
+    return kept.mapInArrow(_from_tensors, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, n_segments long, active_s double")

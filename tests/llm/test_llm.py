@@ -329,6 +329,18 @@ def test_audio(spark):
     assert all(a < b for a, b in zip(table.column("start_s").to_pylist(), table.column("end_s").to_pylist(), strict=True))
 
 
+def test_audio_query_stores_tensors(spark, sf, monkeypatch):
+    names, keep = [], audio_features.written
+    monkeypatch.setattr(audio_features, "written", lambda df, name: (names.append(name), keep(df, name))[1])
+    got = audio_features.op9_audio_features(spark, sf)
+    assert names == ["media", "tensors"]
+    media = audio_features.store_media(audio_features.documents(spark, sf))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, media.mapInArrow(audio_features._digest, got.schema).collect()))
+    text = "one two three " * 5000
+    kept = audio_features.stored_tensors(audio_features.store_media(docs_of(spark, [(1, text)]))).first()
+    assert all(len(x.log_mel) == 16 * 32 and x.start_s < x.end_s for x in kept.tensors) and len(kept.tensors) == -(-len(kept.energy) // 16) > 20
+
+
 def test_resampling_keeps_tones_and_drops_aliases():
     t = np.arange(16_000) / 16_000
     low = audio_features.resample(np.sin(2 * np.pi * 1000 * t).astype(np.float32))[200:-200]
