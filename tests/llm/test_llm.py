@@ -378,7 +378,7 @@ def test_near_duplicates(spark):
             n += 1
     rows += [(900, None, 100), (901, None, 101), (902, "", 102), (903, "", 102), (904, "one two", 103), (905, " one  two ", 103), (906, "one", 104)]
     df = spark.createDataFrame(rows, "doc_id long, text string, truth int")
-    sets = minhash_dedup.weighted_sets([t or "" for _, t, _ in rows], minhash_dedup.corpus_idf(df.select("text")))
+    sets = minhash_dedup.weighted_sets([t or "" for _, t, _ in rows], idf_of(df))
     root = {i: i for i, _, _ in rows}
 
     def find(x):
@@ -397,18 +397,6 @@ def test_near_duplicates(spark):
     assert minhash_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_members_all_but_equal_to_a_leader_keep_their_other_pairs():
-    draws = np.arange(3 * 48, dtype=np.int32).reshape(3, 48)
-    draws[1, :44] = draws[0, :44]  # all but equal to the first
-    draws[2, 21:] = draws[1, 21:]  # worth a look beside the second, not beside the first
-    n = np.arange(3)
-    zero = np.zeros(3, np.int64)
-    batch = {"k64": n, "k32": n.astype(np.int32), "r64": n, "r32": n.astype(np.int32), "draws": list(draws), "band": zero.astype(np.int32), "key": zero, "other": zero.astype(np.int32), "other_key": zero, "tile": zero.astype(np.int32)}
-    assert (draws[0] == draws[1]).mean() >= 0.9 and (draws[1] == draws[2]).mean() >= 0.55 > (draws[0] == draws[2]).mean()
-    found = [pair for out in minhash_dedup._pair_up(iter([pa.RecordBatch.from_pydict(batch)])) for pair in zip(out.column("a64").to_pylist(), out.column("b64").to_pylist(), strict=True)]
-    assert sorted(found) == [(0, 1), (1, 2)]
-
-
 def drifting(seed, chains, steps):
     """doc_id, text: chains of texts of 200 words, each with one or two words other than the one before."""
     rng = random.Random(seed)
@@ -423,26 +411,82 @@ def drifting(seed, chains, steps):
     return rows
 
 
-def test_links_of_drifting_copies(spark):
+def idf_of(df):
+    return minhash_dedup.corpus_idf(minhash_dedup.distinct_texts(df), df.count())
+
+
+def least_of_classes(rows, sets, threshold=0.8):
+    """The least doc_id of each row's class, by comparing all pairs."""
+    root = list(range(len(rows)))
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if minhash_dedup.weighted_jaccard(sets[i], sets[j]) >= threshold:
+            x, y = find(i), find(j)
+            root[max(x, y)] = min(x, y)
+    return {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+
+
+def test_classes_of_drifting_copies(spark, monkeypatch):
     rows = drifting(4, 3, 40)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    sets = minhash_dedup.weighted_sets([t for _, t in rows], minhash_dedup.corpus_idf(df.select("text")))
-    near = [[i != j and minhash_dedup.weighted_jaccard(x, y) >= 0.8 for j, y in enumerate(sets)] for i, x in enumerate(sets)]
-    least = list(range(len(rows)))
-    for _ in rows:
-        least = [min(least[i], *(least[j] for j, y in enumerate(x) if y), i) for i, x in enumerate(near)]
-    got = {r.doc_id: r for r in minhash_dedup.near_duplicates(df, bands=24).collect()}
-    assert [got[i].n_links for i in range(len(rows))] == [sum(x) for x in near]
-    assert [got[i].class_id for i in range(len(rows))] == least
-    quick = minhash_dedup.near_duplicates(df, bands=24, count_links=False)
-    assert {r.doc_id: r.class_id for r in quick.collect()} == dict(enumerate(least))
-
-
-def test_links_do_not_depend_on_the_size_of_buckets(spark, monkeypatch):
-    df = spark.createDataFrame(drifting(5, 2, 30), "doc_id long, text string")
-    whole = sorted(map(tuple, minhash_dedup.near_duplicates(df, bands=2).collect()))
-    monkeypatch.setattr(minhash_dedup, "LARGE", 2)
-    assert sorted(map(tuple, minhash_dedup.near_duplicates(df, bands=2).collect())) == whole
+    least = least_of_classes(rows, minhash_dedup.weighted_sets([t for _, t in rows], idf_of(df)))
+    for tile in (512, 4):  # whatever the size of a tile
+        monkeypatch.setattr(minhash_dedup, "TILE", tile)
+        assert {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(df, bands=24).collect()} == least
+
+
+def partners(n):
+    """n pairs of texts: about 0.93 within a pair, 0.65 to 0.79 beyond."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    common, rows = [word() for _ in range(800)], []
+    for _ in range(n):
+        own = [word() for _ in range(17)]
+        for _ in range(2):
+            text = common + own
+            text[rng.randrange(800)] = word()
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+def test_partners_within_a_large_group_below_the_threshold(spark, monkeypatch):
+    rows = partners(200)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = minhash_dedup.weighted_sets([t for _, t in rows], idf_of(df))
+    likeness = [[minhash_dedup.weighted_jaccard(x, y) for y in sets[i + 1 : i + 40]] for i, x in enumerate(sets[:60])]
+    assert all(x[0] > 0.8 for x in likeness[::2]) and max(max(x[1:]) for x in likeness[::2]) < 0.8 and min(min(x) for x in likeness) > 0.6
+    for tile in (512, 64):
+        made = []
+        keep = minhash_dedup.written
+        monkeypatch.setattr(minhash_dedup, "TILE", tile)
+        monkeypatch.setattr(minhash_dedup, "written", lambda d, name, made=made, keep=keep: (made.append((name, out := keep(d, name))), out)[1])
+        got = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(df).collect()}
+        assert got == {i: i - i % 2 for i in range(len(rows))}
+        assert sum(out.count() for name, out in made if name == "edges") <= 12 * 2 * len(rows)  # edges of forests, never pairs
+        monkeypatch.undo()
+
+
+def test_shared_weights_equal_pair_by_pair():
+    rng = np.random.default_rng(4)
+    n, idf = 30, minhash_dedup.Idf(30, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(n)]
+    counts = [rng.integers(1, 5, len(s)) for s in sets]
+    both = minhash_dedup.shared_weights(np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets), np.concatenate(counts), idf, n)
+    for i, j in itertools.combinations(range(n), 2):
+        a, b = (dict(zip(sets[k].tolist(), (counts[k] * idf(sets[k])).tolist(), strict=True)) for k in (i, j))
+        assert both[i, j] == pytest.approx(sum(min(w, b[v]) for v, w in a.items() if v in b), rel=1e-5)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [*ODD, (None, "one two"), (None, "x" * 5000), (8, "x" * 5000), (None, None), (None, "alone here")]
+    got = Counter((r.doc_id, r.class_id, r.kept) for r in minhash_dedup.near_duplicates(docs_of(spark, rows)).collect())
+    assert got == Counter([(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (6, 6, True), (7, 7, True), (8, 8, True), (8, 8, True), (None, 4, False), (None, 8, False), (None, None, True), (None, None, True)])
+    df = docs_of(spark, rows)
+    kept = minhash_dedup.keep_one(df)
+    assert kept.columns == df.columns and Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, 6, 7, 8, None, None])
 
 
 def test_pipeline(spark):
