@@ -5,8 +5,9 @@ and compiled on the driver into a minimal acyclic transducer: equal suffixes sha
 word's arcs add up to its number, which selects its ids. The arrays are one file's worth of a few MB (bounded by `lexicon`), broadcast, and
 memory-mapped by each worker. Words outside the lexicon are merged exactly, by rank, all words of a batch together.
 
-Text is cut at single spaces first, since word boundaries always lie there; pieces repeat, so each is handled once a
-worker. Texts with other runs of white space next to spaces, white space beyond ASCII or special tokens are cut by the full pattern.
+Text is cut before each space first, since word boundaries always lie there; pieces repeat, so each is handled once a
+worker, and known ones are found by 64-bit hash, all pieces of a slice of text together. Ids, their decimal numbers and the decoded bytes
+are gathered from tables for whole slices. Texts with other runs of white space next to spaces, white space beyond ASCII or special tokens are cut by the full pattern.
 Null texts are empty: no ids, and they decode to nothing. Ties in frequency at the lexicon's edge leave all tied words out. Nothing is cut short; equal texts give equal ids.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import io
+import itertools
 import json
 import os
 import re
@@ -27,16 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Table, documents, spread, text_slices, written
+from .common import SPACE, Table, documents, spread, text_slices, word_hashes, written
 from .vocabularies import tokenizer_path
 
 LEXICON = 1 << 16
-MEMO = 300_000
+MEMO = 1 << 20
 LONG = 256
 #: Fixed value: the pattern by which byte-level BPE splits text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Where a cut before each space could be wrong: a space between other white space, or at the end after some; white space beyond ASCII.
-UNEVEN = re.compile(r"[\t-\r ] (?:[\t-\r ]|\Z)|[\x1c-\x1f\x85\xa0  -     　]")
 NONE = np.iinfo(np.int64).max
 
 
@@ -252,12 +252,85 @@ def merges_of(path: str) -> Merges:
     return _MERGES[path]
 
 
+#: UTF-8 of white space beyond ASCII, by its first two bytes and the range of the third.
+_WIDE = ((0xC2, 0x85, None), (0xC2, 0xA0, None), (0xE1, 0x9A, (0x80, 0x80)), (0xE2, 0x80, (0x80, 0x8A)), (0xE2, 0x80, (0xA8, 0xA9)), (0xE2, 0x80, (0xAF, 0xAF)), (0xE2, 0x81, (0x9F, 0x9F)), (0xE3, 0x80, (0x80, 0x80)))
+
+
+def uneven_rows(data: np.ndarray, off: np.ndarray, special: list[bytes]) -> np.ndarray:
+    """Rows where a cut before each space could be wrong: a space between other white space, or at the end after some; white space beyond ASCII; special tokens."""
+    at = []
+    after = np.concatenate([data[1:], [0, 0]]).astype(np.uint8)
+    first_of_row = np.zeros(len(data) + 2, bool)
+    first_of_row[off] = True
+    spaced = SPACE[data[:-1]] & (data[1:] == 32) & ~first_of_row[1 : len(data)] if len(data) else np.zeros(0, bool)
+    at.append(np.flatnonzero(spaced & (SPACE[after[1 : len(data)]] | first_of_row[2 : len(data) + 1])))
+    at.append(np.flatnonzero((data >= 0x1C) & (data <= 0x1F)))
+    lead = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
+    second, third = after[lead], after[np.minimum(lead + 1, len(after) - 1)]
+    for one, two, three in _WIDE:
+        hit = (data[lead] == one) & (second == two)
+        at.append(lead[hit if three is None else hit & (third >= three[0]) & (third <= three[1])])
+    raw = data.tobytes() if special else b""
+    for token in special:
+        k = raw.find(token)
+        while k >= 0:
+            at.append(np.array([k]))
+            k = raw.find(token, k + 1)
+    rows = np.zeros(len(off) - 1, bool)
+    rows[np.searchsorted(off, np.concatenate(at), side="right") - 1] = True
+    return rows
+
+
+def piece_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces: a row is cut before each space. And how many each row has."""
+    cut = data == 32
+    cut[off[:-1][off[:-1] < off[1:]]] = True
+    starts = np.flatnonzero(cut)
+    return starts, np.append(starts[1:], len(data))[: len(starts)], np.diff(np.searchsorted(starts, off))
+
+
+class Pieces:
+    """Numbers of pieces in the order in which they come; learn(strings) is told the new ones."""
+
+    def __init__(self, learn):
+        self.learn = learn
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def number(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        h = word_hashes(data, starts, ends)
+        at = np.searchsorted(self.keys, h)
+        miss = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != h) if len(self.keys) else np.arange(len(h))
+        if len(miss):
+            new, example = np.unique(h[miss], return_index=True)
+            example = miss[example]
+            self.learn([data[a:b].tobytes().decode() for a, b in zip(starts[example].tolist(), ends[example].tolist(), strict=True)])
+            self.numbers = np.insert(self.numbers, place := np.searchsorted(self.keys, new), len(self.numbers) + np.arange(len(new)))
+            self.keys = np.insert(self.keys, place, new)
+            at = np.searchsorted(self.keys, h)
+        return self.numbers[at]
+
+
+class Strings:
+    """Byte strings by number: of many numbers, all bytes and how many each has."""
+
+    def __init__(self, strings: list[bytes]):
+        self.counts = np.array([len(x) for x in strings], np.int64)
+        self.starts, self.flat = np.cumsum(self.counts) - self.counts, np.frombuffer(b"".join(strings), np.uint8)
+
+    def __call__(self, numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+        counts = self.counts[numbers]
+        return self.flat[spread(self.starts[numbers], counts)].tobytes(), counts
+
+
 class Encoder:
     def __init__(self, path: str, image: bytes):
         self.bpe, self.lexicon = merges_of(path), Lexicon(image)
-        self.words, self.pieces = Table(), Table()
-        self.shown: list[str] = []
+        self.decimal, self.decoded = Strings([b"%d," % i for i in range(self.bpe.n)]), Strings(self.bpe.bytes_of)
         self.special = re.compile("(" + "|".join(map(re.escape, self.bpe.special)) + ")") if self.bpe.special else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.table, self.pieces = Table(), Table(), Pieces(self.learn_pieces)
 
     def learn_words(self) -> None:
         if not self.words.new:
@@ -278,22 +351,14 @@ class Encoder:
             flat[spread(ends[unseen] - counts[unseen], counts[unseen])] = np.concatenate(merged)
         self.words.learn(flat, counts)
 
-    def learn_pieces(self) -> None:
-        """A piece is text after a space (str), or before any (bytes)."""
-        if not self.pieces.new:
-            return
-        split = [self.bpe.words(" " + p if isinstance(p, str) else p.decode()) for p in self.pieces.new]
+    def learn_pieces(self, new: list[str]) -> None:
+        split = [self.bpe.words(p) for p in new]
         at = np.fromiter((self.words[w] for ws in split for w in ws), np.int64)
         self.learn_words()
         n_words = np.array([len(ws) for ws in split], np.int64)
         lengths = np.concatenate([[0], np.cumsum(self.words.counts[at])])
         ends = np.cumsum(n_words)
-        counts = lengths[ends] - lengths[ends - n_words]
-        flat = self.words.ids(at)
-        stop = np.cumsum(counts).tolist()
-        numbers = flat.tolist()
-        self.shown += [",".join(map(str, numbers[b - n : b])) for b, n in zip(stop, counts.tolist(), strict=True)]
-        self.pieces.learn(flat, counts)
+        self.table.learn(self.words.ids(at), lengths[ends] - lengths[ends - n_words])
 
     def full(self, text: str) -> np.ndarray:
         """By the full pattern, special tokens apart."""
@@ -307,33 +372,48 @@ class Encoder:
         held = [np.array([-p], np.int32) if p <= 0 and -p in self.bpe.special.values() else self.words.ids(np.array([p - 1])) for p in parts]
         return np.concatenate(held) if held else np.zeros(0, np.int32)
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
-        """The ids of each text, as an array and as decimal numbers with commas."""
-        if len(self.words) > MEMO or len(self.pieces) > MEMO:
-            self.words.forget()
-            self.pieces.forget()
-            self.shown = []
-        cut: list = []
-        for text in texts:
-            if UNEVEN.search(text) or (self.special and self.special.search(text)):
-                cut.append(None)
-                continue
-            pieces: list = text.split(" ")
-            pieces[0] = pieces[0].encode()
-            cut.append([self.pieces[p] for p in (pieces if pieces[0] else pieces[1:])])
-        self.learn_pieces()
-        out = []
-        for text, at in zip(texts, cut, strict=True):
-            if at is None:
-                ids = self.full(text)
-                out.append((ids, ",".join(map(str, ids.tolist()))))
-            else:
-                out.append((self.pieces.ids(np.array(at, np.int64)), ",".join([self.shown[i] for i in at])))
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows (UTF-8 bytes and offsets), and how many each has."""
+        if len(self.words) > MEMO or len(self.pieces.keys) > MEMO:
+            self.forget()
+        odd = uneven_rows(data, off, [t.encode() for t in self.bpe.special])
+        starts, ends, per = piece_spans(data, off)
+        if odd.any():
+            plain = np.repeat(~odd, per)
+            starts, ends, per = starts[plain], ends[plain], np.where(odd, 0, per)
+        at = self.pieces.number(data, starts, ends)
+        total = np.concatenate([[0], np.cumsum(self.table.counts[at])])
+        last = np.cumsum(per)
+        counts = total[last] - total[last - per]
+        ids = self.table.ids(at)
+        if not odd.any():
+            return ids, counts
+        more = {r: self.full(data[off[r] : off[r + 1]].tobytes().decode()) for r in np.flatnonzero(odd).tolist()}
+        begin = np.cumsum(counts)
+        parts, done = [], 0
+        for r, x in more.items():
+            parts += [ids[done : begin[r]], x]
+            done, counts[r] = begin[r], len(x)
+        return np.concatenate([*parts, ids[done:]]), counts
+
+    def shown(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The ids of each row in decimal, with commas."""
+        return [x[:-1] for x in _rows(*self.decimal(ids), counts)]
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The text of each row's ids, in UTF-8."""
+        out = _rows(*self.decoded(ids), counts)
+        for i, x in enumerate(out):
+            try:
+                x.decode()
+            except UnicodeDecodeError:
+                out[i] = x.decode(errors="replace").encode()
         return out
 
 
-def decode(ids: list[int], bytes_of: list[bytes]) -> str:
-    return b"".join([bytes_of[i] for i in ids]).decode(errors="replace")
+def _rows(flat: bytes, sizes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    cuts = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+    return [flat[a:b] for a, b in itertools.pairwise(cuts)]
 
 
 def _count_words(path: str):
@@ -341,33 +421,39 @@ def _count_words(path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = merges_of(path)
-        special = re.compile("|".join(map(re.escape, bpe.special))) if bpe.special else None
-        pieces: Counter = Counter()
-
-        def words():
-            found: Counter = Counter()
-            for piece, n in pieces.items():
-                for w in bpe.words(piece if isinstance(piece, str) else piece.decode()):
-                    found[w] += n
-            pieces.clear()
-            return pa.record_batch([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
-
+        special = [t.encode() for t in bpe.special]
+        words, flat, lengths, full = Table(), [], [], Counter()
+        counts = np.zeros(0, np.int64)
+
+        def learn(new: list[str]) -> None:
+            for piece in new:
+                found = [words[w] for w in bpe.words(piece)]
+                flat.extend(found)
+                lengths.append(len(found))
+
+        def result():
+            n = np.bincount(flat, weights=np.repeat(counts, lengths), minlength=len(words)).astype(np.int64)
+            n = dict(zip(words, n.tolist(), strict=True))
+            for w, k in full.items():
+                n[w] = n.get(w, 0) + k
+            return pa.record_batch([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
+
+        pieces = Pieces(learn)
         for batch in batches:
-            for rows, _, _ in text_slices(batch, "text"):
-                for text in rows.column("text").to_pylist():
-                    if not text:
-                        continue
-                    if UNEVEN.search(text) or (special and special.search(text)):
-                        pieces.update(bpe.words(text))
-                        continue
-                    first, _, rest = text.partition(" ")
-                    pieces[first.encode()] += 1
-                    if rest or len(first) < len(text):
-                        pieces.update([" " + p for p in rest.split(" ")])
-                if len(pieces) > MEMO:
-                    yield words()
-        if pieces:
-            yield words()
+            for _, data, off in text_slices(batch, "text"):
+                odd = uneven_rows(data, off, special)
+                starts, ends, per = piece_spans(data, off)
+                plain = np.repeat(~odd, per)
+                found = np.bincount(pieces.number(data, starts[plain], ends[plain]), minlength=len(lengths))
+                found[: len(counts)] += counts
+                counts = found
+                for r in np.flatnonzero(odd).tolist():
+                    full.update(bpe.words(data[off[r] : off[r + 1]].tobytes().decode()))
+                if len(lengths) + len(full) > MEMO:
+                    yield result()
+                    words, flat, lengths, full, pieces, counts = Table(), [], [], Counter(), Pieces(learn), np.zeros(0, np.int64)
+        if lengths or full:
+            yield result()
 
     return run
 
@@ -384,15 +470,15 @@ def build_lexicon(docs: DataFrame, path: str, lexicon: int = LEXICON) -> bytes:
 
 
 def encoded(docs: DataFrame, path: str, image: bytes, keep: list[str], finish, schema: str) -> DataFrame:
-    """Encodes each text and decodes its ids: finish(kept column arrays, [(ids, shown, decoded)]) gives a batch of the schema."""
+    """Encodes each text and decodes its ids: finish(encoder, kept column arrays, ids, how many each row has) gives a batch of the schema."""
     held = docs.sparkSession.sparkContext.broadcast(image)  # bounded by the lexicon's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, held.value)
         for batch in batches:
-            for rows, _, _ in text_slices(batch, "text", 4 << 20):
-                got = encoder.encode([t or "" for t in rows.column("text").to_pylist()])
-                yield finish([rows.column(c) for c in keep], [(ids, shown, decode(ids.tolist(), encoder.bpe.bytes_of)) for ids, shown in got])
+            for rows, data, off in text_slices(batch, "text", 2 << 20):
+                ids, counts = encoder.encode(data, off)
+                yield finish(encoder, [rows.column(c) for c in keep], ids, counts)
 
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
@@ -401,19 +487,19 @@ def bpe_documents(docs: DataFrame, path: str | None = None, lexicon: int = LEXIC
     """doc_id, n_tokens, ids (array of int), decoded (the text of the ids)."""
     path = path or tokenizer_path("byte_bpe_50k.json")
 
-    def finish(kept, got):
-        off = np.concatenate([[0], np.cumsum([len(i) for i, _, _ in got])]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([i for i, _, _ in got]).astype(np.int32)))
-        return pa.record_batch([*kept, pa.array(np.diff(off).astype(np.int64)), ids, pa.array([d for _, _, d in got], pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
+    def finish(encoder, kept, ids, counts):
+        off = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        texts = pa.array(encoder.decode(ids, counts), pa.binary()).cast(pa.string())
+        return pa.record_batch([*kept, pa.array(counts), pa.ListArray.from_arrays(pa.array(off), pa.array(ids.astype(np.int32))), texts], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return encoded(docs, path, build_lexicon(docs, path, lexicon), ["doc_id"], finish, "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json")
-    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    sha = lambda strings: pa.array([hashlib.sha256(x).hexdigest() for x in strings])
 
-    def finish(kept, got):
-        return pa.record_batch([*kept, pa.array([len(i) for i, _, _ in got], pa.int64()), pa.array([sha(s) for _, s, _ in got]), pa.array([sha(d) for _, _, d in got])], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def finish(encoder, kept, ids, counts):
+        return pa.record_batch([*kept, pa.array(counts), sha(encoder.shown(ids, counts)), sha(encoder.decode(ids, counts))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return encoded(docs, path, build_lexicon(docs, path), ["doc_id"], finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

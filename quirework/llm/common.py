@@ -66,15 +66,15 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Ite
         i = j
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True
 
 
 def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word in the bytes of several rows, and how many words each row has."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off) - 1, np.int64)
-    inside = ~_SPACE[data]
+    inside = ~SPACE[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

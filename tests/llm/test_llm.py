@@ -199,9 +199,34 @@ def test_bpe_equals_the_library():
     image = bpe.compile_lexicon(words, merges.merge(words))
     lexicon = bpe.Lexicon(image)
     assert (lexicon.find(words) == np.arange(len(words))).all() and (lexicon.find([w + b"\xff" for w in words]) == -1).all()
-    for text, (ids, shown) in zip(texts, bpe.Encoder(path, image).encode(texts), strict=True):
-        assert ids.tolist() == reference.encode(text, add_special_tokens=False).ids
-        assert shown == ",".join(map(str, ids.tolist())) and bpe.decode(ids.tolist(), merges.bytes_of) == text
+    encoder, raw = bpe.Encoder(path, image), [t.encode() for t in texts]
+    for some in (raw, raw[:700], raw[-1:], [b""], []):  # again, with what is known
+        ids, counts = encoder.encode(np.frombuffer(b"".join(some), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in some])]).astype(np.int64))
+        parts = np.split(ids, np.cumsum(counts)[:-1]) if some else []
+        for text, part, shown, decoded in zip(some, parts, encoder.shown(ids, counts), encoder.decode(ids, counts), strict=True):
+            assert part.tolist() == reference.encode(text.decode(), add_special_tokens=False).ids
+            assert shown.decode() == ",".join(map(str, part.tolist())) and decoded == text
+    broken = np.array([merges.byte_id[0xC3], merges.byte_id[0x28]])
+    assert encoder.decode(broken, np.array([2]))[0].decode() == reference.decode(broken.tolist(), skip_special_tokens=False)
+
+
+def test_bpe_query_equals_the_library(spark, sf):
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    expected = []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = reference.encode(r.text or "", add_special_tokens=False).ids
+        expected.append((r.doc_id, len(ids), sha(",".join(map(str, ids))), sha(reference.decode(ids, skip_special_tokens=False))))
+    assert sorted(map(tuple, bpe.op6_bpe(spark, sf).collect())) == sorted(expected)
+
+
+def test_bpe_counts_every_word(spark):
+    texts = ["a b  c\td", "the the cat", " lead", "x\u00a0y z ", None, "", "a <|endoftext|> b"]
+    df, path = spark.createDataFrame([(t,) for t in texts], "text string"), tokenizer_path("byte_bpe_50k.json")
+    got = {r.word: r.n for r in df.mapInArrow(bpe._count_words(path), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    assert got == Counter(w for t in texts if t for w in bpe.merges_of(path).words(t))
 
 
 def test_lexicon_shares_suffixes():
@@ -230,6 +255,57 @@ def test_language_model(spark):
         assert got[i].held_out == (i not in train) and got[i].train_tokens == total and got[i].score < 0
 
 
+def test_tail_odds_add_up_to_one():
+    rng = np.random.default_rng(3)
+    share = rng.random(50)
+    keys = np.unique(rng.integers(0, 20, 60) << 16 | rng.integers(1, 51, 60)).astype(np.uint32)
+    tails = attention_lm.TailPairs(keys, rng.integers(1, 9, len(keys)), np.log(share / share.sum()))
+    for before in (-1, 3, 7, 40):
+        assert np.exp(tails(np.full(50, before), np.arange(50))).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_pair_counts(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 49_000, rng.integers(0, 30)).astype(np.uint16) for _ in range(200)] * 2
+    expected = Counter()
+    for t in texts:
+        expected.update(itertools.pairwise([-1, *t.tolist(), -1]))
+    monkeypatch.setattr(attention_lm, "HELD_PAIRS", 1_000)
+    df = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "ids binary")
+    got = Counter()
+    for r in attention_lm.pair_counts(df).collect():
+        x = np.frombuffer(bytes(r.pairs), np.uint32).astype(int)
+        got.update(dict(zip(zip(((x >> 16) - 1).tolist(), ((x & 0xFFFF) - 1).tolist(), strict=True), np.frombuffer(bytes(r.n), np.int64).tolist(), strict=True)))
+    # An end between two texts is one symbol: it closes one and opens the next.
+    assert {k: n for k, n in got.items() if -1 not in k} == {k: n for k, n in expected.items() if -1 not in k}
+    assert sum(n for k, n in got.items() if k[1] == -1) == len(texts)
+
+
+def test_language_model_beats_its_base_and_ignores_partitions(spark):
+    path = tokenizer_path("word_bpe_49k.json")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where("doc_id % 2 = 0")
+    rows = attention_lm.lm_scores(docs, path).collect()
+    held = [r for r in rows if r.held_out]
+    per = sum(r.n_tokens for r in held)
+    assert sum(r.score for r in held) / per > sum(r.base_score for r in held) / per
+    docs = docs.where("doc_id % 40 = 0")
+    rows = attention_lm.lm_scores(docs, path).collect()
+    again = {r.doc_id: r.score for r in attention_lm.lm_scores(docs.repartition(7), path).collect()}
+    assert all(r.score == pytest.approx(again[r.doc_id], rel=1e-3, abs=1e-2) for r in rows)
+
+
+def test_language_model_of_odd_rows(spark):
+    path = tokenizer_path("word_bpe_49k.json")
+    got = attention_lm.lm_scores(docs_of(spark, [*ODD, (None, "no id"), (9, "one two")]), path).collect()
+    assert len(got) == 10 and all(r.score < 0 for r in got)
+    by = {r.doc_id: r for r in got}
+    assert by[4].score == by[5].score == by[9].score and by[1].score == by[2].score and by[1].n_tokens == 1
+    assert attention_lm.lm_scores(docs_of(spark, ODD).limit(0), path).count() == 0
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2]
+    none = attention_lm.lm_scores(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string"), path).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 and r.score < 0 for r in none)
+
+
 def test_windows_score_each_symbol_once():
     rng = np.random.default_rng(0)
     counts = np.array([0, 5, 31, 32, 33, 100])
