@@ -112,14 +112,15 @@ class UnitIds:
             self.forget()
         low, first, last, odd, per_row = units(data, off)
         h = word_hashes(low, first, last) ^ np.where(odd, np.uint64(0x5DEECE66D), np.uint64(0))
-        distinct, example, at = np.unique(h, return_index=True, return_inverse=True)
-        new = distinct[~np.isin(distinct, self.keys, assume_unique=True)]
-        if len(new):
-            where = example[np.searchsorted(distinct, new)]
+        place = np.searchsorted(self.keys, h)
+        miss = np.flatnonzero(self.keys[np.minimum(place, len(self.keys) - 1)] != h) if len(self.keys) else np.arange(len(h))
+        if len(miss):
+            new, where = np.unique(h[miss], return_index=True)
+            where = miss[where]
             raw = low.tobytes()
             texts = [raw[a:b].decode() for a, b in zip(first[where].tolist(), last[where].tolist(), strict=True)]
             self.learn(new, texts, odd[where] | (_CLASS[low[first[where]]] == _DIGIT))
-        place = np.searchsorted(self.keys, distinct)[at]
+            place = np.searchsorted(self.keys, h)
         lengths = self.counts[place].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(per_row)
