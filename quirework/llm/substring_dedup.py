@@ -8,7 +8,9 @@ mapper slice. Repeated windows come back as intervals, which merge into maximal
 
 Exact as far as 64-bit hashes are: n windows give about n**2 / 2**65 false repeats (5e-4 at 1.3e8 windows).
 Null and empty texts have no words. Equal rows count as separate places, so all copies of a text of `width` words or
-more go entirely. Shorter texts stay whole. Other columns play no part, except that those in `keep` pass through.
+more go entirely. Shorter texts stay whole. Other columns play no part, and pass through; dedup_substrings() puts its counts in the place of columns
+named n_words and n_removed, if it is asked for counts. A text is joined with its removals by its key in a plain join of two exchanges, which
+adaptive execution can split where a text is very common.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, lists, mix, rolling, shuffle_partitions, sliding_min, spread, text_slices, word_hashes, word_spans
+from .common import WORD, documents, lists, mix, rolling, shuffle_partitions, sliding_min, spread, text_slices, word_hashes, word_spans, written
 
 WIDTH = 35
 ANCHOR = 8
@@ -49,7 +51,7 @@ def _runs_of(positions: np.ndarray, row: np.ndarray, bucket: np.ndarray | None =
 def _map_windows(width: int, buckets: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, off in text_slices(batch, "text"):
+            for rows, data, off in text_slices(batch, "text", 4 << 20):
                 starts, ends, counts = word_spans(data, off)
                 h = word_hashes(data, starts, ends)
                 if len(h) < width:
@@ -144,13 +146,13 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR)
     """(k64, k32, start, n): for each text key, runs of window starts whose window occurs again. texts: k64, k32, text."""
     n = shuffle_partitions(texts.sparkSession)
     runs = texts.select("k64", "k32", "text").where("text is not null").mapInArrow(_map_windows(width, n, min(anchor, width)), "bucket int, k64 binary, k32 binary, start binary, n binary, hashes binary, known boolean")
-    return runs.repartition(n, "bucket").mapInArrow(_count_windows, "k64 long, k32 int, start int, n int")
+    return runs.repartitionById(n, "bucket").mapInArrow(_count_windows, "k64 long, k32 int, start int, n int")
 
 
 def removals(rows: DataFrame, width: int = WIDTH, fn=None, schema: str = "") -> DataFrame:
     """Joins each text with its repeated windows and applies fn(row struct array, texts, kept word lists, n_words, n_removed)."""
     found = repeated_windows(rows, width).groupBy("k64", "k32", "start").agg(F.max("n").alias("n"))
-    found = found.groupBy("k64", "k32").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
+    found = written(found.groupBy("k64", "k32").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns")), "removals")
     return rows.join(found, ["k64", "k32"], "left").select("row", "text", "starts", "ns").mapInArrow(fn, schema)
 
 
@@ -171,8 +173,10 @@ def kept_words(batch: pa.RecordBatch, width: int) -> Iterator[tuple[list[bytes],
         yield words, [words[k] for k in np.flatnonzero(stay)]
 
 
-def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All columns of docs, the text cut to the words that no repeated window covers (joined by one space where anything was cut, else unchanged), and n_words, n_removed."""
+def dedup_substrings(docs: DataFrame, width: int = WIDTH, counts: bool = True) -> DataFrame:
+    """All columns of docs, the text cut to the words that no repeated window covers (joined by one space where anything was cut, else unchanged), and with `counts` n_words, n_removed."""
+    if counts:
+        docs = docs.drop("n_words", "n_removed")
     columns = [c for c in docs.columns if c != "text"]
     kind = docs.select(*columns).schema.simpleString() if columns else "struct<>"
 
@@ -186,7 +190,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield pa.record_batch([batch.column("row"), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], names=["row", "text", "n_words", "n_removed"])
 
     out = removals(keyed(docs, columns), width, cut, f"row {kind}, text string, n_words long, n_removed long")
-    return out.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns), "n_words", "n_removed")
+    return out.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns), *(["n_words", "n_removed"] if counts else []))
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
