@@ -21,12 +21,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a new local one, on one machine only (tests)."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             return found.get()
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         place = tempfile.mkdtemp(prefix="quirework-")
         spark.sparkContext.setCheckpointDir(place)
     return place

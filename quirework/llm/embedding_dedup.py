@@ -12,7 +12,8 @@ Equal vectors are one node with a multiplicity; buckets above TILE nodes are cut
 Tasks return sums for each node and at most one edge a node (a spanning forest), never pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing and are their own component. Vectors of
-different lengths do not link. Repeated rows are vectors like others; a vec_id with several vectors has a row for each. Other columns play no part.
+different lengths do not link. Repeated rows are vectors like others; a vec_id with several vectors has a row for each. Vectors without a
+vec_id link with nothing and are kept, in a component without a name. Other columns play no part. Vectors keep their type, and cosines are taken in double precision.
 """
 
 from __future__ import annotations
@@ -169,13 +170,15 @@ def _compare(threshold: float, eps: float):
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, eps: float = EPS, tile: int = TILE) -> DataFrame:
-    """vectors: vec_id, embedding. Returns vec_id, n_links, component_id, kept."""
+    """vectors: vec_id (long), embedding (array of float or double). Returns vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     sound = F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    sound = sound & F.col("vec_id").isNotNull()
+    kind = vectors.schema["embedding"].dataType.simpleString()
     rows = vectors.select("vec_id", "embedding", F.coalesce(F.xxhash64("embedding"), F.lit(0)).alias("k64"), sound.alias("sound"))
     nodes = written(rows.where("sound").groupBy("embedding", "k64").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")), "vec-nodes")
     bits, tables = plan_tables(nodes.count(), threshold, recall)
-    coded = nodes.select("vec_id", "k64", "n", "embedding").mapInArrow(_codes(bits, tables), "vec_id long, k64 long, n long, embedding array<float>, code binary, factor float, keys array<int>")
+    coded = nodes.select("vec_id", "k64", "n", "embedding").mapInArrow(_codes(bits, tables), f"vec_id long, k64 long, n long, embedding {kind}, code binary, factor float, keys array<int>")
     coded = written(coded, "vec-codes").withColumn("d", F.size("embedding"))
     keyed = coded.select("*", F.posexplode("keys").alias("t", "key"))
     sizes = keyed.groupBy("d", "t", "key").agg(F.count("*").alias("c")).where("c > 1")
@@ -190,13 +193,14 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, rec
     roots = components(found.select(F.struct("vec_id", "k64").alias("a"), F.struct(F.col("root_id").alias("vec_id"), F.col("root_k64").alias("k64")).alias("b")))
     nodes = nodes.select("vec_id", "k64", "n", "embedding").join(links, ["vec_id", "k64"], "left").join(roots.select("node.*", F.col("root.vec_id").alias("root_id")), ["vec_id", "k64"], "left")
     nodes = nodes.select(F.col("k64").alias("c64"), F.col("embedding").alias("same"), "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root_id", "vec_id").alias("root_id"))
+    nodes = written(nodes, "vec-classes")  # one row a vector, so that copies meet in a plain join
     out = rows.join(nodes, F.col("sound") & (F.col("k64") == F.col("c64")) & (F.col("embedding") == F.col("same")), "left")
     component = F.coalesce("root_id", "vec_id")
-    return out.select("vec_id", F.coalesce(F.col("links") + F.col("n") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    return out.select("vec_id", F.coalesce(F.col("links") + F.col("n") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<float>").alias("embedding")))
+    return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 OP8_SQL = f"""
