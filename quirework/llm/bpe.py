@@ -48,7 +48,7 @@ def byte_letters() -> list[str]:
 
 
 class Merges:
-    """The vocabulary of a byte-level BPE file, and exact merging."""
+    """The vocabulary of a byte-level BPE file, and exact merging. In files that mark the ends of words, a word's last byte has a letter of its own."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -63,11 +63,13 @@ class Merges:
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
         self.byte_id = np.array([vocab[c] for c in byte_letters()], np.int64)
+        end = spec["model"].get("end_of_word_suffix") or ""
+        self.last_id = np.array([vocab[c + end] for c in byte_letters()], np.int64)
         pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
         keys = np.array([vocab[a] * self.n + vocab[b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order
-        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)  # a letter at the end keeps its mark
         self.pattern = None
 
     def words(self, text: str) -> list[str]:
@@ -89,7 +91,9 @@ class Merges:
         for i in set(range(len(words))) - set(short):
             out[i] = self.merge_long(words[i])
         lengths = np.array([len(words[i]) for i in short], np.int64)
-        sym = self.byte_id[np.frombuffer(b"".join(words[i] for i in short), np.uint8)]
+        raw = np.frombuffer(b"".join(words[i] for i in short), np.uint8)
+        sym, ends = self.byte_id[raw], np.cumsum(lengths[lengths > 0]) - 1
+        sym[ends] = self.last_id[raw[ends]]
         live = np.array(short, np.int64)
         live, lengths = live[lengths > 0], lengths[lengths > 0]
         for i in short:
@@ -127,7 +131,7 @@ class Merges:
 
     def merge_long(self, word: bytes) -> np.ndarray:
         """As merge(), for one long word, in n log n steps."""
-        sym = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
+        sym = [*self.byte_id[np.frombuffer(word[:-1], np.uint8)].tolist(), int(self.last_id[word[-1]])]
         after, before = [*range(1, len(sym)), -1], [-1, *range(len(sym) - 1)]
         ranks = self.rank(np.array(sym[:-1]), np.array(sym[1:]))
         heap = [(int(r), i, sym[i], sym[i + 1]) for i, r in enumerate(ranks) if r != NONE]

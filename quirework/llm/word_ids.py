@@ -11,6 +11,7 @@ import os
 
 import numpy as np
 
+from .bpe import Merges
 from .common import spread, word_hashes, word_spans
 
 #: Units that a worker remembers.
@@ -63,7 +64,9 @@ def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 class UnitIds:
-    def __init__(self, path: str):
+    """own: plain units are merged here, all new ones together, to the library's ids; else by the library itself."""
+
+    def __init__(self, path: str, own: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
         from tokenizers import Tokenizer
 
@@ -73,6 +76,7 @@ class UnitIds:
         self.size = self.tokenizer.get_vocab_size()
         zero = self.library("0")
         self.between = zero[0] if len(zero) == 1 and len(self.library("a 0 b")) == 3 else None
+        self.own = Merges(path) if own and self.between is not None else None
         self.forget()
 
     def forget(self) -> None:
@@ -86,7 +90,12 @@ class UnitIds:
         """Encodes new units: plain ones many at a time with zeros between, which no other plain unit holds."""
         got_ids, got_counts, got_keys = [], [], []
         plain = np.flatnonzero(~alone) if self.between is not None else np.zeros(0, np.int64)
-        for a in range(0, len(plain), BATCH):
+        if self.own is not None and len(plain):
+            merged = self.own.merge([texts[i].encode() for i in plain])
+            got_ids.append(np.concatenate(merged).astype(np.int32))
+            got_counts.append(np.array([len(m) for m in merged]))
+            got_keys.append(keys[plain])
+        for a in range(0, len(plain) if self.own is None else 0, BATCH):
             part = plain[a : a + BATCH]
             ids = np.array(self.library(" 0 ".join([texts[i] for i in part])), np.int32)
             cuts = np.flatnonzero(ids == self.between)
@@ -132,11 +141,11 @@ class UnitIds:
         return out, counts
 
 
-_KNOWN: dict[str, UnitIds] = {}
+_KNOWN: dict[tuple[str, bool], UnitIds] = {}
 
 
-def unit_ids(path: str) -> UnitIds:
+def unit_ids(path: str, own: bool = False) -> UnitIds:
     """The worker's encoder, which later tasks use again."""
-    if path not in _KNOWN:
-        _KNOWN[path] = UnitIds(path)
-    return _KNOWN[path]
+    if (path, own) not in _KNOWN:
+        _KNOWN[path, own] = UnitIds(path, own)
+    return _KNOWN[path, own]

@@ -20,7 +20,7 @@ ODD = [(1, None), (2, ""), (3, "  \n\t "), (4, "one two"), (5, "one two"), (6, "
 
 def docs_of(spark, rows, **more):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for name in ("n", "row", "size", "key", "part", "k64", "ids", "bucket"):  # clashing names
+    for name in ("n", "row", "size", "key", "part", "k64", "ids", "bucket", "n_words", "n_removed", "starts", "mine", "copies", "bytes", "kept", "class_id", "score", "decoded", "n_tokens"):  # clashing names
         df = df.withColumn(name, F.lit("other"))
     return df.withColumns({"source": F.lit("a"), **more})
 
@@ -49,6 +49,23 @@ def test_substrings_against_brute_force(spark):
         assert (got[i].text or "").split() == [k.decode() for k in kept]
         assert got[i].row == "other"
     assert substring_dedup.dedup_substrings(df.limit(0), 6).count() == 0
+    plain = substring_dedup.dedup_substrings(df, 6, counts=False)
+    assert plain.columns == df.columns and {r.n_words for r in plain.collect()} == {"other"}
+    assert Counter(substring_dedup.dedup_substrings(df, 6).columns) == Counter(df.columns)
+
+
+def test_substring_query_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert substring_dedup.op1_substring_dedup(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_stage_keeps_clashing_columns(spark):
+    import corpus_pipeline
+
+    df = docs_of(spark, [*ODD, (None, "a b c")])
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, df, "")
+        assert out.columns == df.columns and {r.n_words for r in out.collect()} == {"other"}
 
 
 def test_rolling_hash():
@@ -182,11 +199,13 @@ def fuzz(rng, letters, n, most):
 
 def test_word_units_equal_the_library():
     texts = fuzz(random.Random(5), "abcABÀÿßöÖ×÷'’,.-!0129²ªµ_#<|>日本 \n\té̈Σς\x1c\x00\x7f", 1500, 40) + ["<|endoftext|>", "a<|startoftext|>b 0 0 10", "it's", ""]
-    encoder = word_ids.UnitIds(tokenizer_path("word_bpe_49k.json"))
+    texts += ["ab" * 400 + "the" * 300, "theand " * 50] + fuzz(random.Random(6), "thean dingreouéß", 1500, 60)
     raw = [t.encode() for t in texts]
-    ids, counts = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64), 1)
-    for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
-        assert part.tolist() == encoder.library(text) + [1]
+    for own in (False, True):
+        encoder = word_ids.UnitIds(tokenizer_path("word_bpe_49k.json"), own)
+        ids, counts = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64), 1)
+        for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+            assert part.tolist() == encoder.library(text) + [1]
 
 
 def test_bpe_equals_the_library():
@@ -358,6 +377,15 @@ def test_vectors(spark):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_without_ids_and_in_double_precision(spark):
+    rng = np.random.default_rng(6)
+    a = rng.standard_normal(16)
+    far = np.append(np.zeros(15), 1e200) + np.append(1e199, np.zeros(15))  # beyond the range of float
+    rows = [(1, a.tolist()), (2, (a * (1 + 1e-12)).tolist()), (None, a.tolist()), (None, None), (3, far.tolist()), (4, (far * 1e-300).tolist())]
+    got = Counter(map(tuple, embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert got == Counter([(1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True), (None, 0, None, True), (3, 1, 3, True), (4, 1, 3, False)])
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(0)
     d = 64
