@@ -7,7 +7,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-REVIEW_FILTERS = ("gt_verified", "approved", "agent_verified", "needs_review", "ok")
+
+def review_filter(status: str) -> Column:
+    """The objects that a review status lets through; needs_review and agent_verified overlap with the others. Rows: gt_verified, review_status, needs_review."""
+    truth, needs, state = F.coalesce("gt_verified", F.lit(False)), F.col("needs_review"), F.coalesce("review_status", F.lit(""))
+    known = {
+        "gt_verified": truth,
+        "human_verified": (state == "approved") & ~truth,
+        "agent_verified": state == "agent_verified",
+        "llm_ok": F.coalesce(~needs, F.lit(False)) & ~truth & ~state.isin("approved", "agent_verified"),
+        "needs_review": F.coalesce(needs, F.lit(False)),
+    }
+    return known[status]
 
 
 @dataclass(frozen=True)
@@ -29,15 +40,15 @@ class Query:
 
 
 def filtered(rows: DataFrame, q: Query) -> DataFrame:
-    """Conjunction of the filters that are set; group matches the classification or the group's label."""
+    """Conjunction of the filters that are set; group matches the classification, or where that is empty the group's label."""
     if q.collection is not None:
         rows = rows.where(F.col("collection") == q.collection)
     if q.group is not None:
-        rows = rows.where((F.col("classification") == q.group) | (F.col("group_label") == q.group))
+        rows = rows.where(F.coalesce(F.nullif("classification", F.lit("")), "group_label") == q.group)
     if q.confidence is not None:
         rows = rows.where(F.col("confidence") == q.confidence)
     if q.status is not None:
-        rows = rows.where(F.col("tier") == q.status)
+        rows = rows.where(review_filter(q.status))
     if q.search:
         found = F.lit(False)
         for c in q.search_in:
@@ -83,9 +94,8 @@ def shares(rows: DataFrame, key: str) -> DataFrame:
 
 
 def upper_median(value: str) -> Column:
-    """The middle value, of two the upper: element n // 2 in order."""
-    ordered_ = F.array_sort(F.collect_list(value))
-    return F.element_at(ordered_, (F.floor(F.size(ordered_) / 2) + 1).cast("int"))
+    """The middle value, of two the upper: element n // 2 in order. Values are counted, not collected."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")
 
 
 def neighbours(rows: DataFrame, order: list[Column | str], key: str, within: list[str]) -> DataFrame:
@@ -93,20 +103,21 @@ def neighbours(rows: DataFrame, order: list[Column | str], key: str, within: lis
     return rows.withColumns({"previous": F.lag(key).over(w), "next": F.lead(key).over(w)})
 
 
-def first_needed(rows: DataFrame, group: str, order: str, need: DataFrame) -> DataFrame:
-    """The first rows of each group, as many as it needs. need: group, need."""
+def first_needed(rows: DataFrame, group: str, order: str, need: DataFrame, most: int | None = None) -> DataFrame:
+    """The first rows of each group, as many as it needs. need: group, need. With `most`, a bound on need, each task passes on that many of a group only."""
     nth = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return rows.withColumn("nth", nth).join(need, group).where(F.col("nth") <= F.col("need")).drop("nth", "need")
+    ranked = rows.withColumn("nth", nth)
+    ranked = ranked if most is None else ranked.where(F.col("nth") <= most)
+    return ranked.join(need, group).where(F.col("nth") <= F.col("need")).drop("nth", "need")
 
 
 def alternating_sample(rows: DataFrame, group: str, flag: str, order: str, n: int) -> DataFrame:
-    """Up to n of each group: clean, flagged, clean, flagged, ... while both last, then the rest, clean first."""
+    """Up to n of each group: clean, flagged, clean, flagged, ... while both last, then the rest, clean first. Only n of each kind of a group are sorted together."""
     nth = F.row_number().over(Window.partitionBy(group, flag).orderBy(order))
-    both = Window.partitionBy(group)
-    rows = rows.withColumn("nth", nth)
-    shorter = F.least(F.count_if(~F.col(flag)).over(both), F.count_if(F.col(flag)).over(both))
-    rows = rows.withColumn("slot", F.when(F.col("nth") <= shorter, F.col("nth") * 2 - F.when(F.col(flag), 0).otherwise(1)).otherwise(F.lit(1 << 40) + F.when(F.col(flag), F.lit(1 << 40)).otherwise(0) + F.col("nth")))
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy("slot"))).where(F.col("place") <= n).drop("nth", "slot")
+    counts = rows.groupBy(group).agg(F.least(F.count_if(~F.col(flag)), F.count_if(F.col(flag))).alias("shorter"))
+    rows = rows.withColumn("nth", nth).where(F.col("nth") <= n).join(counts, group)
+    rows = rows.withColumn("slot", F.when(F.col("nth") <= F.col("shorter"), F.col("nth") * 2 - F.when(F.col(flag), 0).otherwise(1)).otherwise(F.lit(1 << 40) + F.when(F.col(flag), F.lit(1 << 40)).otherwise(0) + F.col("nth")))
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy("slot"))).where(F.col("place") <= n).drop("nth", "slot", "shorter")
 
 
 def choose(rows: DataFrame, key: list[str], order: list[Column | str], unique: bool = False) -> DataFrame:

@@ -292,21 +292,35 @@ def q_agg_truncation(spark, d):
     return rows.groupBy(F.coalesce(issue, F.lit("none")).alias("issue")).agg(F.count("*").alias("n"))
 
 
-CUSTOMERS = """SELECT c_custkey AS id, c_name AS title, 'SZ-' || n_name AS signature, 'o:' || c_custkey AS pid, n_name AS classification, c_mktsegment AS group_label, r_name AS collection, c_acctbal AS balance,
+CUSTOMERS = """SELECT c_custkey AS id, c_name AS title, 'SZ-' || n_name AS signature, 'o:' || c_custkey AS pid, CASE WHEN c_custkey % 3 = 0 THEN n_name WHEN c_custkey % 3 = 1 THEN '' END AS classification, c_mktsegment AS group_label, r_name AS collection, c_acctbal AS balance,
 CASE WHEN c_acctbal < 0 THEN 'low' ELSE 'high' END AS confidence FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 
 def customers(spark, d) -> DataFrame:
     rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return rows.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.concat(F.lit("SZ-"), "n_name").alias("signature"), F.concat(F.lit("o:"), F.col("c_custkey").cast("string")).alias("pid"), F.col("n_name").alias("classification"), F.col("c_mktsegment").alias("group_label"), F.col("r_name").alias("collection"), F.col("c_acctbal").alias("balance"), F.when(F.col("c_acctbal") < 0, "low").otherwise("high").alias("confidence"))
+    return rows.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.concat(F.lit("SZ-"), "n_name").alias("signature"), F.concat(F.lit("o:"), F.col("c_custkey").cast("string")).alias("pid"), F.when(F.col("c_custkey") % 3 == 0, F.col("n_name")).when(F.col("c_custkey") % 3 == 1, "").alias("classification"), F.col("c_mktsegment").alias("group_label"), F.col("r_name").alias("collection"), F.col("c_acctbal").alias("balance"), F.when(F.col("c_acctbal") < 0, "low").otherwise("high").alias("confidence"))
 
 
-@query(f"SELECT id, title, signature, balance FROM ({CUSTOMERS}) WHERE group_label = 'BUILDING' AND confidence = 'high' AND contains(lower(title || ' ' || signature || ' ' || pid), '1') AND (contains(lower(title), '1') OR contains(lower(signature), '1') OR contains(pid, '1')) ORDER BY balance DESC, id LIMIT 50 OFFSET 50")
+@query(f"SELECT id, title, signature, balance FROM ({CUSTOMERS}) WHERE CASE WHEN coalesce(classification, '') <> '' THEN classification ELSE group_label END = 'BUILDING' AND confidence = 'high' AND contains(lower(title || ' ' || signature || ' ' || pid), '1') AND (contains(lower(title), '1') OR contains(lower(signature), '1') OR contains(pid, '1')) ORDER BY balance DESC, id LIMIT 50")
 def q_flt_catalog(spark, d):
-    q = cat.Query(group="BUILDING", confidence="high", search="1", sort="balance", descending=True, page=2)
+    q = cat.Query(group="BUILDING", confidence="high", search="1", sort="balance", descending=True)
     return cat.run(customers(spark, d), q).select("id", "title", "signature", "balance")
 
 
+REVIEW_STATES = """SELECT o_orderkey AS id, o_orderkey % 5 = 0 AS gt, CASE o_orderkey % 3 WHEN 0 THEN 'approved' WHEN 1 THEN 'agent_verified' END AS st, CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey % 7 < 4 END AS needs FROM orders"""
+
+
+@query(f"""WITH o AS ({REVIEW_STATES}) SELECT 'gt_verified' AS status, count(*) FILTER (gt) AS n, CAST(sum(id) FILTER (gt) AS BIGINT) AS ids FROM o
+UNION ALL SELECT 'human_verified', count(*), CAST(sum(id) AS BIGINT) FROM o WHERE st = 'approved' AND NOT gt UNION ALL SELECT 'agent_verified', count(*), CAST(sum(id) AS BIGINT) FROM o WHERE st = 'agent_verified'
+UNION ALL SELECT 'llm_ok', count(*), CAST(sum(id) AS BIGINT) FROM o WHERE needs = false AND NOT gt AND st IS NULL UNION ALL SELECT 'needs_review', count(*), CAST(sum(id) AS BIGINT) FROM o WHERE needs""")
+def q_flt_review_status(spark, d):
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(k.alias("id"), (k % 5 == 0).alias("gt_verified"), F.when(k % 3 == 0, "approved").when(k % 3 == 1, "agent_verified").alias("review_status"), F.when(k % 7 > 0, k % 7 < 4).alias("needs_review"))
+    names = ("gt_verified", "human_verified", "agent_verified", "llm_ok", "needs_review")
+    hits = F.array(*(F.when(cat.review_filter(n), F.lit(n)) for n in names))
+    return rows.select("id", F.explode(F.array_compact(hits)).alias("status")).groupBy("status").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+
+
 @query(f"SELECT collection, group_label, count(*) AS n, count(*) FILTER (confidence = 'low') AS low, round(sum(balance), 2) AS balance FROM ({CUSTOMERS}) GROUP BY 1, 2")
 def q_agg_stats(spark, d):
     rows = cat.statistics(customers(spark, d), ["collection", "group_label"], {"low": F.col("confidence") == "low"}, {"balance": F.col("balance")})
@@ -353,7 +367,7 @@ def q_smp_stratified(spark, d):
 SELECT grp, id FROM (SELECT c_mktsegment AS grp, c_custkey AS id, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS nth FROM customer) JOIN n USING (grp) WHERE nth <= need""")
 def q_lim_per_group(spark, d):
     rows = table(spark, d, "customer").select(F.col("c_mktsegment").alias("grp"), F.col("c_custkey").alias("id"))
-    return cat.first_needed(rows, "grp", "id", rows.select("grp").distinct().withColumn("need", 5 + F.length("grp")))
+    return cat.first_needed(rows, "grp", "id", rows.select("grp").distinct().withColumn("need", 5 + F.length("grp")), most=30)
 
 
 @query("SELECT o_orderkey AS id, lag(o_orderkey) OVER w AS previous, lead(o_orderkey) OVER w AS next FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
