@@ -54,25 +54,6 @@ REGION_TYPES = {
 REGION_SKIP = ("picture", "page_footer", "page-footer")
 #: Region types in PAGE XML.
 PAGE_XML_TYPES = {"paragraph": "paragraph", "heading": "heading", "list": "list-label", "table": "other", "marginalia": "marginalia"}
-#: Groups with letter and label.
-GROUPS = {
-    "kurztext": ("D", "Kurztext"),
-    "handschrift": ("A", "Handschrift"),
-    "typoskript": ("B", "Typoskript"),
-    "formular": ("C", "Formular"),
-    "tabellarisch": ("E", "Tabellarisch"),
-    "korrekturfahne": ("F", "Korrekturfahne"),
-    "konvolut": ("G", "Konvolut"),
-    "zeitungsausschnitt": ("H", "Zeitungsausschnitt"),
-    "korrespondenz": ("I", "Korrespondenz"),
-}
-#: Collections, their picture folders and metadata files.
-COLLECTIONS = {
-    "lebensdokumente": ("lebensdokumente", "szd_lebensdokumente_tei.xml"),
-    "werke": ("facsimiles", "szd_werke_tei.xml"),
-    "aufsatzablage": ("aufsatz", "szd_aufsatzablage_tei.xml"),
-    "korrespondenzen": ("korrespondenzen", "szd_korrespondenzen_tei.xml"),
-}
 LETTERS = "korrespondenzen"
 
 
@@ -180,12 +161,20 @@ def region_type(label: Column) -> Column:
     return F.when(~label.isin(*REGION_SKIP), F.coalesce(F.element_at(table, label), F.lit("paragraph")))
 
 
-def detect_language(text: Column, th: Thresholds = DEFAULT) -> Column:
+def language_marks(text: Column) -> Column:
+    """Which of the languages' most frequent words a text has; those of several texts may be put together."""
+    return F.array_intersect(letter_runs(text), F.array(*(F.lit(w) for w in dict.fromkeys(w for words in STOPWORDS.values() for w in words))))
+
+
+def language_of_marks(marks: Column, th: Thresholds = DEFAULT) -> Column:
     """The language of which most frequent words occur; empty below three of them."""
-    runs = letter_runs(text)
-    hits = {lang: F.size(F.array_intersect(runs, F.array(*map(F.lit, words)))) for lang, words in STOPWORDS.items()}
+    hits = {lang: F.size(F.array_intersect(marks, F.array(*map(F.lit, words)))) for lang, words in STOPWORDS.items()}
     best = F.greatest(*hits.values())
     out = F.when(best < th.language_hits, "")
     for lang, n in hits.items():
         out = out.when(n == best, lang)
     return F.coalesce(out, F.lit(""))
+
+
+def detect_language(text: Column, th: Thresholds = DEFAULT) -> Column:
+    return language_of_marks(letter_runs(text), th)

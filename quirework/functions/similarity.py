@@ -31,12 +31,16 @@ def word_overlap(a: Column, b: Column) -> Column:
 def cer(reference: Column, other: Column) -> Column:
     """Edit distance by characters over the reference's length; of an empty reference 0 for an empty text, else 1."""
     n = F.length(reference)
-    return F.when(n > 0, F.levenshtein(reference, other) / n).otherwise(F.when(F.length(other) == 0, 0.0).otherwise(1.0))
+    return F.when((n > 0) & (reference == other), 0.0).when(n > 0, F.levenshtein(reference, other) / n).otherwise(F.when(F.length(other) == 0, 0.0).otherwise(1.0))
 
 
-def near(reference: Column, other: Column, share: float) -> Column:
-    """cer(...) < share, giving up early: the distance is not followed beyond what the share allows."""
-    return cer(reference, other) < share
+def cer_within(reference: Column, other: Column, share: float) -> Column:
+    """cer(...) where it is below share, else null: the distance is not followed beyond what the share allows, and equal texts need none."""
+    n = F.length(reference)
+    most = F.floor(n * share).cast("int")
+    distance = F.when(reference == other, 0).when(F.abs(n - F.length(other)) <= most, F.call_function("levenshtein", reference, other, most))
+    rate = F.when(n > 0, F.when(distance >= 0, distance / n)).when(F.length(other) == 0, 0.0)
+    return F.when(rate < share, rate)
 
 
 @F.pandas_udf(T.StringType())

@@ -48,19 +48,28 @@ def lookup(key: Column, table: dict[str, str]) -> Column:
     return F.element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), key)
 
 
+#: Unicode's white space other than space and line feed.
+_OTHER = "\t\x0b\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space other than one space, within a line and at all: single spaces, nearly all of it, are not touched.
+_IN_LINE = f"[ {_OTHER}]{{2,}}|[{_OTHER}]"
+_ANYWHERE = f"[ \n{_OTHER}]{{2,}}|[\n{_OTHER}]"
+
+
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(" \n" + _OTHER))
 
 
 def join_lines(c: Column) -> Column:
     """Words cut by a hyphen at a line's end are joined, lines run on, and blank lines become one line break."""
-    c = F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), r"(?U)[^\S\n]+(?=\n|\z)", "")
-    c = F.replace(F.regexp_replace(c, r"(?U)[^\S\n]+", " "), F.lit("-\n"), F.lit(""))
+    c = F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), _IN_LINE, " ")
+    c = F.rtrim(F.replace(c, F.lit(" \n"), F.lit("\n")))
+    c = F.replace(c, F.lit("-\n"), F.lit(""))
     return F.translate(F.replace(c, F.lit("\n\n"), F.lit(_PARAGRAPH)), "\n" + _PARAGRAPH, " \n")
 
 
 def drop_markup(c: Column) -> Column:
     """Keeps what is struck out, inserted or stamped; removes marks of marginalia, gaps and doubt. Each rule sees what the one before left."""
+    # The marks of a diplomatic transcription.
     for pattern, kept in ((r"~~(.*?)~~", "$1"), (r"\{(.*?)\}", "$1"), (r"(?U)\[Stempel:\s*(.+?)\]", "$1"), (r"\[Marginalie:\]", ""), (r"\[\.\.\.(?:\d+\.\.\.)?\]", ""), (r"\[\?\]", "")):
         c = F.regexp_replace(c, pattern, kept)
     return c
@@ -68,22 +77,32 @@ def drop_markup(c: Column) -> Column:
 
 def normalize(c: Column | str) -> Column:
     """A diplomatic transcription as plain text, paragraphs on lines of their own. Input in NFC (see similarity.nfc)."""
-    c = F.regexp_replace(drop_markup(join_lines(_col(c))), r"(?U)[^\S\n]+", " ")
-    return _strip(F.regexp_replace(c, r" *\n *", "\n"))
+    c = F.regexp_replace(drop_markup(join_lines(_col(c))), _IN_LINE, " ")
+    return _strip(F.replace(F.replace(c, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
 
 
 def _tight(c: Column) -> Column:
-    return _strip(F.regexp_replace(c, r"(?U)\s+([.,;:!?])", "$1"))
+    return _strip(F.regexp_replace(c, " ([.,;:!?])", "$1"))  # single spaces only are left by now
 
 
 def normalize_flat(c: Column | str) -> Column:
     """As normalize(), on one line, without space before punctuation: layout does not count."""
-    return _tight(F.regexp_replace(normalize(c), r"(?U)\s+", " "))
+    return flat_of(normalize(c))
 
 
 def normalize_orderless(c: Column | str) -> Column:
     """As normalize_flat(), with paragraphs of five characters or more in code-point order: reading order does not count."""
-    lines = F.transform(F.split(normalize(c), "\n"), lambda x: _strip(F.regexp_replace(x, r"(?U)\s+", " ")))
+    return orderless_of(normalize(c))
+
+
+def flat_of(normal: Column | str) -> Column:
+    """normalize_flat() of a text that is normalised already."""
+    return _tight(F.regexp_replace(_col(normal), _ANYWHERE, " "))
+
+
+def orderless_of(normal: Column | str) -> Column:
+    """normalize_orderless() of a text that is normalised already."""
+    lines = F.transform(F.split(_col(normal), "\n"), lambda x: _strip(F.regexp_replace(x, _ANYWHERE, " ")))
     return _tight(F.array_join(F.array_sort(F.filter(lines, lambda x: F.length(x) >= 5)), " "))
 
 

@@ -61,7 +61,8 @@ def signals(pages: DataFrame, objects: DataFrame | None = None, th: Thresholds =
         F.count_if(content).alias("content_pages"),
         F.count_if(content & empty).alias("empty_content"),
         F.count("*").alias("pages"),
-        F.array_sort(F.collect_list(F.struct("pos", "type", "chars", F.coalesce("text", F.lit("")).alias("text")))).alias("each"),
+        F.array_sort(F.collect_list(F.struct("pos", "type", "chars"))).alias("each"),
+        F.array_distinct(F.flatten(F.collect_list(rules.language_marks(F.coalesce("text", F.lit("")))))).alias("marks"),
         F.bround(F.coalesce(F.median(F.when(content & (chars > 0), chars)), F.lit(0.0)), 1).alias("chars_per_page_median"),
         F.sum(text.doubtful_marks(F.coalesce("text", F.lit("")))).alias("marker_uncertain_count"),
         F.sum(text.illegible_marks(F.coalesce("text", F.lit("")))).alias("marker_illegible_count"),
@@ -72,10 +73,10 @@ def signals(pages: DataFrame, objects: DataFrame | None = None, th: Thresholds =
             "page_types": F.transform("each", lambda p: p["type"]),
             "chars_per_page": F.transform("each", lambda p: p["chars"]),
             "page_length_anomalies": F.transform(F.filter("each", short), lambda p: p["pos"]),
-            "language_detected": rules.detect_language(F.concat_ws(" ", F.transform("each", lambda p: p["text"])), th),
+            "language_detected": rules.language_of_marks(F.col("marks"), th),
             "marker_density": F.coalesce(F.try_divide(F.col("marker_uncertain_count") + F.col("marker_illegible_count"), F.col("total_words")), F.lit(0.0)),
         }
-    ).drop("each")
+    ).drop("each", "marks")
     if objects is not None:
         rows = rows.join(objects, "object_id", "left")
     images = F.col("images") if objects is not None and "images" in objects.columns else F.lit(None).cast("long")
@@ -114,9 +115,10 @@ def top_reasons(rows: DataFrame, k: int = 3) -> DataFrame:
 
 def length_outliers(rows: DataFrame, least: int = 10, limit: float = 2.0) -> DataFrame:
     """Adds z, of characters per page within the group, and outlier; groups of fewer than `least` have none. rows: group, chars_per_page."""
-    w = Window.partitionBy("group")
-    z = F.when(F.count("*").over(w) >= least, F.try_divide(F.col("chars_per_page") - F.avg("chars_per_page").over(w), F.stddev_samp("chars_per_page").over(w)))
-    return rows.withColumn("z", z).withColumn("outlier", F.coalesce(F.abs("z") > limit, F.lit(False)))
+    of = rows.groupBy("group").agg(F.count("*").alias("n_"), F.avg("chars_per_page").alias("mean_"), F.stddev_samp("chars_per_page").alias("sd_"))
+    rows = rows.join(of, rows["group"].eqNullSafe(of["group"]), "left").drop(of["group"])
+    z = F.when(F.col("n_") >= least, F.try_divide(F.col("chars_per_page") - F.col("mean_"), F.col("sd_")))
+    return rows.withColumn("z", z).withColumn("outlier", F.coalesce(F.abs("z") > limit, F.lit(False))).drop("n_", "mean_", "sd_")
 
 
 def chunks(objects: DataFrame, size: int = 20) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, similarity
 from ..functions.rules import DEFAULT, Thresholds
-from ..functions.text import normalize, normalize_flat, normalize_orderless
+from ..functions.text import flat_of, normalize, orderless_of
 
 
 def align(a: DataFrame, b: DataFrame, outer: bool = False) -> DataFrame:
@@ -17,12 +17,20 @@ def align(a: DataFrame, b: DataFrame, outer: bool = False) -> DataFrame:
     return rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("text_a", "text_b")} | {"type": F.coalesce("type", F.lit("content"))})
 
 
+def spread_out(pages: DataFrame) -> DataFrame:
+    """Pages dealt to all tasks: few bytes of them are much work, which adaptive execution would put into few tasks."""
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), *pages.columns)
+
+
 def page_agreement(pages: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     """Adds cer, cer_orderless, effective_cer (the lesser) and agreement; pages without content are skipped."""
     content = F.col("type") == "content"
-    plain = similarity.cer(normalize_flat("text_a"), normalize_flat("text_b"))
-    free = similarity.cer(normalize_orderless("text_a"), normalize_orderless("text_b"))
-    rows = pages.withColumns({"cer": F.when(content, plain), "cer_orderless": F.when(content, free)}).withColumn("effective_cer", F.least("cer", "cer_orderless"))
+    rows = spread_out(pages).withColumns({f"n_{x}": F.when(content, normalize(f"text_{x}")) for x in "ab"})  # once for each text: columns that are used again stay columns
+    rows = rows.withColumns({f"{k}_{x}": f(f"n_{x}") for x in "ab" for k, f in (("f", flat_of), ("o", orderless_of))})
+    rows = rows.withColumn("cer", F.when(content, similarity.cer(F.col("f_a"), F.col("f_b"))))
+    same = (F.col("f_a") == F.col("o_a")) & (F.col("f_b") == F.col("o_b"))
+    rows = rows.withColumn("cer_orderless", F.when(content & same, F.col("cer")).when(content, similarity.cer(F.col("o_a"), F.col("o_b"))))
+    rows = rows.withColumn("effective_cer", F.least("cer", "cer_orderless")).drop(*(f"{k}_{x}" for x in "ab" for k in "nfo"))
     return rows.withColumn("agreement", F.when(content, rules.agreement(F.col("effective_cer"), th)).otherwise("skipped"))
 
 
@@ -31,16 +39,20 @@ def object_consensus(pages: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     content = F.col("type") == "content"
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(content, F.struct("pos", F.col(c).alias("t"))))), lambda p: p["t"]), " ")
     rows = pages.groupBy("object_id").agg(F.count_if(content).alias("content_pages"), F.count_if(~content).alias("skipped_pages"), joined("text_a").alias("a"), joined("text_b").alias("b"))
-    plain = similarity.cer(normalize_flat("a"), normalize_flat("b"))
-    free = similarity.cer(normalize_orderless("a"), normalize_orderless("b"))
-    rows = rows.withColumns({"cer": F.least(plain, free), "overlap": similarity.word_overlap(F.col("a"), F.col("b"))})
-    return rows.withColumn("category", rules.consensus(F.col("cer"), F.col("overlap"), th)).drop("a", "b")
+    rows = rows.withColumns({"n_a": normalize("a"), "n_b": normalize("b")})
+    rows = rows.withColumns({f"{k}_{x}": f(f"n_{x}") for x in "ab" for k, f in (("f", flat_of), ("o", orderless_of))})
+    rows = rows.withColumn("plain", similarity.cer(F.col("f_a"), F.col("f_b")))
+    same = (F.col("f_a") == F.col("o_a")) & (F.col("f_b") == F.col("o_b"))
+    free = F.when(same, F.col("plain")).otherwise(similarity.cer(F.col("o_a"), F.col("o_b")))
+    rows = rows.withColumns({"cer": F.least("plain", free), "overlap": similarity.word_overlap(F.col("a"), F.col("b"))})
+    return rows.withColumn("category", rules.consensus(F.col("cer"), F.col("overlap"), th)).drop("a", "b", "plain", *(f"{k}_{x}" for x in "ab" for k in "nfo"))
 
 
 def merge_three(pages: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     """text_a, text_b, text_c (the strongest): adds merged and source. All pairs alike: c. Else the closest pair, if close: c if it is in it, or else b. Else c alone."""
-    a, b, c = (normalize(f"text_{x}") for x in "abc")
-    pages = pages.withColumns({"ab": similarity.cer(a, b), "ac": similarity.cer(a, c), "bc": similarity.cer(b, c)})
+    pages = spread_out(pages).withColumns({f"n_{x}": normalize(f"text_{x}") for x in "abc"})
+    far = F.lit(float("inf"))
+    pages = pages.withColumns({x + y: F.coalesce(similarity.cer_within(F.col(f"n_{x}"), F.col(f"n_{y}"), th.merge_near), far) for x, y in ("ab", "ac", "bc")})  # beyond that limit no pair counts
     ab, ac, bc = F.col("ab"), F.col("ac"), F.col("bc")
     none = (F.trim("text_a") == "") & (F.trim("text_b") == "") & (F.trim("text_c") == "")
     same = (ab < th.merge_same) & (ac < th.merge_same) & (bc < th.merge_same)
@@ -48,7 +60,7 @@ def merge_three(pages: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     close = F.least("ab", "ac", "bc") < th.merge_near
     merged = F.when(none, "").when(~same & close & first, F.col("text_b")).otherwise(F.col("text_c"))
     source = F.when(none | same, "consensus_3of3").when(close, "majority_2of3").otherwise("strongest_only")
-    return pages.withColumns({"merged": merged, "source": source}).drop("ab", "ac", "bc")
+    return pages.withColumns({"merged": merged, "source": source}).drop("ab", "ac", "bc", "n_a", "n_b", "n_c")
 
 
 def merge_statistics(pages: DataFrame) -> DataFrame:
@@ -58,5 +70,6 @@ def merge_statistics(pages: DataFrame) -> DataFrame:
 
 def evaluate(pairs: DataFrame) -> DataFrame:
     """reference, other: adds error rates over normalised texts (edit distance, and by matching blocks), breakdown and overlap."""
-    a, b = normalize("reference"), normalize("other")
-    return pairs.withColumns({"cer": similarity.cer(a, b), "cer_blocks": similarity.cer_blocks(a, b), "wer": similarity.wer_blocks(a, b), "edits": similarity.edit_breakdown(a, b), "overlap": similarity.word_overlap(F.col("reference"), F.col("other")), "reference_chars": F.length(a), "other_chars": F.length(b)})
+    pairs = pairs.withColumns({"normal_a": normalize(similarity.nfc("reference")), "normal_b": normalize(similarity.nfc("other"))})
+    a, b = F.col("normal_a"), F.col("normal_b")
+    return pairs.withColumns({"cer": similarity.cer(a, b), "cer_blocks": similarity.cer_blocks(a, b), "wer": similarity.wer_blocks(a, b), "edits": similarity.edit_breakdown(a, b), "overlap": similarity.word_overlap(F.col("reference"), F.col("other")), "reference_chars": F.length(a), "other_chars": F.length(b)}).drop("normal_a", "normal_b")

@@ -166,7 +166,8 @@ def q_win_fill_missing(spark, d):
 @query(f"SELECT doc_id, md5({_normalize('text')}) AS normal, md5({_flat('text')}) AS flat, md5({_orderless('text')}) AS orderless FROM documents")
 def q_fn_normalize_text(spark, d):
     md5 = lambda c: F.md5(c.cast("binary"))
-    return table(spark, d, "documents").select("doc_id", md5(text.normalize("text")).alias("normal"), md5(text.normalize_flat("text")).alias("flat"), md5(text.normalize_orderless("text")).alias("orderless"))
+    rows = table(spark, d, "documents").select("doc_id", text.normalize("text").alias("n")).withColumns({"f": text.flat_of("n"), "o": text.orderless_of("n")})
+    return rows.select("doc_id", md5(F.col("n")).alias("normal"), md5(F.col("f")).alias("flat"), md5(F.col("o")).alias("orderless"))
 
 
 @query(f"""SELECT doc_id, len({_words('text')})::INT AS words, len(list_distinct({_words('lower(text)')}))::INT AS distinct_words, len(list_distinct(regexp_extract_all(lower(text), '[a-zäöüàâéèêëïîôùûç]+')))::INT AS letter_runs,
