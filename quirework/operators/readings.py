@@ -19,7 +19,8 @@ def align(a: DataFrame, b: DataFrame, outer: bool = False) -> DataFrame:
 
 def spread_out(pages: DataFrame) -> DataFrame:
     """Pages dealt to all tasks: few bytes of them are much work, which adaptive execution would put into few tasks."""
-    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), *pages.columns)
+    keys = [c for c in ("object_id", "pos") if c in pages.columns]
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys) if keys else pages
 
 
 def page_agreement(pages: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
