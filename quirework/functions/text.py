@@ -50,18 +50,20 @@ def lookup(key: Column, table: dict[str, str]) -> Column:
 
 #: Unicode's white space other than space and line feed.
 _OTHER = "\t\x0b\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Runs of white space other than one space, within a line and at all: single spaces, nearly all of it, are not touched.
-_IN_LINE = f"[ {_OTHER}]{{2,}}|[{_OTHER}]"
-_ANYWHERE = f"[ \n{_OTHER}]{{2,}}|[\n{_OTHER}]"
 
 
 def _strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(" \n" + _OTHER))
+    return F.btrim(c, F.lit(" \n"))
+
+
+def _even(c: Column, other: str) -> Column:
+    """The other white space as spaces, and runs of spaces as one."""
+    return F.regexp_replace(F.translate(c, other, " " * len(other)), "  +", " ")
 
 
 def join_lines(c: Column) -> Column:
     """Words cut by a hyphen at a line's end are joined, lines run on, and blank lines become one line break."""
-    c = F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), _IN_LINE, " ")
+    c = _even(F.replace(c, F.lit("\r\n"), F.lit("\n")), _OTHER)
     c = F.rtrim(F.replace(c, F.lit(" \n"), F.lit("\n")))
     c = F.replace(c, F.lit("-\n"), F.lit(""))
     return F.translate(F.replace(c, F.lit("\n\n"), F.lit(_PARAGRAPH)), "\n" + _PARAGRAPH, " \n")
@@ -77,7 +79,7 @@ def drop_markup(c: Column) -> Column:
 
 def normalize(c: Column | str) -> Column:
     """A diplomatic transcription as plain text, paragraphs on lines of their own. Input in NFC (see similarity.nfc)."""
-    c = F.regexp_replace(drop_markup(join_lines(_col(c))), _IN_LINE, " ")
+    c = F.regexp_replace(drop_markup(join_lines(_col(c))), "  +", " ")
     return _strip(F.replace(F.replace(c, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
 
 
@@ -97,12 +99,12 @@ def normalize_orderless(c: Column | str) -> Column:
 
 def flat_of(normal: Column | str) -> Column:
     """normalize_flat() of a text that is normalised already."""
-    return _tight(F.regexp_replace(_col(normal), _ANYWHERE, " "))
+    return _tight(_even(_col(normal), "\n"))
 
 
 def orderless_of(normal: Column | str) -> Column:
     """normalize_orderless() of a text that is normalised already."""
-    lines = F.transform(F.split(_col(normal), "\n"), lambda x: _strip(F.regexp_replace(x, _ANYWHERE, " ")))
+    lines = F.transform(F.split(_col(normal), "\n"), lambda x: _strip(F.regexp_replace(x, "  +", " ")))
     return _tight(F.array_join(F.array_sort(F.filter(lines, lambda x: F.length(x) >= 5)), " "))
 
 
