@@ -37,14 +37,49 @@ def _variants_by(word: Column, wrong: str, right: str) -> Column:
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """words: word (distinct). dictionary: known (lower case, distinct). word, suggestion, rule, candidates.
 
-    Words of under four letters and known ones are left; one known variant is a suggestion, several are ambiguous. Joins on the variant, so neither side needs to be small.
+    Words of under four letters and known ones are left, and a variant of under four letters counts as known; one known variant is a suggestion, several are ambiguous. Joins on the variant, so neither side needs to be small.
     """
     words = words.where(F.length("word") >= 4)
     fixed = words.where(F.col("word").isin(*KNOWN)).select("word", F.element_at(F.create_map(*(F.lit(x) for kv in KNOWN.items() for x in kv)), F.col("word")).alias("suggestion"), F.lit("known").alias("rule"), F.lit(1).cast("long").alias("candidates"))
     unknown = words.where(~F.col("word").isin(*KNOWN)).join(dictionary, F.lower("word") == F.col("known"), "left_anti")
     each = unknown.select("word", F.posexplode(variants(F.col("word"))).alias("nth", "v")).select("word", "nth", "v.variant", "v.rule")
-    met = each.join(dictionary, F.lower("variant") == F.col("known"))
+    short = F.length("variant") <= 3
+    met = each.where(~short).join(dictionary, F.lower("variant") == F.col("known"), "left_semi").unionByName(each.where(short))  # so short a word is taken as known
     first = F.row_number().over(Window.partitionBy("word", F.lower("variant")).orderBy("nth"))
     met = met.withColumn("first", first).where("first = 1").groupBy("word").agg(F.count("*").alias("candidates"), F.min_by(F.struct("variant", "rule"), "nth").alias("b"))
     one = F.col("candidates") == 1
     return met.select("word", F.when(one, F.col("b.variant")).alias("suggestion"), F.when(one, F.col("b.rule")).otherwise("ambiguous").alias("rule"), "candidates").unionByName(fixed)
+
+
+#: Fixed value: letters of words in print.
+LETTER = "[A-Za-zÄÖÜäöüßàâéèêëïîôùûç]"
+AROUND = 20
+
+
+def occurrences(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, word, at (0-based), context, broken, named: every run of letters of each page.
+
+    broken: part of a word that a hyphen or = divides at the end of a line; such pairs are taken from the left and do not overlap.
+    named: likely a name, i.e. a capital (not all capitals) other than after the end of a sentence.
+    """
+    cut = rf"(?<={LETTER})(?!{LETTER})|(?<!{LETTER})(?={LETTER})"
+    runs = pages.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("whole"), F.posexplode(F.split(text, cut)).alias("nth", "run"))
+    page = Window.partitionBy(*keys).orderBy("nth")
+    runs = runs.withColumns({"at": F.coalesce(F.sum(F.length("run")).over(page.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"), "gap": F.lag("run").over(page), "next": F.lead("run").over(page), "then": F.lead("run", 2).over(page)})
+    words = runs.where(F.col("run").rlike(rf"^{LETTER}"))
+    divides = lambda c: F.coalesce(F.col(c).rlike(r"(?U)\A[-=]\s*\n\s*\z"), F.lit(False))
+    words = words.withColumn("chain", F.sum(F.when(divides("gap") & (F.col("nth") > 1), 0).otherwise(1)).over(page))
+    place = F.row_number().over(Window.partitionBy(*keys, "chain").orderBy("nth"))
+    broken = F.when(place % 2 == 0, True).otherwise(divides("next") & F.col("then").isNotNull())
+    before = F.regexp_replace(F.substring("whole", F.greatest(F.col("at") - 2, F.lit(1)), F.least("at", F.lit(3))), r"(?U)\s+\z", "")
+    capital = F.substring("run", 1, 1)
+    named = (F.upper(capital) == capital) & (F.lower(capital) != capital) & (F.upper("run") != F.col("run")) & ~before.rlike(r"[.!?]\z")
+    start = F.greatest(F.col("at") - AROUND, F.lit(0))
+    context = F.substring("whole", start + 1, F.col("at") - start + F.length("run") + AROUND)
+    return words.select(*keys, F.col("run").alias("word"), "at", context.alias("context"), broken.alias("broken"), named.alias("named"))
+
+
+def find_corrections(pages: DataFrame, keys: list[str], dictionary: DataFrame, text: str = "text") -> DataFrame:
+    """keys, word, at, context, suggestion, rule, candidates: places where corrections() has something to say, but for parts of divided words and likely names (words that are known to be wrong always count)."""
+    found = occurrences(pages, keys, text).where(~F.col("broken") & (F.length("word") >= 4) & (F.col("word").isin(*KNOWN) | ~F.col("named"))).drop("broken", "named")
+    return found.join(corrections(found.select("word").distinct(), dictionary), "word")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import difflib
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,6 +79,33 @@ def edit_breakdown(reference: pd.Series, other: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_blocks(a or "", b or "")[1:] for a, b in zip(reference, other, strict=True)], columns=["substitutions", "insertions", "deletions"])
 
 
+def _word_distance(a: list[str], b: list[str]) -> int:
+    """Edit distance by words, one row of the table at a time."""
+    number = {w: i for i, w in enumerate(dict.fromkeys(b))}
+    codes, steps = np.array([number[w] for w in b], np.int64), np.arange(len(b) + 1)
+    row = steps.copy()
+    for i, w in enumerate(a, 1):
+        best = np.minimum(row[:-1] + (codes != number.get(w, -1)), row[1:] + 1)
+        row = np.minimum.accumulate(np.concatenate([[i], best]) - steps) + steps
+    return int(row[-1])
+
+
+@F.pandas_udf(T.LongType())
+def word_distance(reference: pd.Series, other: pd.Series) -> pd.Series:
+    """Edit distance by words between white space; memory grows with the longer text, time with the product of both."""
+    return pd.Series([_word_distance((a or "").split(), (b or "").split()) for a, b in zip(reference, other, strict=True)], dtype="int64")
+
+
+def omission(reference: Column, other: Column) -> Column:
+    """Share of the reference's characters that are left out; 0 of an empty one."""
+    return F.when(F.length(reference) > 0, edit_breakdown(reference, other)["deletions"] / F.length(reference)).otherwise(0.0)
+
+
+def hallucination(reference: Column, other: Column) -> Column:
+    """Share of the other text's characters that were put in; 0 of an empty one."""
+    return F.when(F.length(other) > 0, edit_breakdown(reference, other)["insertions"] / F.length(other)).otherwise(0.0)
+
+
 def _diff(a: list[str], b: list[str]) -> list[tuple[str, str | None, str | None]]:
     """Word alignment on a longest common subsequence; walking back, an insertion goes before a deletion of equal worth."""
     length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, similarity
 from ..functions.rules import DEFAULT, Thresholds
-from ..functions.text import flat_of, normalize, orderless_of
+from ..functions.text import flat_of, normalize, orderless_of, word_count
 
 
 def align(a: DataFrame, b: DataFrame, outer: bool = False) -> DataFrame:
@@ -74,3 +74,20 @@ def evaluate(pairs: DataFrame) -> DataFrame:
     pairs = pairs.withColumns({"normal_a": normalize(similarity.nfc("reference")), "normal_b": normalize(similarity.nfc("other"))})
     a, b = F.col("normal_a"), F.col("normal_b")
     return pairs.withColumns({"cer": similarity.cer(a, b), "cer_blocks": similarity.cer_blocks(a, b), "wer": similarity.wer_blocks(a, b), "edits": similarity.edit_breakdown(a, b), "overlap": similarity.word_overlap(F.col("reference"), F.col("other")), "reference_chars": F.length(a), "other_chars": F.length(b)}).drop("normal_a", "normal_b")
+
+
+def object_agreement(pages: DataFrame, words: bool = False, page_limit: float = 0.05, high: float = 0.03) -> DataFrame:
+    """object_id, agreement_cer, disagreement_pages (positions above page_limit), high_agreement; with words agreement_wer too.
+
+    Rates of an object are its pages' distances over the lengths of text_a; of an object without any text_a 0 if text_b has none either, else 1.
+    """
+    rows = spread_out(pages).withColumns({f"n_{x}": flat_of(normalize(f"text_{x}")) for x in "ab"})
+    a, b = F.col("n_a"), F.col("n_b")
+    rows = rows.withColumns({"apart": F.when(a == b, 0).otherwise(F.levenshtein(a, b)).cast("long"), "size": F.length(a).cast("long"), "rate": similarity.cer(a, b)})
+    over = lambda d, n: F.when(F.sum(n) > 0, F.sum(d) / F.sum(n)).otherwise(F.when(F.sum(d) > 0, 1.0).otherwise(0.0))
+    more = []
+    if words:
+        rows = rows.withColumns({"words_apart": similarity.word_distance("n_a", "n_b"), "n_words": word_count("n_a")})
+        more = [over("words_apart", "n_words").alias("agreement_wer")]
+    rows = rows.groupBy("object_id").agg(over("apart", "size").alias("agreement_cer"), F.sort_array(F.collect_list(F.when(F.col("rate") > page_limit, F.col("pos")))).alias("disagreement_pages"), *more)
+    return rows.withColumn("high_agreement", F.col("agreement_cer") < high)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules, text
+from ..functions import letters, rules, similarity, text
 from ..functions.text import lookup
 from ..operators import layout, pages, readings
-from .catalogue import _jaccard, _words, query, table, turns
+from .catalogue import _ascii, _flat, _jaccard, _words, plain_ascii, query, table, turns
 
 TITLES = ("Ansichtspostkarte an X", "Postkarte", "ein Telegramm", "An den Bruder", "POSTKARTE mit Bild")
 LABELS = ("text", "Title", "section_header", "list-item", "table", "picture", "caption", "unheard-of")
@@ -130,3 +130,42 @@ def q_page_image_mismatch(spark, d):
     rows = pages.typed(turns(spark, d))
     objects = rows.groupBy("object_id").agg((F.count("*") + F.when(F.col("object_id") % 3 == 0, 1).otherwise(0)).alias("images"))
     return pages.signals(rows, objects).select("object_id", "pages", "page_image_mismatch")
+
+
+def _two(spark, d):
+    """Two readings of each turn: the second one changes vowels on some pages, and drops or repeats words on others."""
+    k, t = (F.col("object_id") + F.col("pos")) % 6, plain_ascii(F.coalesce("text", F.lit("")))
+    other = F.when(k == 1, F.replace(t, F.lit("e"), F.lit("a"))).when(k == 2, F.regexp_replace(t, " the ", " ")).when(k == 3, F.regexp_replace(t, " a ", " a a ")).otherwise(t)
+    return turns(spark, d).select("object_id", "pos", t.alias("text_a"), other.alias("text_b"))
+
+
+_T = _ascii("coalesce(text, '')")
+
+
+@query(f"""WITH t AS (SELECT conv_id AS object_id, turn AS pos, {_T} AS t, (conv_id + turn) % 6 AS k FROM conversations), r AS (SELECT object_id, pos, t AS a, CASE k WHEN 1 THEN replace(t, 'e', 'a') WHEN 2 THEN replace(t, ' the ', ' ') WHEN 3 THEN replace(t, ' a ', ' a a ') ELSE t END AS b FROM t),
+n AS (SELECT object_id, pos, {_flat('a')} AS a, {_flat('b')} AS b FROM r), m AS (SELECT *, levenshtein(a, b) AS apart, length(a) AS size FROM n),
+o AS (SELECT object_id, CASE WHEN sum(size) > 0 THEN sum(apart) / sum(size) WHEN sum(apart) > 0 THEN 1.0 ELSE 0.0 END AS agreement_cer, coalesce(string_agg(pos, ',' ORDER BY pos) FILTER (CASE WHEN size > 0 THEN apart / size > 0.05 ELSE apart > 0 END), '') AS disagreement_pages FROM m GROUP BY 1)
+SELECT object_id, CAST(agreement_cer AS DOUBLE) AS agreement_cer, disagreement_pages, agreement_cer < 0.03 AS high_agreement FROM o""")
+def q_sim_agreement(spark, d):
+    rows = readings.object_agreement(_two(spark, d))
+    return rows.withColumn("disagreement_pages", F.array_join(F.transform("disagreement_pages", lambda p: p.cast("string")), ","))
+
+
+@query()
+def q_sim_agreement_wer(spark, d):
+    return readings.object_agreement(_two(spark, d), words=True)
+
+
+@query()
+def q_sim_omission(spark, d):
+    a, b = F.col("text_a"), F.col("text_b")
+    rows = readings.spread_out(_two(spark, d))
+    return rows.select("object_id", "pos", similarity.omission(a, b).alias("omission"), similarity.hallucination(a, b).alias("hallucination"))
+
+
+@query()
+def q_fraktur_find(spark, d):
+    """Texts with f for s, against the words of those without."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    known = docs.where("doc_id % 2 = 1").select(F.explode(text.letter_runs("text")).alias("known")).distinct()
+    return letters.find_corrections(docs.where("doc_id % 2 = 0").withColumn("text", F.regexp_replace("text", "(?<=[a-z])s(?=[a-z])", "f")), ["doc_id"], known)

@@ -1,10 +1,12 @@
 import difflib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quirework.functions import letters, rules, similarity, text
+from quirework.operators import readings
 from quirework.sources import parsing
 
 
@@ -107,3 +109,59 @@ def test_corrections(spark):
     known = spark.createDataFrame([("gewesen",), ("haus",)], "known string")
     got = {r.word: (r.suggestion, r.rule, r.candidates) for r in letters.corrections(words, known).collect()}
     assert got == {"gewefen": ("gewesen", "f->s", 1), "Mitgebrine": ("Mitbringsel", "known", 1)}
+
+
+def test_corrections_of_places(spark):
+    known = {"gewesen", "haus", "strasse", "war", "diese", "das"}
+    texts = [
+        "Das ist gewefen. Haut war ein Gewefen hier. Gewefen!",
+        "die ge-\nwefen wa-\nren ge=\n  fen-\nwefen gewefen",
+        "Mitgebrine GEWEFEN, dafs und gewefen" + " x" * 30,
+        "gewefen", "", None, "12 - \n34", "e\u0301 gewefen \U0001f600 gewefen",
+    ]
+    letter = letters.LETTER
+    expected = []
+    for i, t in enumerate(texts):
+        t = t or ""
+        broken = {p for m in re.finditer(rf"({letter}+)[-=]\s*\n\s*({letter}+)", t) for p in (m.start(1), m.start(2))}
+        for m in re.finditer(rf"{letter}+", t):
+            w, at = m.group(), m.start()
+            before = t[max(0, at - 3) : at].rstrip()
+            named = w[0].isupper() and not w.isupper() and not (before and before[-1] in ".!?")
+            expected.append((i, w, at, t[max(0, at - 20) : at + len(w) + 20], at in broken, named))
+    df = spark.createDataFrame(list(enumerate(texts)), "page long, t string")
+    assert sorted(map(tuple, letters.occurrences(df, ["page"], "t").collect())) == sorted(expected)
+    words = spark.createDataFrame([(w,) for w in known], "known string")
+    got = {(r.page, r.at): (r.word, r.suggestion) for r in letters.find_corrections(df, ["page"], words, "t").collect()}
+    right = {}
+    for i, w, at, _, broken, named in expected:
+        if w == "Mitgebrine":
+            right[i, at] = (w, "Mitbringsel")
+        elif not broken and not named and w.lower() == "gewefen":
+            right[i, at] = (w, {"gewefen": "gewesen", "Gewefen": "Gewesen", "GEWEFEN": "GEWESEN"}[w])
+    assert {k: (w, s and s.lower()) for k, (w, s) in got.items() if w.lower() in ("gewefen", "mitgebrine")} == {k: (w, s.lower()) for k, (w, s) in right.items()}
+
+
+def test_agreement_by_words(spark):
+    def distance(a, b):
+        table = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i * j}
+        for i, x in enumerate(a, 1):
+            for j, y in enumerate(b, 1):
+                table[i, j] = min(table[i - 1, j] + 1, table[i, j - 1] + 1, table[i - 1, j - 1] + (x != y))
+        return table[len(a), len(b)]
+
+    rng = random.Random(3)
+    rows = [(i // 3, i % 3, *(" ".join(rng.choices("abc", k=rng.randint(0, 12))) for _ in "ab")) for i in range(60)] + [(90, 0, "", ""), (91, 0, "", "x"), (92, 0, None, None)]
+    got = {r.object_id: r for r in readings.object_agreement(spark.createDataFrame(rows, "object_id long, pos int, text_a string, text_b string").na.fill(""), words=True).collect()}
+    for key in {r[0] for r in rows}:
+        mine = [((a or ""), (b or ""), p) for k, p, a, b in rows if k == key]
+        for name, cut in (("agreement_wer", str.split), ("agreement_cer", list)):
+            apart, size = sum(distance(cut(a), cut(b)) for a, b, _ in mine), sum(len(cut(a)) for a, _, _ in mine)
+            assert got[key][name] == pytest.approx(apart / size if size else float(apart > 0))
+        assert got[key].disagreement_pages == [p for a, b, p in mine if distance(a, b) > 0.05 * len(a)] and got[key].high_agreement == (got[key].agreement_cer < 0.03)
+
+
+def test_left_out_and_put_in(spark):
+    rows = [("", ""), ("", "ab"), ("abcd", ""), ("abcdef", "abef"), ("abef", "abcdef")]
+    both = F.array(similarity.omission(F.col("a"), F.col("b")), similarity.hallucination(F.col("a"), F.col("b")))
+    assert values(spark, both, rows, "a string, b string") == [[0, 0], [0, 1], [1, 0], [2 / 6, 0], [0, 2 / 6]]
