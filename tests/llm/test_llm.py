@@ -163,6 +163,51 @@ def test_quality_of_odd_rows(spark):
     assert quality.scored(df.limit(0), quality.fit(df.limit(0))).count() == 0
 
 
+def test_label_model_against_enumeration():
+    """Expectation-maximisation one document at a time, by products of plain odds, reaches the same posteriors and accuracies."""
+    rng = random.Random(11)
+    truth = [rng.random() < 0.3 for _ in range(400)]
+    votes = [[(2 if bad else 0) if (u := rng.random()) < right else (1 if u < right + 0.15 else (0 if bad else 2)) for right in (0.8, 0.7, 0.6)] for bad in truth]
+    patterns = Counter(map(tuple, votes))
+    table = sorted(patterns)
+    model = quality.LabelModel(quality.pattern_number(np.array(table)), np.array([patterns[t] for t in table]), 3, rounds=25)
+    p = []
+    for v in votes:
+        bad, good = v.count(2), v.count(0)
+        p.append(min(max(bad / max(bad + good / 4, 1), 0.05), 0.95) if bad else 0.02)
+    for _ in range(25):
+        prior = (sum(p) + 0.1) / (len(p) + 1)
+        odds = []
+        for share in ([1 - x for x in p], p):
+            mass = [[0.05 + sum(s for s, v in zip(share, votes, strict=True) if v[k] == kind) for kind in range(3)] for k in range(3)]
+            odds.append([[m / sum(ms) for m in ms] for ms in mass])
+        like = lambda c, v: math.prod(odds[c][k][kind] for k, kind in enumerate(v))  # noqa: E731,B023
+        p = [prior * like(1, v) / (prior * like(1, v) + (1 - prior) * like(0, v)) for v in votes]
+    assert model.posterior(np.array(votes)) == pytest.approx(np.array(p), abs=1e-6)
+    right = [(1 - prior) * odds[0][k][0] + prior * odds[1][k][2] for k in range(3)]
+    wrong = [(1 - prior) * odds[0][k][2] + prior * odds[1][k][0] for k in range(3)]
+    assert model.accuracy() == pytest.approx([a / (a + b) for a, b in zip(right, wrong, strict=True)])
+    assert np.mean([(x > 0.5) == t for x, t in zip(p, truth, strict=True)]) > 0.85
+
+
+def test_quality_without_ids(spark):
+    rows = [(None, "you stupid idiot " * 9), (None, None), (3, "plain words here " * 9), (3, "plain words here " * 9)]
+    got = quality.scored(df := docs_of(spark, rows), quality.fit(df)).collect()
+    assert Counter(r.doc_id for r in got) == Counter([None, None, 3, 3])
+
+
+def test_token_query_equals_the_library(spark, sf):
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    rows = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    ids = [reference.encode(t, add_special_tokens=False).ids + [1] for _, t in rows]
+    starts = [0, *itertools.accumulate(map(len, ids))]
+    expected = [(i, at, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for (i, _), at, x in zip(rows, starts, ids, strict=False)]
+    got = token_files.op5_token_files(spark, sf).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == expected
+
+
 def test_token_files_round_trip(spark):
     from tokenizers import Tokenizer
 
@@ -445,6 +490,48 @@ def test_audio_query_stores_tensors(spark, sf, monkeypatch):
     assert all(len(x.log_mel) == 16 * 32 and x.start_s < x.end_s for x in kept.tensors) and len(kept.tensors) == -(-len(kept.energy) // 16) > 20
 
 
+def plain_feature(samples):
+    """The feature by the plain formulas: each output of the filter, each bin of the transform and each frame's state by itself."""
+    up, down, taps, frame, hop, fft, mels = 3, 4, 16, 432, 144, 512, 32
+    n = up * taps
+    h = [np.sinc((i - (n - 1) / 2) / down) * np.kaiser(n, 8.0)[i] for i in range(n)]
+    h = [v * up / sum(h) for v in h]
+    x = [(b - 128) / 128 for b in samples]
+    y = [sum(h[j * up + m * down % up] * x[m * down // up - j] for j in range(taps) if m * down // up >= j) for m in range(len(x) * up // down)]
+    mel = lambda f: 2595 * math.log10(1 + f / 700)
+    edges = [700 * (10 ** (mel(6000) * i / (mels + 1) / 2595) - 1) for i in range(mels + 2)]
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(fft // 2 + 1), np.arange(frame)) / fft)
+    bands, energy = [], []
+    for at in range(0, len(y) - frame + 1, hop):
+        f = np.array(y[at : at + frame])
+        energy.append(10 * math.log10((f * f).sum() / frame + 1e-8))
+        power = np.abs(turn @ (f * np.hanning(frame))) ** 2
+        bands.append([math.log10(sum(p * max(0, min((k * 12000 / fft - edges[b]) / (edges[b + 1] - edges[b]), (edges[b + 2] - k * 12000 / fft) / (edges[b + 2] - edges[b + 1]))) for k, p in enumerate(power)) + 1e-8) for b in range(mels)])
+    middle, on, runs, active = np.median(energy), False, 0, 0
+    for e in energy:
+        was, on = on, e >= middle + 3 or (on and e >= middle + 1)
+        runs, active = runs + (on and not was), active + on
+    return [*np.mean(bands, axis=0), np.mean(energy), runs, round(active * hop / 12000, 3)]
+
+
+def test_audio_query_against_plain_python(spark, tmp_path):
+    rng = random.Random(7)
+    texts = [None, "", "x", "é" * 288, "quiet " * 150, "".join(chr(rng.randint(33, 126)) for _ in range(1500)), ("a" * 700 + "~!" * 300) * 2]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "x"), (2, "x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = audio_features.op9_audio_features(spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts) + 2
+    for r in rows:
+        raw = ("x" if r.doc_id is None else texts[r.doc_id] or "").encode()
+        payload = raw + b"\xff" * (max(1, -(-len(raw) // 576)) * 576 - len(raw))
+        size = len(payload)
+        head = b"RIFF" + (36 + size).to_bytes(4, "little") + b"WAVEfmt " + bytes([16, 0, 0, 0, 1, 0, 1, 0]) + (16_000).to_bytes(4, "little") * 2 + bytes([1, 0, 8, 0]) + b"data" + size.to_bytes(4, "little")
+        assert (r.n_bytes, r.payload_bytes, r.tail_crc32, r.media_bytes) == (len(raw), size, zlib.crc32(payload[-32:]), size + 44)
+        assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and r.media_sha256 == hashlib.sha256(head + payload).hexdigest()
+        assert [float(v) for v in r.feature.split()] == pytest.approx(plain_feature(payload), abs=0.02)
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert audio_features.op9_audio_features(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_resampling_keeps_tones_and_drops_aliases():
     t = np.arange(16_000) / 16_000
     low = audio_features.resample(np.sin(2 * np.pi * 1000 * t).astype(np.float32))[200:-200]
