@@ -140,20 +140,24 @@ def store_media(docs: DataFrame) -> DataFrame:
     return written(docs.select("doc_id", "text").mapInArrow(_store, "doc_id long, n_bytes long, media binary"), "media")
 
 
+def _parts(bands: np.ndarray, spans: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """The tensors of a recording: start_s, end_s, active, log_mel of each."""
+    found = tensors(bands)
+    n = len(found)
+    first = np.arange(n) * SHAPE[0]
+    last = np.minimum(first + SHAPE[0], len(bands)) - 1
+    active = [float(np.clip(np.minimum(spans[:, 1], b + 1) - np.maximum(spans[:, 0], a), 0, None).sum() / (b + 1 - a)) for a, b in zip(first, last, strict=True)]
+    values = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SHAPE[0] * MELS), pa.array(found.ravel()))
+    return pa.array([seconds(a) for a in first]), pa.array([seconds(b) + FRAME / (RATE * UP / DOWN) for b in last]), pa.array(active), values
+
+
 def _tensor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc_id, media in zip(batch.column("doc_id"), batch.column("media"), strict=True):
             bands, energy = log_mel(from_wav(media.as_py())[1])
-            found, spans = tensors(bands), segments(energy)
-            n = len(found)
-            first = np.arange(n) * SHAPE[0]
-            last = np.minimum(first + SHAPE[0], len(bands)) - 1
-            active = [float(np.clip(np.minimum(spans[:, 1], b + 1) - np.maximum(spans[:, 0], a), 0, None).sum() / (b + 1 - a)) for a, b in zip(first, last, strict=True)]
-            values = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SHAPE[0] * MELS), pa.array(found.ravel()))
-            yield pa.record_batch(
-                [pa.array([doc_id.as_py()] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([seconds(a) for a in first]), pa.array([seconds(b) + FRAME / (RATE * UP / DOWN) for b in last]), pa.array(active), values],
-                names=["doc_id", "nth", "start_s", "end_s", "active", "log_mel"],
-            )
+            parts = _parts(bands, segments(energy))
+            n = len(parts[0])
+            yield pa.record_batch([pa.array([doc_id.as_py()] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), *parts], names=["doc_id", "nth", "start_s", "end_s", "active", "log_mel"])
 
 
 def audio_tensors(media: DataFrame) -> DataFrame:
@@ -196,11 +200,11 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one = batch.slice(i, 1)
             wav = one.column("media")[0].as_py()
             _, samples = from_wav(wav)
-            energy = log_mel(samples)[1]
-            made = pa.Table.from_batches(list(_tensor_rows(iter([one])))).combine_chunks().to_batches()[0]
-            parts = pa.StructArray.from_arrays([made.column(c) for c in ("start_s", "end_s", "active", "log_mel")], ["start_s", "end_s", "active", "log_mel"])
+            bands, energy = log_mel(samples)
+            spans = segments(energy)
+            parts = pa.StructArray.from_arrays(_parts(bands, spans), ["start_s", "end_s", "active", "log_mel"])
             row = [len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(wav), hashlib.sha256(wav).hexdigest()]
-            lists = [pa.array([energy], pa.list_(pa.float32())), pa.array([segments(energy).ravel()], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts)]
+            lists = [pa.array([energy], pa.list_(pa.float32())), pa.array([spans.ravel()], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts)]
             yield pa.record_batch([one.column("doc_id"), one.column("n_bytes"), *(pa.array([x]) for x in row), *lists], names=names)
 
 
