@@ -6,6 +6,7 @@ from .attention_lm import op7_lm_scores
 from .audio_features import op9_audio_features
 from .bpe import op6_bpe
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
+from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .minhash_dedup import OP10_SQL, op10_minhash_dedup
 from .mixing import OP3_SQL, op3_mixing
 from .quality import op4_quality
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_audio_features": op9_audio_features,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -31,4 +33,5 @@ ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
     "op8_embedding_dedup": OP8_SQL,
     "op10_minhash_dedup": OP10_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
