@@ -7,6 +7,7 @@ from .audio_features import op9_audio_features
 from .bpe import op6_bpe
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .hard_negatives import OP13_SQL, op13_hard_negatives
+from .lexical_search import OP11_SQL, op11_lexical_search
 from .minhash_dedup import OP10_SQL, op10_minhash_dedup
 from .mixing import OP3_SQL, op3_mixing
 from .quality import op4_quality
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_audio_features": op9_audio_features,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_lexical_search": op11_lexical_search,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -33,5 +35,6 @@ ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
     "op8_embedding_dedup": OP8_SQL,
     "op10_minhash_dedup": OP10_SQL,
+    "op11_lexical_search": OP11_SQL,
     "op13_hard_negatives": OP13_SQL,
 }
