@@ -4,11 +4,12 @@ Terms are maximal runs of ASCII letters and digits and of all characters beyond
 in the texts in one scan for each VOCABULARY of them; equal texts are one text with a number of copies. A term's postings (text, impact) are kept in
 lists of at most LIST, sorted by impact, that stay together by term; the lists of frequent terms are dealt to all partitions.
 
-The three phases: (1) the heads of all lists give each query partial sums, and the k-th largest is a bound from below; (2) from each list of a query all
-entries come that reach the bound divided by the number of its lists; their sums give a better bound, and texts that cannot reach it, even with the
-most that unseen lists may hold, go; (3) the scores of those left are looked up exactly. No text in the first k is ever lost, ties included.
+The three phases: (1) the heads of all lists give each query partial sums; the texts with the largest are looked up, and the k-th of their scores is a
+bound from below; (2) one threshold for all lists of a query is set so that a text below it everywhere stays below the bound: the bound is shared
+out evenly, and what lists with small impacts cannot use goes to the others. All entries that reach the threshold come, once for all queries of a part, and are
+added up by blocks of texts; texts that cannot reach the bound, even with the largest entries that the other lists kept back, go; (3) the scores of those left are looked up exactly. No text in the first k is ever lost, ties included.
 
-A document's weight for a term and its length's part are whole numbers, but for the logarithm, as in `idf` and `impact` below. Null texts and
+Scores are whole numbers throughout, but for the logarithm in a term's weight. Null texts and
 texts without terms count nowhere. Repeated rows are documents like others, each with a rank of its own. Documents without a doc_id come after others of equal
 score. Queries are told apart by item_id; the texts of rows with one item_id (null included) are one query, its terms once each. Other columns play
 no part. Terms are told apart by 64 bits of hash: with 1e6 asked terms and 1e11 others the odds of a clash are about 1 in 200.
@@ -34,6 +35,10 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 VOCABULARY = 1 << 20
 #: Postings in one list, and the share of a batch's texts from which a term's postings are dealt to all partitions.
 LIST, FREQUENT = 1 << 16, 1 / 64
+#: Texts looked up after the first phase, times k.
+LOOKED_UP = 4
+#: Texts of a block (bits) and queries of a part, whose sums a task holds: 16 bytes for each pair.
+BLOCK, ITEMS = 12, 512
 #: Rows of (query, term) up to which they are broadcast, some 40 bytes each; more are joined in a shuffle.
 ASKED = 1 << 18
 
@@ -137,21 +142,66 @@ def _merge(k: int):
     return run
 
 
+def _asked(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Offsets of each row's queries, and what each asks: part, item, least impact."""
+    ask = batch.column("ask")
+    off = np.frombuffer(ask.buffers()[1], np.int32)[ask.offset : ask.offset + len(ask) + 1]
+    return off, [ask.values.field(c).to_numpy(zero_copy_only=False) for c in ("part", "item", "least")]
+
+
+def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each list and query that asks for it, the largest impact below the query's threshold; 0 where the list holds none."""
+    for batch in batches:
+        off, g = lists(batch.column("gs"))
+        first, (_, item, least) = _asked(batch)
+        rests = [np.zeros(0, np.int64)]
+        for i in range(batch.num_rows):
+            own = g[off[i] : off[i + 1]].astype(np.int64)
+            at = np.searchsorted(-own, -least[first[i] : first[i + 1]], side="right")
+            rests.append(np.append(own, 0)[at])
+        yield pa.record_batch([np.repeat(batch.column("term").to_numpy(), np.diff(first)), item[first[0] : first[-1]], np.concatenate(rests)], names=["term", "item", "rest"])
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each list, the entries that reach the queries' thresholds."""
+    """Of each list, the entries that reach the threshold of some query of a part, by blocks of texts."""
     for batch in batches:
         off, u = lists(batch.column("us"))
         _, g = lists(batch.column("gs"))
-        ask = batch.column("ask")
-        first = np.frombuffer(ask.buffers()[1], np.int32)[ask.offset : ask.offset + len(ask) + 1]
-        item, w, least = (ask.values.field(c).to_numpy(zero_copy_only=False) for c in ("item", "w", "least"))
+        first, (part, _, least) = _asked(batch)
+        term = batch.column("term").to_numpy()
         for i in range(batch.num_rows):
-            a, b = off[i], off[i + 1]
-            c = np.arange(first[i], first[i + 1])
-            n = np.searchsorted(-g[a:b].astype(np.int64), -least[c], side="right")
-            at = spread(np.full(len(c), a), n)
-            if len(at):
-                yield pa.record_batch([np.repeat(item[c], n), u[at], np.repeat(w[c], n) * g[at]], names=["item", "u", "c"])
+            a, b, asked = off[i], off[i + 1], slice(first[i], first[i + 1])
+            for p in np.unique(part[asked]):
+                n = a + int(np.searchsorted(-g[a:b].astype(np.int64), -least[asked][part[asked] == p].min(), side="right"))
+                if n == a:
+                    continue
+                block = u[a:n] >> BLOCK
+                order = np.argsort(block, kind="stable")
+                block = block[order]
+                cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+                ends = pa.array(np.append(cut, len(block)), pa.int32())
+                yield pa.record_batch([np.full(len(cut), p), block[cut], np.full(len(cut), term[i]), pa.ListArray.from_arrays(ends, pa.array((u[a:n][order] & ((1 << BLOCK) - 1)).astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(g[a:n][order]))], names=["part", "block", "term", "at", "gs"])
+
+
+def _candidates(entries: pa.Table, asks: pa.Table) -> pa.Table:
+    """Of a block of texts, those that can reach a query's bound: what is seen of them and the most that is unseen."""
+    items, item = np.unique(asks.column("item").to_numpy(), return_inverse=True)
+    term, w, least, rest, low = (asks.column(c).to_numpy() for c in ("term", "w", "least", "rest", "low"))
+    order = np.argsort(term, kind="stable")
+    item, term, w, least, rest = item[order], term[order], w[order], least[order], rest[order]
+    bound, unseen = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
+    bound[item] = low[order]
+    np.add.at(unseen, item, rest)
+    total, most = np.zeros((len(items), 1 << BLOCK), np.int64), np.repeat(unseen[:, None], 1 << BLOCK, axis=1)
+    wanted = entries.column("term").to_numpy()
+    ends = np.stack([np.searchsorted(term, wanted), np.searchsorted(term, wanted, side="right")], axis=1)
+    for (a, b), at, g in zip(ends.tolist(), *(entries.column(c).to_numpy() for c in ("at", "gs")), strict=True):
+        fit = g >= least[a:b, None]
+        cells = np.ix_(item[a:b], at)
+        total[cells] += fit * (w[a:b, None] * g)
+        most[cells] -= fit * rest[a:b, None]
+    found, at = np.nonzero((total > 0) & (total + most >= bound[:, None]))
+    return pa.table([pa.array(items[found]), pa.array((entries.column("block")[0].as_py() << BLOCK) + at if entries.num_rows else at)], names=["item", "u"])
 
 
 def bounded(df: DataFrame, rows: int, limit: int) -> DataFrame:
@@ -202,34 +252,45 @@ def search(docs: DataFrame, queries: DataFrame, k: int = BEST) -> DataFrame:
     pieces = pieces.repartition(n, "term", "deal").sortWithinPartitions("term")
     found = written(pieces.select("term", "df", "us", "gs").mapInArrow(_merge(k), _LISTS), "search-lists")
     w = F.floor(1000 * F.log((F.lit(2.0) * count + 2) / (2.0 * F.sum("df") + 1))).cast("long")
-    weights = found.groupBy("term").agg(w.alias("w")).where("w > 0")
+    weights = found.groupBy("term").agg(w.alias("w"), F.max(F.element_at("head_gs", 1)).alias("g")).where("w > 0").select("term", "w", (F.col("w") * F.col("g")).alias("most"))
     asked = written(asked.join(weights, "term"), "search-asked")
     many = asked.count()
+    by_text = texts.select("u", m.alias("m"), F.arrays_zip("terms", "tfs").alias("e"))
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        """Scores of (item, u)."""
+        held = pairs.join(by_text, "u").select("item", "u", "m", F.explode("e").alias("e")).select("item", "u", "m", F.col("e.terms").alias("term"), F.col("e.tfs").cast("long").alias("tf"))
+        score = F.sum(F.col("w") * F.expr(f"(1000000000L * tf) div (1000L * tf + {SATURATION}L * m)"))
+        return held.join(bounded(asked, many, ASKED), ["item", "term"]).groupBy("item", "u").agg(score.alias("s"))
 
     heads = found.select("term", F.explode(F.arrays_zip("head_us", "head_gs")).alias("e")).select("term", F.col("e.head_us").alias("u"), F.col("e.head_gs").alias("g"))
     heads = heads.withColumn("place", F.row_number().over(Window.partitionBy("term").orderBy(F.col("g").desc(), "u"))).where(F.col("place") <= k)
     sums = heads.join(asked, "term").groupBy("item", "u").agg(F.sum(F.col("w") * F.col("g")).alias("s"))
-    bound = asked.groupBy("item").agg(F.count("*").alias("lists")).join(_nth(sums, k, "low"), "item", "left").select("item", "lists", F.coalesce("low", F.lit(0)).alias("low"))
-    bound = written(bound, "search-bounds")
-
-    ask = asked.join(bound, "item").select("term", "item", "w", F.expr("(low + lists * w - 1) div (lists * w)").alias("least"))
-    ask = ask.groupBy("term", F.pmod(F.xxhash64("item"), F.lit(-(-many // 4096) or 1)).alias("part")).agg(F.collect_list(F.struct("item", "w", "least")).alias("ask"))
-    seen = found.select("term", "us", "gs").join(bounded(ask, many, ASKED), "term").select("us", "gs", "ask").mapInArrow(_fetch, "item long, u long, c long")
-    seen = written(seen.groupBy("item", "u").agg(F.sum("c").alias("s"), F.count("*").alias("seen")), "search-seen")
-    bound = bound.join(_nth(seen, k, "better"), "item", "left")
-    most = F.col("s") + (F.col("lists") - F.col("seen")) * (F.col("low") / F.col("lists"))
-    left = seen.join(bound, "item").where(most * (1 + 1e-9) >= F.coalesce("better", F.lit(0))).select("item", "u")
-
-    exact = left.join(texts.select("u", m.alias("m"), F.arrays_zip("terms", "tfs").alias("e")), "u").select("item", "u", "m", F.explode("e").alias("e"))
-    exact = exact.select("item", "u", "m", F.col("e.terms").alias("term"), F.col("e.tfs").cast("long").alias("tf")).join(bounded(asked, many, ASKED), ["item", "term"])
-    score = F.sum(F.col("w") * F.expr(f"(1000000000L * tf) div (1000L * tf + {SATURATION}L * m)"))
-    exact = exact.groupBy("item", "u").agg(score.alias("score")).where("score > 0")
+    seen = sums.withColumn("place", F.row_number().over(Window.partitionBy("item").orderBy(F.col("s").desc(), "u"))).where(F.col("place") <= LOOKED_UP * k)
+    low = _nth(exact(seen.select("item", "u")), k, "low")
+
+    below = Window.partitionBy("item").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, -1)
+    share = asked.join(low, "item", "left").withColumns({"under": F.coalesce(F.sum("most").over(below), F.lit(0)), "before": F.count("*").over(below), "lists": F.count("*").over(Window.partitionBy("item"))})
+    share = share.groupBy("item").agg(F.greatest(F.max((F.coalesce("low", F.lit(0)) - F.col("under")) / (F.col("lists") - F.col("before"))), F.lit(0.0)).alias("share"), F.first("low").alias("low"))
+    asked = written(asked.join(share.withColumn("share", F.col("share") * (1 - 1e-9)), "item"), "search-shares")
+
+    parts = -(-items.count() // ITEMS) or 1
+    ask = asked.select("term", F.pmod(F.xxhash64("item"), F.lit(parts)).alias("part"), "item", F.floor(F.col("share") / F.col("w")).alias("least"), "w", "low")
+    by_term = ask.groupBy("term", F.pmod(F.xxhash64("item"), F.lit(-(-many // 4096) or 1)).alias("deal")).agg(F.collect_list(F.struct("part", "item", "least")).alias("ask"))
+    by_term = bounded(written(by_term.drop("deal"), "search-ask"), many, ASKED)
+    rest = found.select("term", "gs").join(by_term, "term").mapInArrow(_rest, "term long, item long, rest long").groupBy("term", "item").agg(F.max("rest").alias("rest"))
+    ask = ask.join(rest, ["term", "item"]).select("part", "item", "term", "w", "least", (F.col("w") * F.col("rest")).alias("rest"), F.coalesce("low", F.lit(0)).alias("low"))
+    blocks = texts.select(F.shiftright("u", BLOCK).alias("block")).distinct().select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
+    ask = blocks.join(ask, "part").repartition(n, "part", "block")
+    entries = found.select("term", "us", "gs").join(by_term, "term").mapInArrow(_fetch, "part long, block long, term long, at array<int>, gs array<int>").repartition(n, "part", "block")
+    left = entries.groupBy("part", "block").cogroup(ask.groupBy("part", "block")).applyInArrow(_candidates, "item long, u long")
+    exact_scores = exact(written(left, "search-left")).withColumnRenamed("s", "score").where("score > 0")
 
     least = rows.groupBy("k64", "k32").agg(F.min("doc_id").alias("least"))
     keys = texts.select("u", "k64", "k32").distinct()
-    exact = exact.join(keys, "u").join(least, ["k64", "k32"])
+    scores = exact_scores.join(keys, "u").join(least, ["k64", "k32"])
     order = [F.col("score").desc(), F.col("least").asc_nulls_last()]
-    top = written(exact.withColumn("place", F.row_number().over(Window.partitionBy("item").orderBy(*order))).where(F.col("place") <= k).select("item", "k64", "k32", "score"), "search-top")
+    top = written(scores.withColumn("place", F.row_number().over(Window.partitionBy("item").orderBy(*order))).where(F.col("place") <= k).select("item", "k64", "k32", "score"), "search-top")
     member = F.row_number().over(Window.partitionBy("k64", "k32").orderBy(F.col("doc_id").asc_nulls_last()))
     members = rows.join(top.select("k64", "k32").distinct(), ["k64", "k32"], "left_semi").withColumn("member", member).where(F.col("member") <= k)
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last()))
