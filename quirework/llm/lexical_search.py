@@ -37,6 +37,8 @@ VOCABULARY = 1 << 20
 LIST, FREQUENT = 1 << 16, 1 / 64
 #: Texts looked up after the first phase, times k.
 LOOKED_UP = 4
+#: The second phase fetches down to this part of the threshold: the less the lists keep back, the fewer texts are looked up.
+DEEPER = 8
 #: Texts of a block (bits) and queries of a part, whose sums a task holds: 16 bytes for each pair.
 BLOCK, ITEMS = 12, 512
 #: Rows of (query, term) up to which they are broadcast, some 40 bytes each; more are joined in a shuffle.
@@ -275,7 +277,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = BEST) -> DataFrame:
     asked = written(asked.join(share.withColumn("share", F.col("share") * (1 - 1e-9)), "item"), "search-shares")
 
     parts = -(-items.count() // ITEMS) or 1
-    ask = asked.select("term", F.pmod(F.xxhash64("item"), F.lit(parts)).alias("part"), "item", F.floor(F.col("share") / F.col("w")).alias("least"), "w", "low")
+    ask = asked.select("term", F.pmod(F.xxhash64("item"), F.lit(parts)).alias("part"), "item", F.floor(F.col("share") / DEEPER / F.col("w")).alias("least"), "w", "low")
     by_term = ask.groupBy("term", F.pmod(F.xxhash64("item"), F.lit(-(-many // 4096) or 1)).alias("deal")).agg(F.collect_list(F.struct("part", "item", "least")).alias("ask"))
     by_term = bounded(written(by_term.drop("deal"), "search-ask"), many, ASKED)
     rest = found.select("term", "gs").join(by_term, "term").mapInArrow(_rest, "term long, item long, rest long").groupBy("term", "item").agg(F.max("rest").alias("rest"))
