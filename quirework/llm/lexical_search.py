@@ -7,7 +7,7 @@ lists of at most LIST, sorted by impact, that stay together by term; the lists o
 The three phases: (1) the heads of all lists give each query partial sums; the texts with the largest are looked up, and the k-th of their scores is a
 bound from below; (2) one threshold for all lists of a query is set so that a text below it everywhere stays below the bound: the bound is shared
 out evenly, and what lists with small impacts cannot use goes to the others. All entries that reach the threshold come, once for all queries of a part, and are
-added up by blocks of texts; texts that cannot reach the bound, even with the largest entries that the other lists kept back, go; (3) the scores of those left are looked up exactly. No text in the first k is ever lost, ties included.
+added up by blocks of texts; texts that cannot reach the bound, even with the largest entries that the other lists kept back, go, as do those that cannot reach the k-th sum; (3) the scores of those left are looked up exactly. No text in the first k is ever lost, ties included.
 
 Scores are whole numbers throughout, but for the logarithm in a term's weight. Null texts and
 texts without terms count nowhere. Repeated rows are documents like others, each with a rank of its own. Documents without a doc_id come after others of equal
@@ -185,8 +185,8 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([np.full(len(cut), p), block[cut], np.full(len(cut), term[i]), pa.ListArray.from_arrays(ends, pa.array((u[a:n][order] & ((1 << BLOCK) - 1)).astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(g[a:n][order]))], names=["part", "block", "term", "at", "gs"])
 
 
-def _candidates(entries: pa.Table, asks: pa.Table) -> pa.Table:
-    """Of a block of texts, those that can reach a query's bound: what is seen of them and the most that is unseen."""
+def _candidates(entries: pa.Table, asks: pa.Table, k: int) -> pa.Table:
+    """Of a block of texts, those that can reach a query's bound and the k-th sum of the block: what is seen of them (s), and that with the most that is unseen."""
     items, item = np.unique(asks.column("item").to_numpy(), return_inverse=True)
     term, w, least, rest, low = (asks.column(c).to_numpy() for c in ("term", "w", "least", "rest", "low"))
     order = np.argsort(term, kind="stable")
@@ -202,8 +202,10 @@ def _candidates(entries: pa.Table, asks: pa.Table) -> pa.Table:
         cells = np.ix_(item[a:b], at)
         total[cells] += fit * (w[a:b, None] * g)
         most[cells] -= fit * rest[a:b, None]
-    found, at = np.nonzero((total > 0) & (total + most >= bound[:, None]))
-    return pa.table([pa.array(items[found]), pa.array((entries.column("block")[0].as_py() << BLOCK) + at if entries.num_rows else at)], names=["item", "u"])
+    bound = np.maximum(bound, np.partition(total, -k, axis=1)[:, -k]) if k <= total.shape[1] else bound
+    most += total
+    found, at = np.nonzero((total > 0) & (most >= bound[:, None]))
+    return pa.table([pa.array(items[found]), pa.array((entries.column("block")[0].as_py() << BLOCK) + at if entries.num_rows else at), pa.array(total[found, at]), pa.array(most[found, at])], names=["item", "u", "s", "most"])
 
 
 def bounded(df: DataFrame, rows: int, limit: int) -> DataFrame:
@@ -285,7 +287,9 @@ def search(docs: DataFrame, queries: DataFrame, k: int = BEST) -> DataFrame:
     blocks = texts.select(F.shiftright("u", BLOCK).alias("block")).distinct().select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
     ask = blocks.join(ask, "part").repartition(n, "part", "block")
     entries = found.select("term", "us", "gs").join(by_term, "term").mapInArrow(_fetch, "part long, block long, term long, at array<int>, gs array<int>").repartition(n, "part", "block")
-    left = entries.groupBy("part", "block").cogroup(ask.groupBy("part", "block")).applyInArrow(_candidates, "item long, u long")
+    left = entries.groupBy("part", "block").cogroup(ask.groupBy("part", "block")).applyInArrow(lambda x, y: _candidates(x, y, k), "item long, u long, s long, most long")
+    left = written(left, "search-seen")
+    left = left.join(_nth(left, k, "better"), "item", "left").where(F.col("most") >= F.coalesce("better", F.lit(0))).select("item", "u")
     exact_scores = exact(written(left, "search-left")).withColumnRenamed("s", "score").where("score > 0")
 
     least = rows.groupBy("k64", "k32").agg(F.min("doc_id").alias("least"))
