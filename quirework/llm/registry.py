@@ -14,6 +14,7 @@ from .quality import op4_quality
 from .sharding import op2_sharding
 from .substring_dedup import OP1_SQL, op1_substring_dedup
 from .token_files import op5_token_files
+from .toxicity import op12_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_audio_features": op9_audio_features,
     "op10_minhash_dedup": op10_minhash_dedup,
     "op11_lexical_search": op11_lexical_search,
+    "op12_toxicity": op12_toxicity,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
