@@ -280,8 +280,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = BEST) -> DataFrame:
 
     parts = -(-items.count() // ITEMS) or 1
     ask = asked.select("term", F.pmod(F.xxhash64("item"), F.lit(parts)).alias("part"), "item", F.floor(F.col("share") / DEEPER / F.col("w")).alias("least"), "w", "low")
-    by_term = ask.groupBy("term", F.pmod(F.xxhash64("item"), F.lit(-(-many // 4096) or 1)).alias("deal")).agg(F.collect_list(F.struct("part", "item", "least")).alias("ask"))
-    by_term = bounded(written(by_term.drop("deal"), "search-ask"), many, ASKED)
+    by_term = ask.groupBy("term", "part").agg(F.collect_list(F.struct("part", "item", "least")).alias("ask"))  # about ITEMS at most; a list's entries go to a part once
+    by_term = bounded(written(by_term.drop("part"), "search-ask"), many, ASKED)
     rest = found.select("term", "gs").join(by_term, "term").mapInArrow(_rest, "term long, item long, rest long").groupBy("term", "item").agg(F.max("rest").alias("rest"))
     ask = ask.join(rest, ["term", "item"]).select("part", "item", "term", "w", "least", (F.col("w") * F.col("rest")).alias("rest"), F.coalesce("low", F.lit(0)).alias("low"))
     blocks = texts.select(F.shiftright("u", BLOCK).alias("block")).distinct().select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))

@@ -40,8 +40,10 @@ def found(spark, docs, queries, k):
     return sorted(((r.item_id, r["rank"], r.doc_id, r.score) for r in lexical_search.search(df, asked, k).collect()), key=repr)
 
 
-@pytest.mark.parametrize("vocabulary, size, frequent", [(1 << 20, 1 << 16, 1 / 64), (5, 3, 0.5)])
-def test_search_against_brute_force(spark, monkeypatch, vocabulary, size, frequent):
+@pytest.mark.parametrize("vocabulary, size, frequent, items", [(1 << 20, 1 << 16, 1 / 64, 512), (5, 3, 0.5, 2)])
+def test_search_against_brute_force(spark, monkeypatch, vocabulary, size, frequent, items):
+    monkeypatch.setattr(lexical_search, "ITEMS", items)
+    monkeypatch.setattr(lexical_search, "BLOCK", 12 if items > 2 else 4)
     monkeypatch.setattr(lexical_search, "VOCABULARY", vocabulary)
     monkeypatch.setattr(lexical_search, "LIST", size)
     monkeypatch.setattr(lexical_search, "FREQUENT", frequent)
@@ -60,3 +62,12 @@ def test_search_of_nothing(spark):
     assert found(spark, [], [(1, "a")], 5) == []
     assert found(spark, [(1, "a")], [], 5) == []
     assert found(spark, [(1, None)], [(1, "a")], 5) == []
+
+
+def test_many_queries_share_terms(spark):
+    """More asked terms than one row of a term's queries may hold."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(20, 60)))) for i in range(400)]
+    queries = [(i, " ".join(rng.choices(words, k=40))) for i in range(130)]
+    assert found(spark, docs, queries, 7) == brute(docs, queries, 7)
