@@ -2,7 +2,7 @@ import pytest
 from compare import same_rows
 
 import __spark_entry__ as entry_module
-from quirework.plans import archive, catalogue, classes  # noqa: F401
+from quirework.plans import archive, catalogue, classes, exchange  # noqa: F401
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLE_SQL))
