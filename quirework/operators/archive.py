@@ -82,7 +82,7 @@ def with_truth(rows: DataFrame, drafts: DataFrame) -> DataFrame:
 def verification(pages: DataFrame, key: str, text: str) -> DataFrame:
     """Marks of doubt, characters and empty pages of each object; the average is over pages that are not empty, halves to even."""
     t = F.coalesce(F.col(text), F.lit(""))
-    some = F.trim(F.regexp_replace(t, r"\s+", " ")) != ""
+    some = F.regexp_replace(t, r"(?U)[\s\x1c-\x1f]+", "") != ""
     marks = lambda p: F.sum(F.when(some, F.size(F.regexp_extract_all(t, F.lit(p), F.lit(0)))).otherwise(0)).cast("long")
     out = pages.groupBy(key).agg(
         marks(r"\[\?\]").alias("uncertain"), marks(r"\[\.\.\..*?\]").alias("illegible"), F.sum(F.when(some, F.length(t)).otherwise(0)).cast("long").alias("total_chars"), F.count_if(~some).alias("empty_pages"), F.count("*").alias("pages")

@@ -45,6 +45,11 @@ def escaped(c: Column) -> Column:
     return c
 
 
+def quoted(c: Column) -> Column:
+    """A text within an attribute's double quotes."""
+    return F.replace(escaped(c), F.lit('"'), F.lit("&quot;"))
+
+
 def element(name: str, content: Column | None, attributes: str = "") -> Column:
     """An XML element around content; null without it."""
     return F.concat(F.lit(f"<{name}{attributes}>"), content, F.lit(f"</{name}>"))
@@ -68,7 +73,7 @@ def mods(m: Column, rights: Column, pid: Column, language: Column, language_code
     known = (F.coalesce(language, F.lit("")) != "") | (language_code != "und")
     place = F.when(
         truthy(m["repository"]).isNotNull(),
-        F.concat(F.lit("<mods:physicalLocation"), F.coalesce(F.concat(F.lit(' authority="gnd" valueURI="'), t("repository_gnd"), F.lit('"')), F.lit("")), F.lit(">"), t("repository"), F.lit("</mods:physicalLocation>")),
+        F.concat(F.lit("<mods:physicalLocation"), F.coalesce(F.concat(F.lit(' authority="gnd" valueURI="'), quoted(truthy(m["repository_gnd"])), F.lit('"')), F.lit("")), F.lit(">"), t("repository"), F.lit("</mods:physicalLocation>")),
     )
     return element(
         "mods:mods",
@@ -100,10 +105,10 @@ def mets(mods_xml: Column, owner: Column, object_id: Column, base: Column, image
     """METS of an object. images: URLs in order; kinds: page types by page; layouts: numbers of pages with a PAGE XML; base: what IMG.n is appended to."""
     n = lambda i: (i + 1).cast("string")
     here = F.lit
-    file_ = lambda i, url: F.concat(here('<mets:file ID="IMG.'), n(i), here('" MIMETYPE="image/jpeg"><mets:FLocat LOCTYPE="URL" xlink:href="'), escaped(url), here('" /></mets:file>'))
-    page_file = lambda k: F.concat(here('<mets:file ID="PAGE.'), k.cast("string"), here('" MIMETYPE="application/xml"><mets:FLocat LOCTYPE="URL" xlink:href="'), object_id, here("_page/page_"), F.lpad(k.cast("string"), 3, "0"), here('.xml" /></mets:file>'))
+    file_ = lambda i, url: F.concat(here('<mets:file ID="IMG.'), n(i), here('" MIMETYPE="image/jpeg"><mets:FLocat LOCTYPE="URL" xlink:href="'), quoted(url), here('" /></mets:file>'))
+    page_file = lambda k: F.concat(here('<mets:file ID="PAGE.'), k.cast("string"), here('" MIMETYPE="application/xml"><mets:FLocat LOCTYPE="URL" xlink:href="'), quoted(object_id), here("_page/page_"), F.lpad(k.cast("string"), 3, "0"), here('.xml" /></mets:file>'))
     has = lambda i: F.when(F.array_contains(layouts, i + 1), F.concat(here('<mets:fptr FILEID="PAGE.'), n(i), here('" />'))).otherwise("")
-    page = lambda url, i: F.concat(here('<mets:div ID="DIV.'), n(i), here('" ORDER="'), n(i), here('" TYPE="page" CONTENTIDS="'), base, here("/IMG."), n(i), here('"><mets:fptr FILEID="IMG.'), n(i), here('" />'), has(i), here("</mets:div>"))
+    page = lambda url, i: F.concat(here('<mets:div ID="DIV.'), n(i), here('" ORDER="'), n(i), here('" TYPE="page" CONTENTIDS="'), quoted(base), here("/IMG."), n(i), here('"><mets:fptr FILEID="IMG.'), n(i), here('" />'), has(i), here("</mets:div>"))
     link = lambda url, i: F.concat(here('<mets:smLink xlink:from="'), link_target(F.get(kinds, i)), here('" xlink:to="DIV.'), n(i), here('" />'))
     all_ = lambda make: F.array_join(F.transform(images, make), "")
     return F.concat(

@@ -41,10 +41,10 @@ def unmatched(pages: DataFrame, edits: DataFrame) -> DataFrame:
 
 
 def reason_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Objects whose sets of reasons differ. Both: object_id, reasons."""
+    """Objects whose sets of reasons differ, those of one side only too: their other side is null. Both: object_id, reasons."""
     bag = lambda c: F.array_sort(F.array_distinct(c))
-    rows = old.select("object_id", F.col("reasons").alias("before")).join(new.select("object_id", F.col("reasons").alias("after")), "object_id")
-    return rows.where(bag("before") != bag("after"))
+    rows = old.select("object_id", F.col("reasons").alias("before")).join(new.select("object_id", F.col("reasons").alias("after")), "object_id", "full")
+    return rows.where(~bag("before").eqNullSafe(bag("after")))
 
 
 def progress(pages: DataFrame) -> DataFrame:
@@ -54,6 +54,34 @@ def progress(pages: DataFrame) -> DataFrame:
     return rows.withColumn("expert_verified", F.col("content_pages") == F.col("approved_pages"))
 
 
+def ranks(rows: DataFrame, value: str, parts: int = 200) -> DataFrame:
+    """value, rank: each value's place among all rows in rising order, from 1; equal values share their mean place. Null and NaN have none.
+
+    Values fall into at most `parts` ranges, cut at approximate quantiles; places within a range are counted there, and the counts of the ranges below are added. No task sees more than its range
+    of distinct values.
+    """
+    counts = rows.select(F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)").groupBy("v").agg(F.count("*").alias("n"))
+    cuts = counts.agg(F.percentile_approx("v", [i / parts for i in range(1, parts)], 10_000)).first()[0]
+    cuts = sorted(set(cuts or []))
+    bounds = F.array(*map(F.lit, cuts)).cast("array<double>")
+    counts = counts.withColumn("part", F.size(F.filter(bounds, lambda b: b < F.col("v"))))
+    total, below = 0, []
+    for part, n in sorted(counts.groupBy("part").agg(F.sum("n")).collect()):  # at most `parts` rows
+        below += [F.lit(part), F.lit(total)]
+        total += n
+    start = F.element_at(F.create_map(*below), F.col("part")) if below else F.lit(0)
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counts.select(F.col("v").alias(value), (start + before + (F.col("n") + 1) / 2).alias("rank"))
+
+
+def spearman(rows: DataFrame, a: str, b: str, parts: int = 200) -> DataFrame:
+    """rho, n: the correlation of the ranks of two columns, over rows that have both; rho is null if one of them does not vary."""
+    both = rows.select(F.col(a).cast("double").alias("a_"), F.col(b).cast("double").alias("b_")).where("a_ is not null and b_ is not null and not isnan(a_) and not isnan(b_)")
+    met = both.join(ranks(both, "a_", parts).withColumnRenamed("rank", "x"), "a_").join(ranks(both, "b_", parts).withColumnRenamed("rank", "y"), "b_")
+    rho = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    return met.agg(rho.alias("rho"), F.count("*").alias("n"))
+
+
 def signal_quality(rows: DataFrame, flag: str, truth: str) -> DataFrame:
     """Precision, recall and F1 of a flag."""
     f, t = F.col(flag), F.col(truth)

@@ -142,16 +142,16 @@ def q_jn_wiki_titles(spark, d):
     return rows.join(titles, "slug", "left").select("slug", F.coalesce("title", F.col("slug").cast("string")).alias("shown"))
 
 
-MARKED = "CASE (conv_id + turn) % 4 WHEN 0 THEN coalesce(text, '') || ' [?] [?]' WHEN 1 THEN '[...3...] ' || coalesce(text, '') WHEN 2 THEN '  ' ELSE coalesce(text, '') END"
+MARKED = "CASE (conv_id + turn) % 4 WHEN 0 THEN coalesce(text, '') || ' [?] [?]' WHEN 1 THEN '[...3...] ' || coalesce(text, '') WHEN 2 THEN ' ' || chr(160) || ' ' ELSE coalesce(text, '') END"
 
 
-@query(rf"""WITH p AS (SELECT conv_id AS object_id, {MARKED} AS t FROM conversations), x AS (SELECT *, regexp_replace(t, '\s', '', 'g') <> '' AS filled FROM p),
+@query(rf"""WITH p AS (SELECT conv_id AS object_id, {MARKED} AS t FROM conversations), x AS (SELECT *, regexp_replace(t, '[\s\x{{00A0}}]', '', 'g') <> '' AS filled FROM p),
 s AS (SELECT object_id, CAST(sum(CASE WHEN filled THEN len(regexp_extract_all(t, '\[\?\]')) ELSE 0 END) AS BIGINT) AS uncertain, CAST(sum(CASE WHEN filled THEN len(regexp_extract_all(t, '\[\.\.\..*?\]')) ELSE 0 END) AS BIGINT) AS illegible,
 CAST(sum(CASE WHEN filled THEN length(t) ELSE 0 END) AS BIGINT) AS total_chars, count(*) FILTER (NOT filled) AS empty_pages, count(*) AS pages FROM x GROUP BY 1)
 SELECT *, CAST(CASE WHEN pages > empty_pages THEN round_even(total_chars / (pages - empty_pages), 0) ELSE 0 END AS BIGINT) AS avg_chars_per_page FROM s""")
 def q_agg_verification(spark, d):
     k, t = (F.col("object_id") + F.col("pos")) % 4, F.coalesce("text", F.lit(""))
-    marked = F.when(k == 0, F.concat(t, F.lit(" [?] [?]"))).when(k == 1, F.concat(F.lit("[...3...] "), t)).when(k == 2, "  ").otherwise(t)
+    marked = F.when(k == 0, F.concat(t, F.lit(" [?] [?]"))).when(k == 1, F.concat(F.lit("[...3...] "), t)).when(k == 2, " \u00a0 ").otherwise(t)
     return archive.verification(turns(spark, d).withColumn("text", marked), "object_id", "text")
 
 
@@ -301,14 +301,16 @@ def q_cls_export_format(spark, d):
 
 
 def _drafts(spark, d):
-    drafts = turns(spark, d).select("object_id", F.col("pos").alias("page"), F.coalesce("text", F.lit("")).alias("text"), F.lit("a").alias("source"))
+    drafts = turns(spark, d).select("object_id", F.col("pos").alias("page"), F.coalesce("text", F.lit("")).alias("text"), F.lit("a").alias("source"), F.when(F.col("role") == "system", "blank").otherwise("content").alias("type"))
     k = F.col("object_id") + F.col("page")
-    out = drafts.where(k % 3 != 0).select("object_id", "page", F.when(k % 2 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), F.when(k % 4 == 1, "b").alias("source"), (k % 5 != 0).alias("approved"), F.when(k % 7 == 0, True).alias("expert_edited"))
-    return drafts, out
+    drafts = drafts.withColumns({"approved": F.when(k % 2 == 0, k % 6 == 0), "expert_edited": k % 9 == 0})
+    out = drafts.where(k % 3 != 0).select(F.lit(2).alias("nth"), "object_id", "page", F.when(k % 2 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), F.when(k % 4 == 1, "b").alias("source"), (k % 5 != 0).alias("approved"), F.when(k % 7 == 0, True).alias("expert_edited"))
+    stale = out.where(k % 4 == 0).withColumns({"nth": F.lit(1), "text": F.lit("stale"), "approved": ~F.col("approved"), "source": F.lit("z")})
+    return drafts, out.unionByName(stale)
 
 
-TRUTH = """WITH p AS (SELECT conv_id AS object_id, turn AS page, coalesce(text, '') AS t, conv_id + turn AS k FROM conversations),
-r AS (SELECT object_id, page, CASE WHEN k % 3 <> 0 AND k % 2 = 0 THEN t || '!' ELSE t END AS text, CASE WHEN k % 3 <> 0 AND k % 4 = 1 THEN 'b' ELSE 'a' END AS source, CASE WHEN k % 3 <> 0 THEN k % 5 <> 0 END AS approved, CASE WHEN k % 3 <> 0 THEN k % 7 = 0 END AS expert_edited, k % 3 <> 0 AND k % 2 = 0 AS updated FROM p)"""
+TRUTH = """WITH p AS (SELECT conv_id AS object_id, turn AS page, coalesce(text, '') AS t, CASE WHEN role = 'system' THEN 'blank' ELSE 'content' END AS type, conv_id + turn AS k FROM conversations),
+r AS (SELECT object_id, page, CASE WHEN k % 3 <> 0 AND k % 2 = 0 THEN t || '!' ELSE t END AS text, CASE WHEN k % 3 <> 0 AND k % 4 = 1 THEN 'b' ELSE 'a' END AS source, CASE WHEN k % 3 <> 0 THEN k % 5 <> 0 WHEN k % 2 = 0 THEN k % 6 = 0 END AS approved, CASE WHEN k % 3 <> 0 THEN k % 7 = 0 ELSE k % 9 = 0 END AS expert_edited, k % 3 <> 0 AND k % 2 = 0 AS updated, k % 3 <> 0 AS imported, type FROM p)"""
 
 
 @query(f"{TRUTH} SELECT * FROM r")
@@ -316,16 +318,20 @@ def q_upd_import_gt(spark, d):
     return imports.import_truth(*_drafts(spark, d))
 
 
-@query(f"{TRUTH} SELECT object_id, count(*) FILTER (approved) AS approved, count(*) FILTER (updated) AS updated, count(*) AS pages, CASE WHEN count(*) FILTER (approved) = count(*) THEN 'VERIFIZIERT' ELSE 'TEILWEISE' END AS state FROM r GROUP BY 1")
+@query(f"""{TRUTH} SELECT object_id, count(*) FILTER (imported AND approved) AS approved, count(*) FILTER (updated) AS updated, count(*) FILTER (type = 'content') AS content_pages, object_id % 3 = 0 AS expert_verified,
+CASE WHEN object_id % 2 = 0 THEN 'ex' ELSE 'importer' END AS reviewed_by, '2026' AS reviewed_at, CASE WHEN object_id % 3 = 0 THEN 'VERIFIZIERT' ELSE 'TEILWEISE' END AS state FROM r WHERE object_id % 5 <> 0 GROUP BY object_id""")
 def q_jn_gt_review(spark, d):
-    rows = imports.import_truth(*_drafts(spark, d)).groupBy("object_id").agg(F.count_if("approved").alias("approved"), F.count_if("updated").alias("updated"), F.count("*").alias("pages"))
-    return rows.withColumn("state", F.when(F.col("approved") == F.col("pages"), "VERIFIZIERT").otherwise("TEILWEISE"))
+    o = F.col("object_id")
+    reviews = table(spark, d, "conversations").select(F.col("conv_id").alias("object_id")).distinct().where(o % 5 != 0)
+    reviews = reviews.select(o, F.when(o % 3 == 0, True).alias("expert_verified"), F.when(o % 2 == 0, "ex").alias("reviewed_by"), F.lit("2026").alias("reviewed_at"))
+    return imports.truth_states(imports.import_truth(*_drafts(spark, d)), reviews, "importer")
 
 
 def _edits(spark, d):
     pages = turns(spark, d).select("object_id", F.col("pos").alias("page"), F.coalesce("text", F.lit("")).alias("text"), F.col("role").alias("notes"))
     k = F.col("object_id") + F.col("page")
     out = pages.select("object_id", (F.col("page") + F.when(k % 9 == 0, 1000).otherwise(0)).alias("page"), F.concat(F.lit("new "), "text").alias("text"), F.lit(None).cast("string").alias("notes"), (k % 3 == 0).alias("edited"))
+    out = out.withColumn("nth", F.lit(2)).unionByName(out.where(k % 6 == 0).withColumns({"nth": F.lit(1), "text": F.lit("stale")}))
     reviews = pages.select("object_id").distinct().select("object_id", (F.col("object_id") % 4 == 0).alias("reviewed"), F.lit("x").alias("reviewed_by"), F.lit("2026").alias("reviewed_at"))
     return pages, out, reviews
 
@@ -491,15 +497,15 @@ def q_exp_struct_link(spark, d):
 
 
 METS_SQL = f"""'<mets:mets xmlns:mets="{exports.METS}" xmlns:xlink="{exports.XLINK}" xmlns:dv="{exports.RIGHTS}"><mets:dmdSec ID="DMD.1"><mets:mdWrap MDTYPE="MODS" MIMETYPE="text/xml"><mets:xmlData>' || {MODS_SQL} || '</mets:xmlData></mets:mdWrap></mets:dmdSec><mets:amdSec ID="AMD.1"><mets:rightsMD ID="RMD.1"><mets:mdWrap MDTYPE="OTHER" MIMETYPE="text/xml" OTHERMDTYPE="DVRIGHTS"><mets:xmlData><dv:rights><dv:owner>A &amp; B</dv:owner></dv:rights></mets:xmlData></mets:mdWrap></mets:rightsMD><mets:digiprovMD ID="PMD.1"><mets:mdWrap MDTYPE="OTHER" MIMETYPE="text/xml" OTHERMDTYPE="DVLINKS"><mets:xmlData><dv:links><dv:reference /><dv:presentation /></dv:links></mets:xmlData></mets:mdWrap></mets:digiprovMD></mets:amdSec><mets:fileSec><mets:fileGrp USE="DEFAULT">'
-|| array_to_string(list_transform(range(1, k % 4 + 2), lambda i: '<mets:file ID="IMG.' || i || '" MIMETYPE="image/jpeg"><mets:FLocat LOCTYPE="URL" xlink:href="http://x/' || i || '?a=1&amp;b=2" /></mets:file>'), '') || '</mets:fileGrp>' || CASE WHEN k % 3 = 0 THEN '<mets:fileGrp USE="PAGE"><mets:file ID="PAGE.1" MIMETYPE="application/xml"><mets:FLocat LOCTYPE="URL" xlink:href="o' || k || '_page/page_001.xml" /></mets:file></mets:fileGrp>' ELSE '' END
-|| '</mets:fileSec><mets:structMap TYPE="PHYSICAL"><mets:div ID="PHY.1" TYPE="physSequence">' || array_to_string(list_transform(range(1, k % 4 + 2), lambda i: '<mets:div ID="DIV.' || i || '" ORDER="' || i || '" TYPE="page" CONTENTIDS="http://x/o:' || k || '/IMG.' || i || '"><mets:fptr FILEID="IMG.' || i || '" />' || CASE WHEN k % 3 = 0 AND i = 1 THEN '<mets:fptr FILEID="PAGE.1" />' ELSE '' END || '</mets:div>'), '')
+|| array_to_string(list_transform(range(1, k % 4 + 2), lambda i: '<mets:file ID="IMG.' || i || '" MIMETYPE="image/jpeg"><mets:FLocat LOCTYPE="URL" xlink:href="http://x/' || i || '?a=&quot;1&quot;&amp;b=2" /></mets:file>'), '') || '</mets:fileGrp>' || CASE WHEN k % 3 = 0 THEN '<mets:fileGrp USE="PAGE"><mets:file ID="PAGE.1" MIMETYPE="application/xml"><mets:FLocat LOCTYPE="URL" xlink:href="o' || k || '_page/page_001.xml" /></mets:file></mets:fileGrp>' ELSE '' END
+|| '</mets:fileSec><mets:structMap TYPE="PHYSICAL"><mets:div ID="PHY.1" TYPE="physSequence">' || array_to_string(list_transform(range(1, k % 4 + 2), lambda i: '<mets:div ID="DIV.' || i || '" ORDER="' || i || '" TYPE="page" CONTENTIDS="http://x/?q=&quot;1&quot;&amp;o:' || k || '/IMG.' || i || '"><mets:fptr FILEID="IMG.' || i || '" />' || CASE WHEN k % 3 = 0 AND i = 1 THEN '<mets:fptr FILEID="PAGE.1" />' ELSE '' END || '</mets:div>'), '')
 || '</mets:div></mets:structMap><mets:structMap TYPE="LOGICAL"><mets:div ADMID="AMD.1" DMDID="DMD.1" ID="LOG.1" TYPE="monograph"><mets:div ID="U.1" TYPE="Textseiten" /><mets:div ID="U.2" TYPE="Farbreferenz/Schluss" /></mets:div></mets:structMap><mets:structLink>' || array_to_string(list_transform(range(1, k % 4 + 2), lambda i: '<mets:smLink xlink:from="' || CASE WHEN i = 2 THEN 'U.2' ELSE 'U.1' END || '" xlink:to="DIV.' || i || '" />'), '') || '</mets:structLink></mets:mets>'"""
 
 
 @query(f"SELECT id, {METS_SQL} AS mets FROM ({PARTS})")
 def q_exp_mets(spark, d):
     k = F.col("id")
-    images = F.transform(F.sequence(F.lit(1), (k % 4 + 1).cast("int")), lambda i: F.concat(F.lit("http://x/"), i.cast("string"), F.lit("?a=1&b=2")))
+    images = F.transform(F.sequence(F.lit(1), (k % 4 + 1).cast("int")), lambda i: F.concat(F.lit("http://x/"), i.cast("string"), F.lit('?a="1"&b=2')))
     layouts = F.when(k % 3 == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
-    out = exports.mets(_mods(), F.lit("A & B"), F.concat(F.lit("o"), k.cast("string")), F.concat(F.lit("http://x/o:"), k.cast("string")), images, F.array(F.lit("content"), F.lit("color_chart")), layouts)
+    out = exports.mets(_mods(), F.lit("A & B"), F.concat(F.lit("o"), k.cast("string")), F.concat(F.lit('http://x/?q="1"&o:'), k.cast("string")), images, F.array(F.lit("content"), F.lit("color_chart")), layouts)
     return _metadata(spark, d).select("id", out.alias("mets"))

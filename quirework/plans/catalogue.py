@@ -519,11 +519,11 @@ def q_agg_rollup(spark, d):
     return rows.withColumn("grp", F.coalesce("grp", F.lit("all")))
 
 
-@query("""WITH a AS (SELECT user_id AS object_id, list_sort(list_distinct(list(event_type))) AS reasons FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT user_id AS object_id, list_sort(list_distinct(list(event_type))) AS reasons FROM events WHERE event_id % 2 = 1 GROUP BY 1)
-SELECT a.object_id FROM a JOIN b USING (object_id) WHERE a.reasons <> b.reasons""")
+@query("""WITH a AS (SELECT user_id AS object_id, list_sort(list_distinct(list(event_type))) AS reasons FROM events WHERE event_id % 2 = 0 AND NOT (user_id % 7 = 0) GROUP BY 1), b AS (SELECT user_id AS object_id, list_sort(list_distinct(list(event_type))) AS reasons FROM events WHERE event_id % 2 = 1 AND NOT (user_id % 7 = 1) GROUP BY 1)
+SELECT object_id FROM a FULL JOIN b USING (object_id) WHERE a.reasons IS DISTINCT FROM b.reasons""")
 def q_set_reason_diff(spark, d):
     rows = table(spark, d, "events")
-    half = lambda k: rows.where(f"event_id % 2 = {k}").groupBy(F.col("user_id").alias("object_id")).agg(F.collect_set("event_type").alias("reasons"))
+    half = lambda k: rows.where(f"event_id % 2 = {k} AND NOT (user_id % 7 = {k})").groupBy(F.col("user_id").alias("object_id")).agg(F.collect_set("event_type").alias("reasons"))
     return review.reason_changes(half(0), half(1)).select("object_id")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import layout
+from ..operators import layout, review, versions
 from ..sources import archival_xml
 from .catalogue import query, table
 
@@ -53,3 +53,40 @@ def q_imp_page_xml(spark, d):
     rows = archival_xml.page_regions(layout.page_xml(_layout(spark, d)), ["object_id", "page"], "xml")
     tenths = lambda i: F.round(F.col("bbox")[i] * 10).cast("int")
     return rows.select("object_id", "page", "image", "region_id", "type", *(tenths(i).alias(c) for i, c in enumerate("xywh")), "reading_order", "text")
+
+
+@query("""WITH r AS (SELECT l_quantity, l_extendedprice, rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS x, rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS y FROM lineitem)
+SELECT round(corr(CAST(x AS DOUBLE), CAST(y AS DOUBLE)), 6) AS rho, count(*) AS n FROM r""")
+def q_agg_signal_rho(spark, d):
+    return review.spearman(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice").select(F.round("rho", 6).alias("rho"), "n")
+
+
+@query("""WITH c AS (SELECT l_quantity AS v, count(*) AS n FROM lineitem GROUP BY 1) SELECT CAST(v AS DOUBLE) AS l_quantity, CAST(coalesce(sum(n) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (n + 1) / 2 AS DOUBLE) AS rank FROM c""")
+def q_win_mean_rank(spark, d):
+    return review.ranks(table(spark, d, "lineitem"), "l_quantity", 8)
+
+
+#: Versions of users' states: one a change of the event's type, as the log tells them.
+_VERSIONS = """v AS (SELECT user_id AS object_id, event_type AS state, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS version, event_id AS "at" FROM events WHERE event_id % 3 <> 0)"""
+
+
+def _versions(spark, d):
+    from pyspark.sql import Window
+
+    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return table(spark, d, "events").where("event_id % 3 <> 0").select(F.col("user_id").alias("object_id"), F.col("event_type").alias("state"), nth.alias("version"), F.col("event_id").alias("at"))
+
+
+@query(f"""WITH {_VERSIONS} SELECT object_id, arg_max(state, version) AS state, max(version) AS version FROM v WHERE "at" <= 5000 GROUP BY 1""")
+def q_ver_as_of(spark, d):
+    return versions.as_of(_versions(spark, d), ["object_id"], F.lit(5000)).select("object_id", "state", "version")
+
+
+@query(f"""WITH {_VERSIONS}, s AS (SELECT object_id, arg_max(state, version) AS state, max(version) AS version FROM v GROUP BY 1),
+n AS (SELECT user_id AS object_id, max(event_type) FILTER (event_id % 3 = 0) AS state FROM events GROUP BY 1)
+SELECT object_id, n.state, CAST(coalesce(version, 0) + 1 AS INTEGER) AS version FROM n LEFT JOIN s USING (object_id) WHERE version IS NULL OR n.state IS DISTINCT FROM s.state""")
+def q_upd_new_versions(spark, d):
+    """New versions of states that differ from the latest; nulls count as a state."""
+    now = table(spark, d, "events").groupBy(F.col("user_id").alias("object_id")).agg(F.max(F.when(F.col("event_id") % 3 == 0, F.col("event_type"))).alias("state"))
+    current = versions.state(_versions(spark, d), ["object_id"])
+    return versions.changes(current, now, ["object_id"], ["state"]).select("object_id", "state", F.col("version").cast("int").alias("version"))
