@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .edits import word_script
 from .text import normalize_flat, word_set
 
 
@@ -106,29 +107,8 @@ def hallucination(reference: Column, other: Column) -> Column:
     return F.when(F.length(other) > 0, edit_breakdown(reference, other)["insertions"] / F.length(other)).otherwise(0.0)
 
 
-def _diff(a: list[str], b: list[str]) -> list[tuple[str, str | None, str | None]]:
-    """Word alignment on a longest common subsequence; walking back, an insertion goes before a deletion of equal worth."""
-    length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            length[i + 1][j + 1] = length[i][j] + 1 if x == y else max(length[i][j + 1], length[i + 1][j])
-    out, i, j = [], len(a), len(b)
-    while i or j:
-        if i and j and a[i - 1] == b[j - 1]:
-            i, j = i - 1, j - 1
-            out.append(("match", a[i], b[j]))
-        elif j and (not i or length[i][j - 1] >= length[i - 1][j]):
-            j -= 1
-            out.append(("insert", None, b[j]))
-        else:
-            i -= 1
-            out.append(("delete", a[i], None))
-    return out[::-1]
-
-
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "a", "b")])))
-def word_diff(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([[dict(zip(("kind", "a", "b"), step, strict=True)) for step in _diff((x or "").split(), (y or "").split())] for x, y in zip(a, b, strict=True)])
+#: Words matched on a longest common subsequence.
+word_diff = word_script
 
 
 def diff_statistics(diff: Column) -> Column:

@@ -5,7 +5,7 @@ White space and letters follow Unicode ((?U)) as in the rules these functions im
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Names of languages as metadata spells them.
@@ -205,6 +205,26 @@ def wiki_slugs(c: Column | str) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(r"\[\[([^\]|]+)\]\]"), F.lit(1))
 
 
+#: How a link to a document is written.
+LINK = ('<a href="#knowledge/', '" class="knowledge__wikilink">', "</a>")
+
+
+def resolved_links(rows: DataFrame, key: str, body: str, titles: DataFrame) -> DataFrame:
+    """rows with the links [[slug]] of their bodies written out with the titles of the documents they name, or with the slugs themselves where there are none.
+
+    titles: slug, title, one a slug. Bodies are cut at their links; the distinct slugs of each row meet their titles in a join, and the pieces are put
+    together in order. Bodies without links, and null ones, stay as they are. The key tells rows apart.
+    """
+    link = r"\[\[(.+?)\]\]"
+    slugs = F.regexp_extract_all(_col(body), F.lit(link), F.lit(1))
+    named = rows.select(key, F.explode(F.array_distinct(slugs)).alias("slug")).join(titles.select("slug", "title"), "slug", "left")
+    named = named.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("slug", F.coalesce("title", "slug")))).alias("titles_"))
+    written = lambda s: F.concat(F.lit(LINK[0]), s, F.lit(LINK[1]), F.element_at("titles_", s), F.lit(LINK[2]))
+    pieces = F.zip_with(F.split(_col(body), link, -1), slugs, lambda p, s: F.concat(p, F.when(s.isNull(), "").otherwise(written(s))))
+    out = rows.join(named, key, "left")
+    return out.withColumn(body, F.when(F.col("titles_").isNotNull(), F.array_join(pieces, "")).otherwise(_col(body))).drop("titles_")
+
+
 def strip_fence(c: Column | str) -> Column:
     """Model output without the Markdown fence around it."""
     c = F.trim(_col(c))

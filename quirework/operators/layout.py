@@ -129,3 +129,22 @@ def page_xml(regions: DataFrame) -> DataFrame:
         F.lit('"><ReadingOrder><OrderedGroup id="ro">'), order, F.lit("</OrderedGroup></ReadingOrder>"), F.array_join(F.transform("each", lambda r: r["body"]), ""), F.lit("</Page></PcGts>"),
     )
     return rows.select("object_id", "page", xml.alias("xml"))
+
+
+def with_first_text(layouts: DataFrame, pages: DataFrame) -> DataFrame:
+    """Layout rows (object_id, page) with the text of the page of that number: the first by pos where a result has the number twice, empty where it has none."""
+    first = pages.groupBy("object_id", "page").agg(F.min_by("text", "pos").alias("text"))
+    return layouts.join(first, ["object_id", "page"], "left").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def merged_sources(model: DataFrame, regions: DataFrame, lines: DataFrame) -> DataFrame:
+    """object_id, page, type, bbox, source, nth: the model's regions of a page or, where the model gave none, the detectors': regions first, then lines as paragraphs.
+
+    model, regions and lines: object_id, page, nth, bbox; the first two with type. Order is that of the detectors, and nth counts anew from 1.
+    """
+    columns = ["object_id", "page", "type", "bbox"]
+    detected = regions.select(*columns, "nth", F.lit(1).alias("rank"), F.lit("regions").alias("source")).unionByName(lines.withColumn("type", F.lit("paragraph")).select(*columns, "nth", F.lit(2).alias("rank"), F.lit("lines").alias("source")))
+    every = model.select(*columns, "nth", F.lit(0).alias("rank"), F.lit("model").alias("source")).unionByName(detected)
+    page = Window.partitionBy("object_id", "page")
+    kept = every.withColumn("best_", F.min("rank").over(page)).where("best_ > 0 or rank = 0")
+    return kept.withColumn("nth", F.row_number().over(page.orderBy("rank", "nth"))).select(*columns, "source", "nth")

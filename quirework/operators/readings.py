@@ -91,3 +91,16 @@ def object_agreement(pages: DataFrame, words: bool = False, page_limit: float =
         more = [over("words_apart", "n_words").alias("agreement_wer")]
     rows = rows.groupBy("object_id").agg(over("apart", "size").alias("agreement_cer"), F.sort_array(F.collect_list(F.when(F.col("rate") > page_limit, F.col("pos")))).alias("disagreement_pages"), *more)
     return rows.withColumn("high_agreement", F.col("agreement_cer") < high)
+
+
+def positional(readings: dict[str, DataFrame], value: str = "text") -> DataFrame:
+    """object_id, pos, and a column for each name: the readings side by side by place, with empty texts where one has none.
+
+    All readings meet in one grouping, however many they are. Where a reading has a place twice, its greatest value counts. Null counts as empty.
+    """
+    tagged = None
+    for name, df in readings.items():
+        one = df.select("object_id", "pos", F.lit(name).alias("name"), F.coalesce(value, F.lit("")).alias("value"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    each = [F.coalesce(F.max(F.when(F.col("name") == name, F.col("value"))), F.lit("")).alias(name) for name in readings]
+    return tagged.groupBy("object_id", "pos").agg(*each)

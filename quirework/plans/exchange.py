@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import layout, review, versions
+from ..functions import edits, normal_forms, similarity, text
+from ..operators import layout, readings, review, versions
 from ..sources import archival_xml
-from .catalogue import query, table
+from .catalogue import _normalize, query, table, turns
 
 #: An entry's XML, made alike in both engines.
 _ENTRY = """'<biblFull xmlns="http://www.tei-c.org/ns/1.0"><titleStmt><title>' || c_name || ' &amp; Co</title><title xml:lang="en">x</title>' ||
@@ -90,3 +91,68 @@ def q_upd_new_versions(spark, d):
     now = table(spark, d, "events").groupBy(F.col("user_id").alias("object_id")).agg(F.max(F.when(F.col("event_id") % 3 == 0, F.col("event_type"))).alias("state"))
     current = versions.state(_versions(spark, d), ["object_id"])
     return versions.changes(current, now, ["object_id"], ["state"]).select("object_id", "state", F.col("version").cast("int").alias("version"))
+
+
+#: Letters taken apart, by both engines.
+_APART = (("é", "e\u0301"), ("ü", "u\u0308"), ("ö", "o\u0308"), ("ñ", "n\u0303"), ("Å", "\u212b"))
+
+
+def _apart_sql(c: str) -> str:
+    for a, b in _APART:
+        c = f"replace({c}, '{a}', '{b}')"
+    return c
+
+
+@query(f"SELECT doc_id, md5({_normalize('t')}) AS normal FROM (SELECT doc_id, nfc_normalize({_apart_sql('text')}) AS t FROM documents)")
+def q_fn_normalize_nfc(spark, d):
+    c = F.col("text")
+    for a, b in _APART:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return table(spark, d, "documents").select("doc_id", F.md5(normal_forms.normalized(c)).alias("normal"))
+
+
+@query("""SELECT conv_id AS object_id, turn AS pos, CAST(len(w) - (turn % 3) AS BIGINT) AS matches, CAST(turn % 3 + turn % 2 AS BIGINT) AS divergent, CAST(len(w) - (turn % 3) AS BIGINT) AS common
+FROM (SELECT *, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS w FROM conversations) WHERE len(w) > 3""")
+def q_sim_edit_diff(spark, d):
+    """Present texts lack the first words of the oldest and have one more at the end: what was done is what the script tells."""
+    rows = turns(spark, d).withColumn("w", text.words("text")).where(F.size("w") > 3)
+    now = F.concat(F.array_join(F.slice("w", F.col("pos") % 3 + 1, F.size("w")), " "), F.when(F.col("pos") % 2 == 1, " \u00a7new").otherwise(""))
+    rows = rows.select("object_id", "pos", F.array(F.struct(F.col("text").alias("original_transcription")), F.struct(F.lit("later").alias("original_transcription"))).alias("history"), now.alias("now"))
+    rows = rows.withColumns({"d": edits.edit_diff(F.col("history"), F.col("now")), "common": edits.words_in_common(F.get("history", F.lit(0))["original_transcription"], F.col("now"))}).withColumn("s", similarity.diff_statistics(F.col("d")))
+    return rows.select("object_id", "pos", F.col("s.matches").cast("long").alias("matches"), F.col("s.divergent").cast("long").alias("divergent"), "common")
+
+
+@query(f"""WITH t AS (SELECT c_custkey AS slug, c_name AS title FROM customer WHERE c_custkey % 2 = 0)
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'no link ' || event_type ELSE 'see ' || '{text.LINK[0]}' || user_id || '{text.LINK[1]}' || coalesce(title, CAST(user_id AS VARCHAR)) || '{text.LINK[2]}' || ' and {text.LINK[0]}no such{text.LINK[1]}no such{text.LINK[2]}{text.LINK[0]}' || user_id || '{text.LINK[1]}' || coalesce(title, CAST(user_id AS VARCHAR)) || '{text.LINK[2]}.' END AS body
+FROM events LEFT JOIN t ON slug = user_id""")
+def q_fn_wikilink(spark, d):
+    link = F.concat(F.lit("[["), "user_id", F.lit("]]"))
+    body = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("no link "), "event_type")).otherwise(F.concat(F.lit("see "), link, F.lit(" and [[no such]]"), link, F.lit(".")))
+    titles = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("slug"), F.col("c_name").alias("title"))
+    return text.resolved_links(table(spark, d, "events").select("event_id", body.alias("body")), "event_id", "body", titles)
+
+
+@query("""WITH t AS (SELECT conv_id AS object_id, turn AS pos, coalesce(text, '') AS x FROM conversations), a AS (SELECT * FROM t WHERE pos % 2 = 0), b AS (SELECT object_id, pos + 1 AS pos, x FROM t), c AS (SELECT * FROM t WHERE object_id % 3 = 0)
+SELECT object_id, pos, coalesce(a.x, '') AS a, coalesce(b.x, '') AS b, coalesce(c.x, '') AS c FROM a FULL JOIN b USING (object_id, pos) FULL JOIN c USING (object_id, pos)""")
+def q_jn_positional_three(spark, d):
+    t = turns(spark, d).select("object_id", F.col("pos").cast("long").alias("pos"), "text")
+    return readings.positional({"a": t.where("pos % 2 = 0"), "b": t.withColumn("pos", F.col("pos") + 1), "c": t.where("object_id % 3 = 0")})
+
+
+@query("""WITH o AS (SELECT o_orderkey AS object_id, CAST(o_orderkey % 4 AS INTEGER) AS page FROM orders), p AS (SELECT l_orderkey AS object_id, CAST(l_linenumber AS INTEGER) AS page, min(l_partkey) AS pos FROM lineitem GROUP BY 1, 2)
+SELECT object_id, page, CASE WHEN pos IS NULL THEN '' ELSE 'p' || pos END AS text FROM o LEFT JOIN p USING (object_id, page)""")
+def q_jn_ocr_to_layout(spark, d):
+    layouts = table(spark, d, "orders").select(F.col("o_orderkey").alias("object_id"), (F.col("o_orderkey") % 4).cast("int").alias("page"))
+    found = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("object_id"), F.col("l_linenumber").cast("int").alias("page"), F.col("l_partkey").alias("pos"), F.concat(F.lit("p"), "l_partkey").alias("text"))
+    return layout.with_first_text(layouts, found)
+
+
+@query("""WITH e AS (SELECT DISTINCT l_orderkey AS object_id, l_partkey AS nth FROM lineitem), m AS (SELECT * FROM e WHERE object_id % 3 = 0 AND nth % 2 = 0), g AS (SELECT * FROM e WHERE nth % 3 = 0), l AS (SELECT * FROM e WHERE nth % 3 = 1),
+u AS (SELECT object_id, nth, 0 AS rank, 'heading' AS type, 'model' AS source FROM m UNION ALL SELECT object_id, nth, 1, 'table', 'regions' FROM g UNION ALL SELECT object_id, nth, 2, 'paragraph', 'lines' FROM l),
+k AS (SELECT *, min(rank) OVER (PARTITION BY object_id) AS best FROM u)
+SELECT object_id, 1 AS page, type, nth * 0.5::DOUBLE AS x, source, CAST(row_number() OVER (PARTITION BY object_id ORDER BY rank, nth) AS INTEGER) AS nth FROM k WHERE best > 0 OR rank = 0""")
+def q_geo_fallback_merge(spark, d):
+    e = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("object_id"), F.lit(1).alias("page"), F.col("l_partkey").alias("nth")).distinct().withColumn("bbox", F.array(F.col("nth") * F.lit(0.5), F.lit(1.0), F.lit(2.0), F.lit(3.0)))
+    model = e.where("object_id % 3 = 0 and nth % 2 = 0").withColumn("type", F.lit("heading"))
+    rows = layout.merged_sources(model, e.where("nth % 3 = 0").withColumn("type", F.lit("table")), e.where("nth % 3 = 1"))
+    return rows.select("object_id", "page", "type", F.col("bbox")[0].alias("x"), "source", "nth")
