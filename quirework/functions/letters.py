@@ -34,6 +34,25 @@ def _variants_by(word: Column, wrong: str, right: str) -> Column:
     return F.transform(F.filter(places, lambda p: F.lower(F.substring(word, p, F.lit(n))) == wrong.lower()), variant)
 
 
+@F.udtf(returnType="variant string, rule string, at int")
+class LetterVariants:
+    """The rows of variants(word), for SQL: SELECT ... FROM words, LATERAL letter_variants(word)."""
+
+    def eval(self, word: str | None):
+        low = (word or "").lower()
+        for wrong, right in CONFUSIONS:
+            n = len(wrong)
+            for at in range(1 if (wrong, right) == WITHIN else 0, len(word or "") - n + 1):
+                if low[at : at + n] == wrong.lower():
+                    new = right[0].upper() + right[1:] if word[at].isupper() else right
+                    yield word[:at] + new + word[at + n :], f"{wrong}->{right}", at
+
+
+def register(spark) -> None:
+    """letter_variants as a table function of a session."""
+    spark.udtf.register("letter_variants", LetterVariants)
+
+
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """words: word (distinct). dictionary: known (lower case, distinct). word, suggestion, rule, candidates.
 
@@ -83,3 +102,10 @@ def find_corrections(pages: DataFrame, keys: list[str], dictionary: DataFrame, t
     """keys, word, at, context, suggestion, rule, candidates: places where corrections() has something to say, but for parts of divided words and likely names (words that are known to be wrong always count)."""
     found = occurrences(pages, keys, text).where(~F.col("broken") & (F.length("word") >= 4) & (F.col("word").isin(*KNOWN) | ~F.col("named"))).drop("broken", "named")
     return found.join(corrections(found.select("word").distinct(), dictionary), "word")
+
+
+def summary(objects: DataFrame, found: DataFrame, key: str = "object_id") -> DataFrame:
+    """One row: files (objects checked), files_with_corrections, suggestions, ambiguous. objects: key, once each; found: as of find_corrections()."""
+    by = found.groupBy(key).agg(F.count("suggestion").alias("s"), F.count_if(F.col("suggestion").isNull()).alias("a"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for c, n in (("s", "suggestions"), ("a", "ambiguous"))]
+    return objects.join(by, key, "left").agg(F.count("*").alias("files"), F.count("s").alias("files_with_corrections"), *sums)

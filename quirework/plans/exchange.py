@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import edits, normal_forms, similarity, text
+from ..functions import edits, letters, normal_forms, similarity, text
 from ..operators import layout, readings, review, versions
-from ..sources import archival_xml
+from ..sources import archival_xml, parsing
 from .catalogue import _normalize, query, table, turns
 
 #: An entry's XML, made alike in both engines.
@@ -156,3 +156,34 @@ def q_geo_fallback_merge(spark, d):
     model = e.where("object_id % 3 = 0 and nth % 2 = 0").withColumn("type", F.lit("heading"))
     rows = layout.merged_sources(model, e.where("nth % 3 = 0").withColumn("type", F.lit("table")), e.where("nth % 3 = 1"))
     return rows.select("object_id", "page", "type", F.col("bbox")[0].alias("x"), "source", "nth")
+
+
+@query("""SELECT conv_id AS object_id, turn AS pos, CASE turn % 6 WHEN 0 THEN 'direct' WHEN 1 THEN 'fence' WHEN 2 THEN 'escapes' WHEN 3 THEN 'repair' WHEN 4 THEN 'extract' ELSE 'raw' END AS step,
+CASE WHEN turn % 6 < 5 THEN translate(coalesce(text, ''), chr(92) || chr(10), '') || CASE turn % 6 WHEN 2 THEN 'd' WHEN 3 THEN chr(10) ELSE '' END END AS text FROM conversations""")
+def q_json_parse_ladder(spark, d):
+    """Model outputs broken in five ways; backslashes and line feeds are taken out of the texts first."""
+    t = F.translate(F.coalesce("text", F.lit("")), "\\\n", "")
+    body = F.to_json(F.struct(t.alias("text")))
+    put = lambda c, more: F.regexp_replace(c, r'"\}\z', more)
+    k = F.col("pos") % 6
+    raw = F.when(k == 0, body).when(k == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(k == 2, put(body, '\\\\d"}')).when(k == 3, put(body, '\n",}')).when(k == 4, F.concat(F.lit("Here: "), F.rtrim(put(body, '"')))).otherwise(F.concat(F.lit("no object "), t.substr(1, 0)))
+    rows = turns(spark, d).select("object_id", "pos", parsing.ladder(raw).alias("p"))
+    return rows.select("object_id", "pos", "p.step", F.try_variant_get("p.value", "$.text", "string").alias("text"))
+
+
+@query("""SELECT count(*) AS files, count(*) FILTER (c_custkey % 3 = 0 OR c_custkey % 4 = 0) AS files_with_corrections, CAST(2 * count(*) FILTER (c_custkey % 3 = 0) AS BIGINT) AS suggestions, count(*) FILTER (c_custkey % 4 = 0) AS ambiguous FROM customer""")
+def q_agg_fraktur_summary(spark, d):
+    """Objects with a word that has one known variant, standing twice, or one that has several."""
+    o = F.col("object_id")
+    objects = table(spark, d, "customer").select(F.col("c_custkey").alias("object_id"))
+    known = spark.createDataFrame([(w,) for w in ("hause", "wieder", "sein", "lawme", "lamwe")], "known string")
+    body = F.concat(F.lit("wieder "), F.when(o % 3 == 0, "im haufe, haufe ").otherwise(""), F.when(o % 4 == 0, "lamme ").otherwise("sein"))
+    return letters.summary(objects, letters.find_corrections(objects.withColumn("text", body), ["object_id"], known))
+
+
+@query()
+def q_udtf_fraktur_variants(spark, d):
+    """Variants of the distinct words of texts, by the table function."""
+    letters.register(spark)
+    words = table(spark, d, "documents").select(F.explode(text.letter_runs("text")).alias("word")).where(F.length("word") >= 4).distinct()
+    return spark.sql("SELECT word, v.variant, v.rule, v.at FROM {words}, LATERAL letter_variants(word) v", words=words)

@@ -6,6 +6,7 @@ import json
 import re
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,3 +70,23 @@ def parse_json(texts: pd.Series) -> pd.DataFrame:
     """The repaired JSON (null if hopeless), and the step of the ladder that gave it."""
     got = [parse(t) for t in texts]
     return pd.DataFrame({"json": [None if o is None else json.dumps(o, ensure_ascii=False, sort_keys=True) for o, _ in got], "step": [s for _, s in got]})
+
+
+@F.pandas_udf(T.StructType([T.StructField("json", T.StringType()), T.StructField("step", T.StringType())]))
+def _repaired(texts: pd.Series) -> pd.DataFrame:
+    """As parse_json(), for what a variant can hold: NaN and infinities become null. Null texts have neither."""
+    plain = lambda o: {k: plain(v) for k, v in o.items()} if isinstance(o, dict) else [plain(v) for v in o] if isinstance(o, list) else None if isinstance(o, float) and o - o != 0 else o
+    got = [(None, None) if t is None else parse(t) for t in texts]
+    return pd.DataFrame({"json": [None if o is None else json.dumps(plain(o), ensure_ascii=False) for o, _ in got], "step": [s for _, s in got]})
+
+
+def ladder(c: Column | str) -> Column:
+    """A struct of value (a variant, null if hopeless) and step, the rung that gave it: direct, fence, escapes, repair, extract or raw.
+
+    Sound objects are parsed in the JVM and never reach Python, which sees only the others. Of equal names within an object the last counts. A null text is raw.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    sound = F.try_parse_json(c)
+    whole = c.rlike(r"(?s)\A\s*\{.*\}\s*\z") & F.coalesce(F.schema_of_variant(sound).startswith("OBJECT"), F.lit(False)) & ~c.rlike(r"\}\s*[\{\}\w\"]")
+    other = _repaired(F.when(~F.coalesce(whole, F.lit(False)), c))
+    return F.struct(F.when(whole, sound).otherwise(F.try_parse_json(other["json"])).alias("value"), F.when(whole, "direct").otherwise(F.coalesce(other["step"], F.lit("raw"))).alias("step"))
