@@ -146,10 +146,12 @@ def statistics_page(rows: DataFrame) -> DataFrame:
     return rows.select(F.inline(F.concat(F.array(*tallies), reasons))).where("key is not null").groupBy("section", "key").agg(F.sum("n").alias("n"))
 
 
-def density(rows: DataFrame, group: str) -> DataFrame:
-    """Objects, content pages and the spread of characters a page of each group; objects without text don't enter the latter."""
+def density(rows: DataFrame, group: str, label: str | None = None) -> DataFrame:
+    """Objects, content pages and the spread of characters a page of each group (by group and label, if one is given); objects without text don't enter the latter. The median is the upper one of two."""
+    if label is not None:
+        rows = rows.withColumn(group, F.when(F.coalesce(group, F.lit("")) != "", F.concat(group, F.lit(" \u2013 "), F.coalesce(label, F.lit("")))))
     filled = F.when(F.col("avg_chars") > 0, F.col("avg_chars"))
-    return rows.groupBy(F.coalesce(F.nullif(group, F.lit("")), F.lit("Unbekannt")).alias(group)).agg(F.count("*").alias("objects"), F.sum(F.coalesce("content_pages", F.lit(0))).cast("long").alias("pages"), F.count(filled).alias("with_text"), F.avg(filled).alias("mean_chars"), F.min(filled).alias("least_chars"), F.max(filled).alias("most_chars"))
+    return rows.groupBy(F.coalesce(F.nullif(group, F.lit("")), F.lit("Unbekannt")).alias(group)).agg(F.count("*").alias("objects"), F.sum(F.coalesce("content_pages", F.lit(0))).cast("long").alias("pages"), F.count(filled).alias("with_text"), F.avg(filled).alias("mean_chars"), F.min(filled).alias("least_chars"), F.max(filled).alias("most_chars"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY CASE WHEN avg_chars > 0 THEN avg_chars END DESC)").alias("median_chars"))
 
 
 def consensus_rate(rows: DataFrame, category: str) -> DataFrame:

@@ -181,7 +181,7 @@ def q_agg_stats_page(spark, d):
     return archive.statistics_page(rows)
 
 
-@query("""SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'Unbekannt' ELSE o_orderpriority END AS grp, count(*) AS objects, CAST(sum(o_orderkey % 7) AS BIGINT) AS pages, count(*) FILTER (o_custkey % 50 > 9) AS with_text, avg(o_custkey % 50) FILTER (o_custkey % 50 > 9) AS mean_chars, min(o_custkey % 50) FILTER (o_custkey % 50 > 9) AS least_chars, max(o_custkey % 50) FILTER (o_custkey % 50 > 9) AS most_chars FROM orders GROUP BY 1""")
+@query("""SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'Unbekannt' ELSE o_orderpriority END AS grp, count(*) AS objects, CAST(sum(o_orderkey % 7) AS BIGINT) AS pages, count(*) FILTER (o_custkey % 50 > 9) AS with_text, avg(o_custkey % 50) FILTER (o_custkey % 50 > 9) AS mean_chars, min(o_custkey % 50) FILTER (o_custkey % 50 > 9) AS least_chars, max(o_custkey % 50) FILTER (o_custkey % 50 > 9) AS most_chars, CAST(list_sort(list(o_custkey % 50) FILTER (o_custkey % 50 > 9))[count(*) FILTER (o_custkey % 50 > 9) // 2 + 1] AS DOUBLE) AS median_chars FROM orders GROUP BY 1""")
 def q_agg_group_density(spark, d):
     rows = table(spark, d, "orders").select(F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.col("o_orderpriority")).alias("grp"), (F.col("o_orderkey") % 7).alias("content_pages"), F.when(F.col("o_custkey") % 50 > 9, F.col("o_custkey") % 50).otherwise(0).alias("avg_chars"))
     return archive.density(rows, "grp")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import edits, letters, normal_forms, similarity, text
-from ..operators import layout, readings, review, versions
+from ..operators import archive, artefacts, chunks, layout, readings, review, versions
 from ..sources import archival_xml, parsing
 from .catalogue import _normalize, query, table, turns
 
@@ -187,3 +187,52 @@ def q_udtf_fraktur_variants(spark, d):
     letters.register(spark)
     words = table(spark, d, "documents").select(F.explode(text.letter_runs("text")).alias("word")).where(F.length("word") >= 4).distinct()
     return spark.sql("SELECT word, v.variant, v.rule, v.at FROM {words}, LATERAL letter_variants(word) v", words=words)
+
+
+#: Files of objects: with and without a model's name, and derived ones.
+_NAMES = """n AS (SELECT DISTINCT 'c' || o_custkey % 2 AS collection, 'o' || o_custkey AS object_id, 'o' || o_custkey || CASE o_orderkey % 8 WHEN 0 THEN '_fam-1' WHEN 1 THEN '_fam-2' WHEN 2 THEN '_layout' WHEN 3 THEN '_old' WHEN 4 THEN '' WHEN 5 THEN '_consensus' WHEN 6 THEN '_page' ELSE 'x_fam-1' END || '.json' AS name FROM orders WHERE o_orderkey % 3 > 0)"""
+
+
+def _names(spark, d):
+    ends = F.element_at(F.array(*(F.lit(x) for x in ("_fam-1", "_fam-2", "_layout", "_old", "", "_consensus", "_page", "x_fam-1"))), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    o = F.concat(F.lit("o"), "o_custkey")
+    return table(spark, d, "orders").where("o_orderkey % 3 > 0").select(F.concat(F.lit("c"), F.col("o_custkey") % 2).alias("collection"), o.alias("object_id"), F.concat(o, ends, F.lit(".json")).alias("name")).distinct()
+
+
+@query(f"""WITH {_NAMES}, c AS (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY NOT starts_with(name, object_id || '_fam'), name) AS nth FROM n WHERE starts_with(name, object_id || '_') AND (starts_with(name, object_id || '_fam') OR NOT (contains(name, '_layout') OR contains(name, '_consensus') OR contains(name, '_page'))))
+SELECT collection, object_id, name FROM c WHERE nth = 1""")
+def q_src_ocr_file(spark, d):
+    return artefacts.resolve_transcription(_names(spark, d), "fam")
+
+
+_ASKED = "q AS (SELECT 'c' || c_custkey % 2 AS collection, 'o' || c_custkey AS object_id, CASE c_custkey % 3 WHEN 0 THEN 'fam-2' WHEN 1 THEN '' END AS model FROM customer)"
+
+
+def _asked(spark, d):
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").select(F.concat(F.lit("c"), k % 2).alias("collection"), F.concat(F.lit("o"), k).alias("object_id"), F.when(k % 3 == 0, "fam-2").when(k % 3 == 1, "").alias("model"))
+
+
+@query(f"""WITH {_NAMES}, {_ASKED}, m AS (SELECT q.collection, q.object_id, model, bool_or(name = q.object_id || '_fam-2.json' AND model = 'fam-2') AS a, bool_or(name = q.object_id || '_fam-1.json') AS b,
+list(name) FILTER (starts_with(name, q.object_id || '_') AND NOT regexp_matches(name, '_(consensus|layout|gt_draft|judge_data)[.]json$')) AS l FROM q LEFT JOIN n USING (collection, object_id) GROUP BY ALL)
+SELECT collection, object_id, model, CASE WHEN a THEN object_id || '_fam-2.json' WHEN b THEN object_id || '_fam-1.json' WHEN len(l) = 1 THEN l[1] END AS name, CASE WHEN a THEN 'exact' WHEN b THEN 'primary' WHEN len(l) = 1 THEN 'only' WHEN len(l) > 1 THEN 'ambiguous' ELSE 'missing' END AS found FROM m""")
+def q_src_result_file(spark, d):
+    return artefacts.resolve_result(_names(spark, d), _asked(spark, d), "fam-1")
+
+
+@query(f"""WITH {_NAMES}, {_ASKED}, m AS (SELECT q.collection, q.object_id, model, bool_or(name = q.object_id || '.json') AS a, bool_or(name = q.object_id || '_fam-2.json' AND model = 'fam-2') AS b,
+list(name) FILTER (starts_with(name, q.object_id || '_') AND NOT regexp_matches(name, '_(consensus|layout|gt_draft)[.]json$')) AS l FROM q LEFT JOIN n USING (collection, object_id) GROUP BY ALL)
+SELECT collection, object_id, model, CASE WHEN a THEN object_id || '.json' WHEN b THEN object_id || '_fam-2.json' WHEN len(l) = 1 THEN l[1] END AS name, CASE WHEN a THEN 'object' WHEN b THEN 'model' WHEN len(l) = 1 THEN 'only' WHEN len(l) > 1 THEN 'ambiguous' ELSE 'missing' END AS found FROM m""")
+def q_src_edit_file(spark, d):
+    return artefacts.resolve_edit(_names(spark, d), _asked(spark, d))
+
+
+@query(f"""WITH {_NAMES} SELECT collection, object_id, min(name) AS name FROM n WHERE starts_with(name, object_id || '_') AND length(name) % 2 = 0 GROUP BY 1, 2""")
+def q_src_first_with_pages(spark, d):
+    return artefacts.first_with_pages(_names(spark, d).withColumn("pages", F.when(F.length("name") % 2 == 0, 2).otherwise(0)))
+
+
+@query("""SELECT o_orderstatus || ' \u2013 ' || lower(o_orderstatus) AS grp, count(*) AS objects, CAST(list_sort(list(o_custkey % 50) FILTER (o_custkey % 50 > 9))[count(*) FILTER (o_custkey % 50 > 9) // 2 + 1] AS BIGINT) AS median_chars FROM orders GROUP BY 1""")
+def q_agg_group_median(spark, d):
+    rows = table(spark, d, "orders").select(F.col("o_orderstatus").alias("grp"), F.lower("o_orderstatus").alias("label"), F.lit(1).alias("content_pages"), F.when(F.col("o_custkey") % 50 > 9, F.col("o_custkey") % 50).otherwise(0).alias("avg_chars"))
+    return archive.density(rows, "grp", "label").select("grp", "objects", F.col("median_chars").cast("long").alias("median_chars"))
