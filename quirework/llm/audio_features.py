@@ -4,7 +4,7 @@ A payload is stored losslessly as a WAV file of 8-bit mono samples. Features com
 resampling from 16 kHz to 12 kHz by a windowed-sinc filter in its three phases; frames of 36 ms every 12 ms under a Hann window; 32 log-mel
 bands; and segments of activity, which start where a frame's energy rises above a high threshold and last until it falls below
 a low one (both relative to the recording's median). Frames are kept as float32 tensors of a fixed shape (16 frames of 32 bands, the last padded with the floor), each with its
-time span; as_tensors() gives them Arrow's fixed-shape tensor type.
+time span. Their values are rounded to steps of 1 / STEPS, at most half a step (0.002) from the unrounded ones, and all features are taken from the rounded ones; as_tensors() gives them Arrow's fixed-shape tensor type.
 
 Each recording is computed by itself, in chunks of frames of one fixed size, so equal bytes give equal features and a very long recording takes
 bounded memory beyond its bytes. A null or empty text becomes one block of padding.
@@ -30,6 +30,8 @@ FRAME, HOP, FFT, MELS = 432, 144, 512, 32
 SHAPE = (16, MELS)
 UNIT, PAD = 576, 255
 FLOOR = 1e-8
+#: Steps of a band's logarithm to base 10: the values that tensors hold are whole numbers of them, some 0.04 dB each.
+STEPS = 256
 RISE, FALL = 3.0, 1.0
 CHUNK = 1024
 
@@ -97,7 +99,7 @@ def log_mel(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
         f = frames[i : i + CHUNK]
         energy.append(10 * np.log10(np.einsum("ij,ij->i", f, f) / FRAME + FLOOR))
         spectrum = np.fft.rfft(f * HANN, FFT)
-        bands.append(np.log10((spectrum.real**2 + spectrum.imag**2).astype(np.float32) @ BANK + FLOOR))
+        bands.append(np.round(np.log10((spectrum.real**2 + spectrum.imag**2).astype(np.float32) @ BANK + FLOOR) * STEPS) / np.float32(STEPS))
     return np.concatenate(bands), np.concatenate(energy)
 
 

@@ -490,6 +490,15 @@ def test_audio_query_stores_tensors(spark, sf, monkeypatch):
     assert all(len(x.log_mel) == 16 * 32 and x.start_s < x.end_s for x in kept.tensors) and len(kept.tensors) == -(-len(kept.energy) // 16) > 20
 
 
+def test_log_mel_is_kept_in_steps(monkeypatch):
+    samples = bytes(random.Random(3).randbytes(20_000))
+    bands, energy = audio_features.log_mel(samples)
+    monkeypatch.setattr(audio_features, "STEPS", 1 << 20)
+    fine, same = audio_features.log_mel(samples)
+    assert bands.dtype == np.float32 and (energy == same).all() and ((bands * 256) % 1 == 0).all()
+    assert 0 < np.abs(bands - fine).max() <= 1 / 512 + 1e-6
+
+
 def plain_feature(samples):
     """The feature by the plain formulas: each output of the filter, each bin of the transform and each frame's state by itself."""
     up, down, taps, frame, hop, fft, mels = 3, 4, 16, 432, 144, 512, 32
