@@ -5,6 +5,8 @@ White space and letters follow Unicode ((?U)) as in the rules these functions im
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,16 +140,17 @@ def marker_density(c: Column | str) -> Column:
     return F.coalesce(F.try_divide(doubtful_marks(c) + illegible_marks(c), word_count(c)), F.lit(0.0))
 
 
-def split_signature(title: Column | str) -> Column:
-    """(title, signature): the part after the last comma, if it starts with SZ-."""
-    title = _col(title)
-    tail = F.regexp_extract(title, r"(?s),\s*(SZ-[^,]*)\z", 1)
-    head = F.regexp_replace(title, r"(?s),\s*SZ-[^,]*\z", "")
+def split_signature(title: Column | str, prefix: str) -> Column:
+    """(title, signature): the part after the last comma, if it starts with the prefix of the archive's signatures."""
+    title, start = _col(title), re.escape(prefix)
+    tail = F.regexp_extract(title, rf"(?s),\s*({start}[^,]*)\z", 1)
+    head = F.regexp_replace(title, rf"(?s),\s*{start}[^,]*\z", "")
     return F.struct(F.when(tail != "", head).otherwise(title).alias("title"), F.trim(tail).alias("signature"))
 
 
-def object_to_pid(c: Column | str) -> Column:
-    return F.regexp_replace(F.replace(_col(c), F.lit("o_szd."), F.lit("o:szd.")), "_gemini.*$", "")
+def object_to_pid(c: Column | str, space: str, model: str = "gemini") -> Column:
+    """The persistent identifier of an object's file name: o_<space>.1 becomes o:<space>.1, and a model's name at the end goes."""
+    return F.regexp_replace(F.replace(_col(c), F.lit(f"o_{space}."), F.lit(f"o:{space}.")), f"_{re.escape(model)}.*$", "")
 
 
 def https(c: Column | str) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 VIEWS = ("help", "knowledge", "stats", "about")
 PARAMETERS = ("collection", "group", "confidence", "review_status", "q", "sort", "asc", "page")
 
@@ -109,8 +111,8 @@ def united(*collections: DataFrame) -> DataFrame:
 
 def reading_order(docs: DataFrame, sections: DataFrame) -> DataFrame:
     """docs: slug; sections: slug, place. Adds nth: by place in the sections, then all others by name. A slug in two places has two rows."""
-    rows = docs.join(sections, "slug", "left")
-    return rows.withColumn("nth", F.row_number().over(Window.orderBy(F.col("place").isNull(), "place", "slug"))).drop("place")
+    rows = docs.join(sections, "slug", "left").withColumn("out_", F.col("place").isNull())
+    return numbered(rows, ["out_", "place", "slug"], "nth").drop("out_", "place")
 
 
 def statistics_page(rows: DataFrame) -> DataFrame:

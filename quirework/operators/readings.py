@@ -9,6 +9,8 @@ from ..functions import rules, similarity
 from ..functions.rules import DEFAULT, Thresholds
 from ..functions.text import flat_of, normalize, orderless_of, word_count
 
+SMALL = 1 << 30  # bytes read, up to which pages are dealt to a fixed number of tasks
+
 
 def align(a: DataFrame, b: DataFrame, outer: bool = False) -> DataFrame:
     """Pages at the same position: object_id, pos, type (of a), text_a, text_b. Pages beyond the shorter reading are left out, or with `outer` met by empty ones."""
@@ -17,10 +19,24 @@ def align(a: DataFrame, b: DataFrame, outer: bool = False) -> DataFrame:
     return rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("text_a", "text_b")} | {"type": F.coalesce("type", F.lit("content"))})
 
 
+def input_bytes(rows: DataFrame) -> int:
+    """Bytes of the tables that rows are read from, by the optimiser's figures; where it has none, more than any table's."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def spread_out(pages: DataFrame) -> DataFrame:
-    """Pages dealt to all tasks: few bytes of them are much work, which adaptive execution would put into few tasks."""
+    """Pages dealt to all tasks: few bytes of them are much work, and files or joins may leave them in few tasks.
+
+    Where the files read are small, that is as many partitions as shuffles have. Beyond, there is work enough for all tasks anyway, and a hint to rebalance leaves the number to adaptive
+    execution, which splits partitions above its advisory size.
+    """
     keys = [c for c in ("object_id", "pos") if c in pages.columns]
-    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys) if keys else pages
+    if not keys:
+        return pages
+    if input_bytes(pages) > SMALL:
+        return pages.hint("rebalance", *keys)
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def page_agreement(pages: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:

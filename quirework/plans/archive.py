@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..operators import archive, chunks, exports, imports
+from ..operators import archive, chunks, exports, imports, numbering
 from .catalogue import CUSTOMERS, customers, query, table, turns
 
 TURNS = "SELECT conv_id AS object_id, turn AS pos, role, coalesce(text, '') AS text FROM conversations"
@@ -267,11 +267,9 @@ def q_merge_chunks(spark, d):
 
 @query(f"SELECT id, collection, group_label, row_number() OVER (ORDER BY collection, group_label, id) AS nth FROM ({CUSTOMERS}) ORDER BY nth LIMIT 100")
 def q_srt_build(spark, d):
-    from pyspark.sql import Window
-
     rows = customers(spark, d).select("id", "collection", F.col("group_label").alias("group_letter"))
     top = archive.build_order(rows, "id").limit(100)
-    return top.withColumn("nth", F.row_number().over(Window.orderBy("collection", "group_letter", "id"))).withColumnRenamed("group_letter", "group_label")
+    return numbering.numbered(top, ["collection", "group_letter", "id"], "nth").withColumnRenamed("group_letter", "group_label")
 
 
 @query(f"SELECT id, collection FROM ({CUSTOMERS}) ORDER BY collection, id LIMIT 25")
@@ -286,7 +284,7 @@ def q_set_union_collections(spark, d):
     return archive.united(a, table(spark, d, "supplier").select(F.col("s_suppkey").alias("id")), c)
 
 
-@query("SELECT n_name AS slug, CAST(row_number() OVER (ORDER BY CASE WHEN n_regionkey = 2 THEN 100 - n_nationkey END NULLS LAST, n_name) AS INT) AS nth FROM nation")
+@query("SELECT n_name AS slug, CAST(row_number() OVER (ORDER BY CASE WHEN n_regionkey = 2 THEN 100 - n_nationkey END NULLS LAST, n_name) AS BIGINT) AS nth FROM nation")
 def q_set_reading_order(spark, d):
     docs = table(spark, d, "nation").select(F.col("n_name").alias("slug"))
     sections = table(spark, d, "nation").where("n_regionkey = 2").select(F.col("n_name").alias("slug"), (F.lit(100) - F.col("n_nationkey")).alias("place"))

@@ -293,13 +293,13 @@ def q_agg_truncation(spark, d):
     return rows.groupBy(F.coalesce(issue, F.lit("none")).alias("issue")).agg(F.count("*").alias("n"))
 
 
-CUSTOMERS = """SELECT c_custkey AS id, c_name AS title, 'SZ-' || n_name AS signature, 'o:' || c_custkey AS pid, CASE WHEN c_custkey % 3 = 0 THEN n_name WHEN c_custkey % 3 = 1 THEN '' END AS classification, c_mktsegment AS group_label, r_name AS collection, c_acctbal AS balance,
+CUSTOMERS = """SELECT c_custkey AS id, c_name AS title, 'AB-' || n_name AS signature, 'o:' || c_custkey AS pid, CASE WHEN c_custkey % 3 = 0 THEN n_name WHEN c_custkey % 3 = 1 THEN '' END AS classification, c_mktsegment AS group_label, r_name AS collection, c_acctbal AS balance,
 CASE WHEN c_acctbal < 0 THEN 'low' ELSE 'high' END AS confidence FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 
 def customers(spark, d) -> DataFrame:
     rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return rows.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.concat(F.lit("SZ-"), "n_name").alias("signature"), F.concat(F.lit("o:"), F.col("c_custkey").cast("string")).alias("pid"), F.when(F.col("c_custkey") % 3 == 0, F.col("n_name")).when(F.col("c_custkey") % 3 == 1, "").alias("classification"), F.col("c_mktsegment").alias("group_label"), F.col("r_name").alias("collection"), F.col("c_acctbal").alias("balance"), F.when(F.col("c_acctbal") < 0, "low").otherwise("high").alias("confidence"))
+    return rows.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.concat(F.lit("AB-"), "n_name").alias("signature"), F.concat(F.lit("o:"), F.col("c_custkey").cast("string")).alias("pid"), F.when(F.col("c_custkey") % 3 == 0, F.col("n_name")).when(F.col("c_custkey") % 3 == 1, "").alias("classification"), F.col("c_mktsegment").alias("group_label"), F.col("r_name").alias("collection"), F.col("c_acctbal").alias("balance"), F.when(F.col("c_acctbal") < 0, "low").otherwise("high").alias("confidence"))
 
 
 @query(f"SELECT id, title, signature, balance FROM ({CUSTOMERS}) WHERE CASE WHEN coalesce(classification, '') <> '' THEN classification ELSE group_label END = 'BUILDING' AND confidence = 'high' AND contains(lower(title || ' ' || signature || ' ' || pid), '1') AND (contains(lower(title), '1') OR contains(lower(signature), '1') OR contains(pid, '1')) ORDER BY balance DESC, id LIMIT 50")
@@ -470,13 +470,13 @@ def q_fn_lang_norm(spark, d):
     return rows.select("id", text.language_key("l").alias("key"), text.language_code("l").alias("iso"), text.language_code("l", 2).alias("mods"))
 
 
-@query("""WITH t AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN p_name || ', SZ-' || p_brand WHEN p_partkey % 3 = 1 THEN p_name || ', ' || p_type ELSE p_name END AS t FROM part)
-SELECT id, CASE WHEN id % 3 = 0 THEN regexp_replace(t, ',\\s*SZ-[^,]*$', '') ELSE t END AS title, CASE WHEN id % 3 = 0 THEN regexp_extract(t, ',\\s*(SZ-[^,]*)$', 1) ELSE '' END AS signature, left(t, 40) AS label, 'o:szd.' || id AS pid FROM t""")
+@query("""WITH t AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN p_name || ', AB-' || p_brand WHEN p_partkey % 3 = 1 THEN p_name || ', ' || p_type ELSE p_name END AS t FROM part)
+SELECT id, CASE WHEN id % 3 = 0 THEN regexp_replace(t, ',\\s*AB-[^,]*$', '') ELSE t END AS title, CASE WHEN id % 3 = 0 THEN regexp_extract(t, ',\\s*(AB-[^,]*)$', 1) ELSE '' END AS signature, left(t, 40) AS label, 'o:ab.' || id AS pid FROM t""")
 def q_fn_signature(spark, d):
     key = F.col("p_partkey")
-    t = F.when(key % 3 == 0, F.concat("p_name", F.lit(", SZ-"), "p_brand")).when(key % 3 == 1, F.concat("p_name", F.lit(", "), "p_type")).otherwise(F.col("p_name"))
-    rows = table(spark, d, "part").select(key.alias("id"), t.alias("t"), F.concat(F.lit("o_szd."), key.cast("string"), F.lit("_gemini-x")).alias("o"))
-    return rows.select("id", text.split_signature("t").alias("s"), F.substring("t", 1, 40).alias("label"), text.object_to_pid("o").alias("pid")).select("id", "s.title", "s.signature", "label", "pid")
+    t = F.when(key % 3 == 0, F.concat("p_name", F.lit(", AB-"), "p_brand")).when(key % 3 == 1, F.concat("p_name", F.lit(", "), "p_type")).otherwise(F.col("p_name"))
+    rows = table(spark, d, "part").select(key.alias("id"), t.alias("t"), F.concat(F.lit("o_ab."), key.cast("string"), F.lit("_gemini-x")).alias("o"))
+    return rows.select("id", text.split_signature("t", "AB-").alias("s"), F.substring("t", 1, 40).alias("label"), text.object_to_pid("o", "ab").alias("pid")).select("id", "s.title", "s.signature", "label", "pid")
 
 
 @query("""SELECT page_id, md5(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS escaped, regexp_replace(url, '^http:', 'https:') AS url FROM pages""")

@@ -12,7 +12,7 @@ from .catalogue import _normalize, query, table, turns
 #: An entry's XML, made alike in both engines.
 _ENTRY = """'<biblFull xmlns="http://www.tei-c.org/ns/1.0"><titleStmt><title>' || c_name || ' &amp; Co</title><title xml:lang="en">x</title>' ||
  CASE WHEN c_custkey % 3 > 0 THEN '<author><persName' || CASE WHEN c_custkey % 2 = 0 THEN ' ref="g' || c_custkey || '"' ELSE '' END || '><forename>F</forename><surname>' || c_mktsegment || '</surname></persName></author>' ELSE '<editor><persName>' || c_mktsegment || '</persName></editor>' END ||
- '</titleStmt><sourceDesc><msDesc><msIdentifier><settlement>S' || c_nationkey || '</settlement><idno type="other">no</idno><idno type="signature">SZ-' || c_custkey || '</idno><altIdentifier><idno type="PID">o:c.' || c_custkey || '</idno></altIdentifier></msIdentifier>' ||
+ '</titleStmt><sourceDesc><msDesc><msIdentifier><settlement>S' || c_nationkey || '</settlement><idno type="other">no</idno><idno type="signature">AB-' || c_custkey || '</idno><altIdentifier><idno type="PID">o:c.' || c_custkey || '</idno></altIdentifier></msIdentifier>' ||
  '<physDesc><objectDesc><supportDesc><support><material ana="WritingInstrument" xml:lang="en">ink</material><material ana="x WritingInstrument">Tinte' || CASE WHEN c_custkey % 5 = 0 THEN '   schwarz' ELSE '' END || '</material></support><extent><measure type="leaf">' || CASE WHEN c_custkey % 4 = 0 THEN ' ' ELSE c_nationkey || ' Blatt' END || '</measure></extent></supportDesc></objectDesc><handDesc><ab>A, B' || c_nationkey || ', </ab></handDesc></physDesc>' ||
  '<history><origin><origDate' || CASE WHEN c_custkey % 2 = 0 THEN ' when="19' || c_nationkey || '"/>' ELSE '>um ' || c_nationkey || '</origDate>' END || '</origin><provenance><ab>P</ab><ab xml:lang="en">E</ab></provenance><acquisition><ab>K' || c_nationkey || '</ab></acquisition></history></msDesc></sourceDesc>' ||
  '<profileDesc><textClass><keywords><term type="objecttyp">Brief</term><term type="classification">' || c_mktsegment || '</term></keywords></textClass></profileDesc></biblFull>'"""
@@ -23,7 +23,7 @@ def _entries(spark, d):
     return archival_xml.described(rows, "xml")
 
 
-@query("""SELECT c_custkey, 'o:c.' || c_custkey AS pid, c_name || ' & Co' AS title, 'SZ-' || c_custkey AS signature, CASE WHEN c_custkey % 2 = 0 THEN '19' || c_nationkey ELSE 'um ' || c_nationkey END AS date, '' AS language, 'Brief' AS objecttyp,
+@query("""SELECT c_custkey, 'o:c.' || c_custkey AS pid, c_name || ' & Co' AS title, 'AB-' || c_custkey AS signature, CASE WHEN c_custkey % 2 = 0 THEN '19' || c_nationkey ELSE 'um ' || c_nationkey END AS date, '' AS language, 'Brief' AS objecttyp,
 CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_nationkey || ' Blatt' END AS extent, 'Tinte' || CASE WHEN c_custkey % 5 = 0 THEN ' schwarz' ELSE '' END AS writing_instrument, 'A, B' || c_nationkey || ',' AS hand, '' AS notes, c_mktsegment AS classification FROM customer""")
 def q_tei_extract(spark, d):
     return _entries(spark, d).select("c_custkey", "pid", "title", "signature", "date", "language", "objecttyp", "extent", "writing_instrument", "hand", "notes", "classification")

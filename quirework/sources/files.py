@@ -53,11 +53,11 @@ def layouts(spark: SparkSession, path: str, glob: str = "*_layout.json") -> Data
     return rows.select("object_id", "page", "image", "width", "height", F.col("r.id").alias("region_id"), "r.type", "r.bbox", "r.reading_order", F.coalesce("r.lines", F.lit(1)).alias("lines"), "r.label")
 
 
-def tei(spark: SparkSession, path: str) -> DataFrame:
-    """pid, title, language, object_type, extent of each described object: one scan for all, the last of equal pids."""
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)(<biblFull\b.*?</biblFull>)"), F.lit(1))).alias("x"))
+def tei(spark: SparkSession, path: str, pids: str = r"o:\w+\.\d+") -> DataFrame:
+    """pid, title, language, object_type, extent of each described object: one scan for all, the last of equal pids by path and place. pids: what identifiers look like, without groups."""
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.regexp_extract_all("value", F.lit(r"(?s)(<biblFull\b.*?</biblFull>)"), F.lit(1))).alias("place", "x"))
     one = lambda tag: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract("x", rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1), "<[^>]+>", ""), r"(?U)\s+", " "))
-    rows = rows.withColumn("at", F.monotonically_increasing_id()).select(F.regexp_extract("x", r'<idno[^>]*type="PID"[^>]*>\s*(o:szd\.\d+)\s*<', 1).alias("pid"), one("title").alias("title"), one("lang").alias("language"), one("term").alias("object_type"), one("extent").alias("extent"), "at")
+    rows = rows.withColumn("at", F.struct("file", "place")).select(F.regexp_extract("x", r'<idno[^>]*type="PID"[^>]*>\s*(' + pids + r')\s*<', 1).alias("pid"), one("title").alias("title"), one("lang").alias("language"), one("term").alias("object_type"), one("extent").alias("extent"), "at")
     return rows.where("pid != ''").groupBy("pid").agg(F.max_by(F.struct("title", "language", "object_type", "extent"), "at").alias("m")).select("pid", "m.*")
 
 

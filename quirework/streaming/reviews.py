@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.sinks import stored
+
 EVENT = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
@@ -24,11 +26,9 @@ def append_new(rows: DataFrame, path: str, key: list[str], checkpoint: str) -> S
 
     def batch(df: DataFrame, _: int) -> None:
         fresh = df.dropDuplicates(key)
-        try:
-            fresh = fresh.join(df.sparkSession.read.parquet(path).select(*key), key, "left_anti")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        held = stored(df.sparkSession, path, kind="parquet")  # none before the first batch
+        if held is not None:
+            fresh = fresh.join(held.select(*key), key, "left_anti")
         fresh.write.mode("append").parquet(path)
 
     return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -12,7 +12,7 @@ ONE = """<biblFull xmlns="http://www.tei-c.org/ns/1.0"><titleStmt><title>  Der
 <editor role="translator"><persName ref="gnd/3"><surname>Kohl</surname></persName></editor><editor><persName><name>Institut</name></persName></editor></titleStmt>
 <notesStmt><note>eine Notiz</note><note>zweite</note></notesStmt>
 <sourceDesc><msDesc><msIdentifier><country>AT</country><settlement> Salzburg </settlement><repository ref="gnd/9">Archiv
- der  Stadt</repository><idno type="signature">SZ-1/B2</idno><idno type="other">x</idno><altIdentifier><idno type="PID">o:x.12</idno></altIdentifier></msIdentifier>
+ der  Stadt</repository><idno type="signature">AB-1/B2</idno><idno type="other">x</idno><altIdentifier><idno type="PID">o:x.12</idno></altIdentifier></msIdentifier>
 <msContents><textLang><lang>Deutsch</lang><lang>Englisch</lang></textLang><msItem><docEdition xml:lang="en">inscribed</docEdition><docEdition xml:lang="de">Widmung</docEdition><docEdition>zwei</docEdition></msItem></msContents>
 <physDesc><objectDesc><supportDesc><support><material ana="a:WritingInstrument" xml:lang="en">blue ink</material><material ana="a:WritingInstrument" xml:lang="de">blaue
   Tinte</material><material ana="a:WritingMaterial" xml:lang="en">paper</material><material ana="a:WritingMaterial">Papier</material></support>
@@ -28,7 +28,7 @@ def test_full_record(spark):
     rows = spark.createDataFrame([(1, ONE), (2, BARE), (3, "<broken"), (4, None), (5, "")], "id long, xml string")
     got = {r.id: r for r in archival_xml.described(rows, "xml").collect()}
     r = got[1]
-    assert (r.pid, r.title, r.signature, r.date, r.language, r.objecttyp, r.extent) == ("o:x.12", "Der  Brief & mehr", "SZ-1/B2", "1920-01-02", "Deutsch", "Brief", "2 Blatt")
+    assert (r.pid, r.title, r.signature, r.date, r.language, r.objecttyp, r.extent) == ("o:x.12", "Der  Brief & mehr", "AB-1/B2", "1920-01-02", "Deutsch", "Brief", "2 Blatt")
     assert (r.writing_instrument, r.hand, r.notes, r.classification) == ("blaue Tinte", "Anna Berg, , Max", "eine Notiz", "Briefe")
     assert [tuple(c) for c in r.creators] == [("Anna Berg", "author", "gnd/1"), ("Max Weber", "author", None), ("Kohl", "translator", "gnd/3"), ("Institut", "editor", None)]
     assert tuple(r.holding) == ("Archiv der Stadt", "gnd/9", "AT", "Salzburg")

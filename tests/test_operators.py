@@ -64,14 +64,14 @@ def test_layout(spark):
 
 
 def test_readers(spark, tmp_path):
-    (tmp_path / "o_szd.1_m.json").write_text(json.dumps({"object_id": "o_szd.1", "collection": "werke", "result": {"pages": [{"page": 1, "transcription": "x"}, {"page": 2}]}}))
-    (tmp_path / "o_szd.2_m.json").write_text(json.dumps({"object_id": "o_szd.2", "collection": "werke", "result": {"raw": "broken"}}))
-    (tmp_path / "o_szd.3_m.json").write_text(json.dumps({"object_id": "o_szd.3"}))
+    (tmp_path / "o_ab.1_m.json").write_text(json.dumps({"object_id": "o_ab.1", "collection": "werke", "result": {"pages": [{"page": 1, "transcription": "x"}, {"page": 2}]}}))
+    (tmp_path / "o_ab.2_m.json").write_text(json.dumps({"object_id": "o_ab.2", "collection": "werke", "result": {"raw": "broken"}}))
+    (tmp_path / "o_ab.3_m.json").write_text(json.dumps({"object_id": "o_ab.3"}))
     rows = files.results(spark, str(tmp_path))
-    assert {r.object_id: r.is_broken for r in rows.collect()} == {"o_szd.1": False, "o_szd.2": True}
+    assert {r.object_id: r.is_broken for r in rows.collect()} == {"o_ab.1": False, "o_ab.2": True}
     assert [(r.pos, r.page_no, r.text) for r in files.pages_of(rows).orderBy("pos").collect()] == [(0, 1, "x"), (1, 2, "")]
-    (tmp_path / "x.xml").write_text('<TEI><biblFull><title>A  B</title><lang>Deutsch</lang><idno type="PID">o:szd.7</idno></biblFull></TEI>')
-    assert [(r.pid, r.title, r.language) for r in files.tei(spark, str(tmp_path / "x.xml")).collect()] == [("o:szd.7", "A B", "Deutsch")]
+    (tmp_path / "x.xml").write_text('<TEI><biblFull><title>A  B</title><lang>Deutsch</lang><idno type="PID">o:ab.7</idno></biblFull></TEI>')
+    assert [(r.pid, r.title, r.language) for r in files.tei(spark, str(tmp_path / "x.xml")).collect()] == [("o:ab.7", "A B", "Deutsch")]
     (tmp_path / "doc.md").write_text("---\ntitle: T\n---\n# H\n## First\n- [[a]] [[b]]\n## Verwandte\n[[c]]\n")
     doc = files.markdown(spark, str(tmp_path / "doc.md"))
     assert [(r.level, r.heading) for r in files.headings(doc, "slug", "body").orderBy("line").collect()] == [(1, "H"), (2, "First"), (2, "Verwandte")]
