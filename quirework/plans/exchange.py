@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import edits, letters, normal_forms, similarity, text
-from ..operators import archive, artefacts, chunks, layout, readings, review, versions
+from ..operators import archive, artefacts, chunks, layout, readings, review, review_exports, versions
 from ..sources import archival_xml, parsing
 from .catalogue import _normalize, query, table, turns
 
@@ -236,3 +236,35 @@ def q_src_first_with_pages(spark, d):
 def q_agg_group_median(spark, d):
     rows = table(spark, d, "orders").select(F.col("o_orderstatus").alias("grp"), F.lower("o_orderstatus").alias("label"), F.lit(1).alias("content_pages"), F.when(F.col("o_custkey") % 50 > 9, F.col("o_custkey") % 50).otherwise(0).alias("avg_chars"))
     return archive.density(rows, "grp", "label").select("grp", "objects", F.col("median_chars").cast("long").alias("median_chars"))
+
+
+@query("""WITH p AS (SELECT conv_id AS object_id, turn AS pos, text, role FROM conversations), e AS (SELECT object_id, pos FROM p WHERE (object_id + pos) % 3 = 0)
+SELECT 'o' || object_id AS object_id, pos, CAST(CASE WHEN pos % 4 = 3 THEN 100 + pos ELSE pos + 1 END AS INTEGER) AS page, CASE WHEN e.pos IS NULL THEN text ELSE 'new ' || coalesce(text, '') END AS transcription, CASE WHEN e.pos IS NULL THEN role WHEN pos % 2 = 0 THEN 'n' END AS notes, e.pos IS NOT NULL AS edited,
+object_id % 2 = 0 AS reviewed, CASE WHEN object_id % 2 = 0 THEN 'r' || object_id END AS reviewed_by, 'viewer' AS source FROM p LEFT JOIN e USING (object_id, pos)""")
+def q_snk_export_edit(spark, d):
+    """The export's pages, one a row; edits of pages that do not exist are among the input."""
+    o, pos = F.col("object_id"), F.col("pos")
+    rows = turns(spark, d).withColumn("object_id", F.concat(F.lit("o"), "object_id", F.lit("_gemini-x"))).withColumn("n", F.regexp_extract("object_id", r"o(\d+)", 1).cast("long"))
+    pages = rows.select("object_id", "pos", F.when(pos % 4 == 3, 100 + pos).when(pos % 4 == 2, 0).alias("page_no"), "text", F.col("role").alias("notes"))
+    edits = rows.where((F.col("n") + pos) % 3 == 0).select("object_id", "pos", F.concat(F.lit("new "), F.coalesce("text", F.lit(""))).alias("text"), F.when(pos % 2 == 0, "n").alias("notes"))
+    edits = edits.unionByName(edits.withColumn("pos", pos + 100_000))
+    objects = rows.select("object_id", "n").distinct()
+    approvals = objects.where("n % 2 = 0").select("object_id", F.concat(F.lit("r"), "n").alias("reviewed_by"), F.lit("2026").alias("reviewed_at"))
+    objects = objects.select("object_id", *(F.lit(x).alias(x) for x in ("pid", "signature", "collection", "title", "model")))
+    out = review_exports.edit_export(objects, pages, edits, approvals, F.lit("2026"), "viewer")
+    out = out.select(o, "reviewed", "reviewed_by", "source", F.posexplode("pages").alias("pos", "p"))
+    return out.select(o, pos.cast("long").alias("pos"), "p.page", "p.transcription", "p.notes", "p.edited", "reviewed", "reviewed_by", "source")
+
+
+@query("""WITH p AS (SELECT conv_id AS object_id, turn AS pos, CASE WHEN turn % 4 = 1 THEN 'blank' ELSE 'content' END AS type, (conv_id + turn) % 5 > 0 AS found, (conv_id + turn) % 7 > 0 AS ok FROM conversations)
+SELECT object_id, bool_and(type <> 'content' OR (found AND ok)) AS expert_verified, count(*) AS pages, count(*) FILTER (found AND ok) AS approved, count(*) FILTER (found) AS edited, count(*) FILTER (found AND pos % 2 = 0) AS from_review FROM p GROUP BY 1""")
+def q_snk_export_gt(spark, d):
+    pos = F.col("pos")
+    rows = turns(spark, d)
+    pages = rows.select("object_id", "pos", "text", F.when(pos % 4 == 1, "blank").when(pos % 4 == 2, "").when(pos % 4 == 3, "content").alias("type"), F.lit("consensus").alias("source"))
+    k = F.col("object_id") + pos
+    reviews = rows.where(k % 5 > 0).select("object_id", "pos", F.lit("t").alias("text"), F.when(pos % 2 == 0, "expert").otherwise("consensus").alias("source"), (k % 7 > 0).alias("approved"))
+    drafts = rows.select("object_id").distinct().select("object_id", *(F.lit("x").alias(c) for c in ("collection", "group", "title", "models")))
+    out = review_exports.truth_export(drafts, pages, reviews, "ex", F.lit("2026"))
+    n = lambda test: F.size(F.filter("pages", test)).cast("long")
+    return out.select("object_id", "expert_verified", F.size("pages").cast("long").alias("pages"), n(lambda p: p["approved"]).alias("approved"), n(lambda p: p["expert_edited"]).alias("edited"), n(lambda p: p["source"] == "expert").alias("from_review"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def stored(spark: SparkSession, path: str, schema: StructType | None = None, kind: str = "json") -> DataFrame | None:
+def stored(spark: SparkSession, path: str, schema: StructType | str | None = None, kind: str = "json") -> DataFrame | None:
     """The table at a path; None if there is none yet."""
     reader = spark.read.format(kind)
     try:
@@ -72,6 +72,28 @@ def save_catalogue(rows: DataFrame, details: DataFrame, path: str) -> dict[str,
     return {name: save(df, f"{path}/{name}", ["collection", "id"], ["collection"], force=True) for name, df in (("catalog", rows), ("data", details))}
 
 
+def save_documents(rows: DataFrame, path: str, by: list[str], body: str, force: bool = False) -> dict[str, int]:
+    """One text file a row, in a folder of its own named by the columns `by`: page JSON, MODS or METS of objects, PAGE XML of pages.
+
+    Keys stand once in rows and are texts or whole numbers; a null key has Spark's default folder. Documents that exist are passed over or, with `force`, replaced; others stay. What exists
+    is told by the names of folders, without reading the files. Rows with a null body have no document.
+    """
+    spark = rows.sparkSession
+    fresh = rows.where(F.col(body).isNotNull()).select(*by, F.col(body).alias("value"))
+    total = fresh.count()
+    kinds = ", ".join(f"`{b}` {fresh.schema[b].dataType.simpleString()}" for b in by)
+    listed = stored(spark, path, f"path string, modificationTime timestamp, length bigint, content binary, {kinds}", "binaryFile")
+    if listed is not None and not force:
+        same = _all(F.col(f"n.{b}").eqNullSafe(F.col(f"o.{b}")) for b in by)
+        fresh = fresh.alias("n").join(listed.select(*by).distinct().alias("o"), same, "left_anti")
+        written = fresh.count()
+    else:
+        written = total
+    if written:
+        fresh.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").text(path)
+    return {"written": written, "skipped": total - written}
+
+
 def manifest(rows: DataFrame, path: str, issue: str = "issue") -> int:
     """Writes the objects with an issue and returns their number, by which a caller may fail."""
     found = rows.where(F.col(issue).isNotNull() & (F.col(issue) != "none"))

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from quirework.operators import versions
+from quirework.operators import imports, review_exports, versions
 from quirework.sources import sinks
 
 SCHEMA = "collection string, object_id string, model string, text string, pages array<struct<page:int,text:string>>"
@@ -83,3 +83,30 @@ def test_versions(spark, tmp_path):
     assert read(versions.as_of(table, ["object_id"], F.lit(3))) == {"1": (["a"], True, 1), "2": (["b"], True, 2), "3": (None, None, 1), "4": (["c"], True, 1)}
     assert read(versions.as_of(table, ["object_id"], F.lit(0))) == {}
     assert {r.object_id: r.before for r in versions.history(table, ["object_id"], "reasons").collect()} == {"1": [], "2": [[], ["b"]], "3": [None], "4": []}
+
+
+def test_documents(spark, tmp_path):
+    path = str(tmp_path / "page")
+    put = lambda rows, **more: sinks.save_documents(spark.createDataFrame(rows, "object_id string, page int, xml string"), path, ["object_id", "page"], "xml", **more)
+    read = lambda: {str(p.parent.relative_to(path)): p.read_text() for p in (tmp_path / "page").rglob("part-*.txt")}
+    assert put([("007", 1, "<a>\n</a>"), ("007", 2, "<b/>"), ("x y", 1, None)]) == {"written": 2, "skipped": 0}
+    assert read() == {"object_id=007/page=1": "<a>\n</a>\n", "object_id=007/page=2": "<b/>\n"}
+    assert put([("007", 1, "other"), ("7", 1, "<c/>"), ("x y", 1, "<d/>")]) == {"written": 2, "skipped": 1}
+    assert read()["object_id=007/page=1"] == "<a>\n</a>\n" and len(read()) == 4
+    for _ in range(2):
+        assert put([("007", 1, "new")], force=True) == {"written": 1, "skipped": 0}
+    assert read()["object_id=007/page=1"] == "new\n" and len(read()) == 4
+    assert put([]) == {"written": 0, "skipped": 0}
+
+
+def test_a_review_goes_out_and_comes_back(spark, tmp_path):
+    drafts = spark.createDataFrame([("1", "c", "g", "t", ["m"]), ("2", "c", "g", "t", ["m"]), ("3", "d", "g", "t", None)], "object_id string, collection string, `group` string, title string, models array<string>")
+    pages = spark.createDataFrame([("1", 0, "old", "content", "a"), ("1", 1, "blank", "blank", "a"), ("2", 0, "x", None, "a"), ("2", 1, "y", "", "a")], "object_id string, pos int, text string, type string, source string")
+    reviews = spark.createDataFrame([("1", 0, "right", "expert", True), ("2", 1, "z", "expert", True), ("2", 9, "no page", "expert", True)], "object_id string, pos int, text string, source string, approved boolean")
+    out = review_exports.truth_export(drafts, pages, reviews, "ex", F.lit("2026"))
+    assert sinks.save(out, str(tmp_path / "gt"), ["object_id"], ["collection"]) == {"written": 3, "skipped": 0}
+    back = spark.read.schema(out.schema).json(str(tmp_path / "gt"))
+    assert {r.object_id: r.expert_verified for r in back.collect()} == {"1": True, "2": False, "3": True}
+    exports = back.select("object_id", F.posexplode("pages").alias("nth", "p")).select("object_id", "nth", "p.page", F.col("p.transcription").alias("text"), "p.source", "p.approved", "p.expert_edited")
+    got = imports.import_truth(pages.withColumn("page", F.col("pos") + 1).drop("pos"), exports)
+    assert sorted((r.object_id, r.page, r.text, r.source, r.approved, r.updated) for r in got.collect()) == [("1", 1, "right", "expert", True, True), ("1", 2, "blank", "a", False, False), ("2", 1, "x", "a", False, False), ("2", 2, "z", "expert", True, True)]
