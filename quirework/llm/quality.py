@@ -8,7 +8,8 @@ neither scorer, with the posterior as prior evidence, finds it bad.
 
 Terms of abuse are a short fixed list and terms learned from at most LABELLED rows of a table of labels, where there is one: words and
 word beginnings that occur in several documents marked toxic and hardly elsewhere. The sample that trains the scorers has at most about SAMPLE
-documents, drawn by hash. Votes, their counts, posteriors and scores cover all documents and whole texts.
+distinct texts, drawn by a hash of the text, so neither copies nor rows with null or equal ids weigh more or gather; of a text with more than FEATURES features, those with the least
+hash train (they come from all of it). A null text counts as empty. Votes, their counts, posteriors and scores cover all documents and whole texts.
 
 Null and empty texts, and texts of fewer than MIN_WORDS words, get no votes but those on abuse, and are kept on the first question. Repeated rows get equal scores. No step needs more than a slice of a partition in memory.
 """
@@ -28,6 +29,7 @@ GOOD, NONE, BAD = 0, 1, 2
 MIN_WORDS = 20
 BUCKETS = 1 << 18
 SAMPLE = 6_000
+FEATURES = 8_192  # of a text, in training only
 LABELLED = 20_000
 TERMS = 4_096
 SEED = 23
@@ -249,6 +251,11 @@ class Classifier:
         return out
 
 
+def fewer(bucket: np.ndarray, most: int = FEATURES) -> np.ndarray:
+    """A text's features or, where there are more than `most`, those with the least hash."""
+    return bucket if len(bucket) <= most else bucket[np.argsort(mix(bucket.astype(np.uint64)), kind="stable")[:most]]
+
+
 def fit(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> Classifier:
     lexicon = learn_terms(docs, labels)
 
@@ -262,8 +269,10 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE)
     found = docs.select("text").mapInArrow(patterns, "junk long, abuse long, n long").groupBy("junk", "abuse").agg(F.sum("n").alias("n")).collect()  # at most 3**12 patterns
     table = np.array([tuple(r) for r in found], np.int64).reshape(-1, 3)
     models = LabelModel(table[:, 0], table[:, 2], len(JUNK)), LabelModel(table[:, 1], table[:, 2], N_ABUSE)
-    total = int(table[:, 2].sum())
-    part = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(10_000_000)) < int(10_000_000 * min(1.0, sample / max(total, 1)))
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("k", F.xxhash64("text", F.lit(SEED + 1)))
+    total = texts.agg(F.approx_count_distinct("k")).first()[0]
+    part = F.pmod("k", F.lit(10_000_000)) < int(10_000_000 * min(1.0, sample / max(total, 1)))
+    drawn = texts.where(part).groupBy("k").agg(F.first("text").alias("text")).select("text")  # copies go before the shuffle
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,11 +280,11 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE)
                 junk, abuse, row, bucket = votes_of(data, off, lexicon)
                 order = np.argsort(row, kind="stable")
                 cuts = np.searchsorted(row[order], np.arange(rows.num_rows + 1))
-                packed = [bucket[order[a:b]].astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.record_batch([rows.column("doc_id"), pa.array(packed, pa.binary()), models[0].posterior(junk), models[1].posterior(abuse)], names=["doc_id", "buckets", "junk", "abuse"])
+                packed = [fewer(bucket[order[a:b]]).astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.record_batch([pa.array(packed, pa.binary()), models[0].posterior(junk), models[1].posterior(abuse)], names=["buckets", "junk", "abuse"])
 
-    rows = docs.select("doc_id", "text").where(part).mapInArrow(features, "doc_id long, buckets binary, junk double, abuse double").collect()
-    rows.sort(key=lambda r: (r.doc_id is None, r.doc_id, r.buckets))
+    rows = drawn.mapInArrow(features, "buckets binary, junk double, abuse double").collect()  # at most about SAMPLE * FEATURES buckets
+    rows.sort(key=lambda r: (r.buckets, r.junk, r.abuse))
     held = [np.frombuffer(r.buckets, np.int32).astype(np.int64) for r in rows]
     row = np.repeat(np.arange(len(held)), [len(b) for b in held])
     bucket = np.concatenate([*held, np.zeros(0, np.int64)])

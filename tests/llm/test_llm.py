@@ -196,6 +196,25 @@ def test_quality_without_ids(spark):
     assert Counter(r.doc_id for r in got) == Counter([None, None, 3, 3])
 
 
+def test_quality_trains_once_on_a_hot_text(spark, monkeypatch):
+    """A third of all rows are one text, and all ids are null: the sample holds each distinct text once, and none too long."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    texts = [" ".join(word() for _ in range(30)) for _ in range(300)] + ["same words again " * 9] * 150 + [None, ""]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    seen = []
+    keep = quality.train_scorer
+    monkeypatch.setattr(quality, "train_scorer", lambda row, bucket, target: (seen.append((row, len(target))), keep(row, bucket, target))[1])
+    quality.fit(df)
+    assert [n for _, n in seen] == [302, 302]
+    seen.clear()
+    quality.fit(df, sample=60)
+    assert all(30 < n < 90 for _, n in seen)
+    long = np.arange(20_000)
+    few = quality.fewer(long)
+    assert len(few) == quality.FEATURES and abs(few.mean() - 10_000) < 500 and quality.fewer(long[:9]).tolist() == list(range(9))
+
+
 def test_token_query_equals_the_library(spark, sf):
     from tokenizers import Tokenizer
 
