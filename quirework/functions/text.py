@@ -195,7 +195,7 @@ def context_block(fields: dict[str, Column]) -> Column:
 
 
 def split_list(c: Column | str, by: str = ",") -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), by), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), by), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def first_fenced(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import edits, letters, normal_forms, similarity, text
+from ..functions import edits, frontmatter, letters, normal_forms, similarity, text
 from ..operators import archive, artefacts, chunks, layout, readings, review, review_exports, versions
 from ..sources import archival_xml, parsing
 from .catalogue import _normalize, query, table, turns
@@ -268,3 +268,21 @@ def q_snk_export_gt(spark, d):
     out = review_exports.truth_export(drafts, pages, reviews, "ex", F.lit("2026"))
     n = lambda test: F.size(F.filter("pages", test)).cast("long")
     return out.select("object_id", "expert_verified", F.size("pages").cast("long").alias("pages"), n(lambda p: p["approved"]).alias("approved"), n(lambda p: p["expert_edited"]).alias("edited"), n(lambda p: p["source"] == "expert").alias("from_review"))
+
+
+@query("""SELECT p_partkey AS slug, CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE p_name || ': "q"' END AS title, CASE WHEN p_partkey % 5 > 0 THEN 'it''s ' || p_brand ELSE '' END AS type, CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 2 = 0 THEN 'a|b, c|' || p_size ELSE 'x|' || p_size END AS tags, CASE WHEN p_partkey % 5 > 0 THEN 'r' || p_partkey ELSE '' END AS related, CASE WHEN p_partkey % 5 > 0 THEN '2026-04-01' ELSE '' END AS created,
+CASE WHEN p_partkey % 5 = 0 THEN p_type || ' --- no header ' ELSE p_type || ' --- text' END AS body FROM part""")
+def q_src_frontmatter(spark, d):
+    k = F.col("p_partkey")
+    tags = F.when(k % 2 == 0, F.concat(F.lit("tags: [a, \"b, c\", "), "p_size", F.lit("]"))).otherwise(F.concat(F.lit("tags:\n  - x  # note\n  - '"), "p_size", F.lit("'")))
+    head = F.concat(F.lit('---\ntitle: "'), "p_name", F.lit(": \\\"q\\\"\"\ntype: 'it''s "), "p_brand", F.lit("'\n"), tags, F.lit('\nrelated: ["[[r'), k, F.lit(']] x", "no link"]\ncreated: 2026-04-01 # day\n---\n\n'))
+    raw = F.when(k % 5 == 0, F.concat("p_type", F.lit(" --- no header "))).otherwise(F.concat(head, "p_type", F.lit(" --- text\n\n")))
+    rows = table(spark, d, "part").select(k.alias("slug"), frontmatter.parts(raw).alias("p")).select("slug", "p.*")
+    rows = rows.select("slug", frontmatter.record("header", F.col("slug").cast("string")).alias("m"), "body")
+    return rows.select("slug", "m.title", "m.type", F.array_join("m.tags", "|").alias("tags"), F.array_join("m.related", "|").alias("related"), "m.created", "body")
+
+
+@query(r"""SELECT p_partkey, array_to_string(list_filter(list_transform(string_split(p_size || ' ' || p_name || ' ,  ' || p_brand || ',, 1' || p_type, ','), lambda x: trim(x)), lambda x: x <> ''), '|') AS hands FROM part""")
+def q_fn_split_hands(spark, d):
+    listed = F.concat("p_size", F.lit(" "), "p_name", F.lit(" ,  "), "p_brand", F.lit(",, 1"), "p_type")
+    return table(spark, d, "part").select("p_partkey", F.array_join(text.split_list(listed), "|").alias("hands"))

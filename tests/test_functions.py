@@ -165,3 +165,18 @@ def test_left_out_and_put_in(spark):
     rows = [("", ""), ("", "ab"), ("abcd", ""), ("abcdef", "abef"), ("abef", "abcdef")]
     both = F.array(similarity.omission(F.col("a"), F.col("b")), similarity.hallucination(F.col("a"), F.col("b")))
     assert values(spark, both, rows, "a string, b string") == [[0, 0], [0, 1], [1, 0], [2 / 6, 0], [0, 2 / 6]]
+
+
+def test_frontmatter(spark):
+    from quirework.functions import frontmatter
+
+    rows = [("---\ntitle: A # b\ntags: one\nrelated:\n- [[x]]\n- y\n---\nBody\n",), ("---\nno end",), ("no header",), ("",), (None,), ("------\nx",), ("---\ntitle: ''\ntags: []\n---",)]
+    df = spark.createDataFrame(rows, "t string").select(frontmatter.parts("t").alias("p"))
+    got = df.select("p.header", "p.body", frontmatter.record("p.header", F.lit("slug")).alias("m")).collect()
+    assert [(r.header, r.body) for r in got] == [("title: A # b\ntags: one\nrelated:\n- [[x]]\n- y", "Body"), ("", "---\nno end"), ("", "no header"), ("", ""), (None, None), ("", "x"), ("title: ''\ntags: []", "")]
+    assert [(r.m.title, r.m.tags, r.m.related) for r in got] == [("A", ["one"], ["x"]), *[("slug", [], [])] * 6]
+
+
+def test_split_list(spark):
+    df = spark.createDataFrame([("A. B,  C 10 , 1D,,",), (" ",), (None,)], "t string")
+    assert [r.x for r in df.select(text.split_list("t").alias("x")).collect()] == [["A. B", "C 10", "1D"], [], []]
