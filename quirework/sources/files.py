@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import frontmatter
 from ..functions.text import wiki_slugs
 
 PAGE = "struct<page:int,transcription:string,notes:string,type:string,edit_history:array<struct<original_transcription:string,edited_by:string,edited_at:string,source:string>>>"
@@ -70,10 +71,9 @@ def with_fallback(objects: DataFrame, first: DataFrame, second: DataFrame, key:
 
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
-    """slug, header (between --- lines), body, words."""
+    """slug, header and body (as of frontmatter.parts), words. Fields of the header: frontmatter.record()."""
     rows = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", r"(.+)\.md$", 1).alias("slug"), "value")
-    head = r"(?s)\A---\n(.*?)\n---\n"
-    rows = rows.select("slug", F.regexp_extract("value", head, 1).alias("header"), F.regexp_replace("value", head, "").alias("body"))
+    rows = rows.select("slug", frontmatter.parts("value").alias("p")).select("slug", "p.*")
     return rows.withColumn("words", F.regexp_count("body", F.lit(r"(?U)\w+")))
 
 

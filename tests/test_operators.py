@@ -74,6 +74,7 @@ def test_readers(spark, tmp_path):
     assert [(r.pid, r.title, r.language) for r in files.tei(spark, str(tmp_path / "x.xml")).collect()] == [("o:ab.7", "A B", "Deutsch")]
     (tmp_path / "doc.md").write_text("---\ntitle: T\n---\n# H\n## First\n- [[a]] [[b]]\n## Verwandte\n[[c]]\n")
     doc = files.markdown(spark, str(tmp_path / "doc.md"))
+    assert [(r.header, r.body[:4], r.words) for r in doc.collect()] == [("title: T", "# H\n", 6)]
     assert [(r.level, r.heading) for r in files.headings(doc, "slug", "body").orderBy("line").collect()] == [(1, "H"), (2, "First"), (2, "Verwandte")]
     assert [r.slug for r in files.index_sections(doc.withColumnRenamed("slug", "k"), "k", "body").collect()] == ["a", "b"]
     jpeg = b"\xff\xd8\xff\xe0" + struct.pack(">H", 4) + b"xx" + b"\xff\xc0" + struct.pack(">HBHH", 11, 8, 480, 640) + b"x" * 8
