@@ -5,7 +5,7 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,10 +77,26 @@ def markdown(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("words", F.regexp_count("body", F.lit(r"(?U)\w+")))
 
 
+#: Letters with marks and those that stand for them in ids; all others beyond ASCII are left out.
+_MARKED, _PLAIN = "ÄäÖöÜüÀàÁáÂâÇçÈèÉéÊêËëÍíÎîÏïÑñÓóÔôÙùÚúÛû", "AaOoUuAaAaAaCcEeEeEeEeIiIiIiNnOoOoUuUuUu"
+
+
+def heading_id(c: Column) -> Column:
+    """A heading as an id: lower-case ASCII letters, digits and underscores, with a hyphen for white space and hyphens between them."""
+    kept = F.trim(F.regexp_replace(F.translate(c, _MARKED, _PLAIN), r"[^\w\s-]", ""))
+    return F.regexp_replace(F.lower(kept), r"[-\s]+", "-")
+
+
 def headings(rows: DataFrame, key: str, body: str) -> DataFrame:
-    """key, nth line, level, heading."""
+    """key, nth line, level, id, heading, by lines that begin with number signs outside of fenced blocks. An id that a text has had already gets _1, _2 and so on."""
     lines = rows.select(key, F.posexplode(F.split(body, "\n")).alias("line", "l"))
-    return lines.where(F.col("l").rlike(r"^#{1,6}\s+\S")).select(key, "line", F.length(F.regexp_extract("l", r"^(#+)", 1)).alias("level"), F.trim(F.regexp_replace("l", r"^#+\s+", "")).alias("heading"))
+    w = Window.partitionBy(key).orderBy("line")
+    fences = F.count_if(F.col("l").rlike(r"^(?:```|~~~)")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    lines = lines.withColumn("within", fences % 2 == 1).where(~F.col("within") & F.col("l").rlike(r"^#{1,6}\s+\S"))
+    heading = F.trim(F.regexp_replace(F.regexp_replace("l", r"^#+\s+", ""), r"\s+#+\s*$", ""))
+    lines = lines.select(key, "line", F.length(F.regexp_extract("l", r"^(#+)", 1)).alias("level"), heading.alias("heading")).withColumn("slug_", heading_id(F.col("heading")))
+    nth = F.row_number().over(Window.partitionBy(key, "slug_").orderBy("line")) - 1
+    return lines.withColumn("nth_", nth).select(key, "line", "level", F.concat("slug_", F.when(F.col("nth_") > 0, F.concat(F.lit("_"), "nth_")).otherwise("")).alias("id"), "heading")
 
 
 def index_sections(rows: DataFrame, key: str, body: str, skip: str = "verwandte") -> DataFrame:

@@ -180,3 +180,14 @@ def test_frontmatter(spark):
 def test_split_list(spark):
     df = spark.createDataFrame([("A. B,  C 10 , 1D,,",), (" ",), (None,)], "t string")
     assert [r.x for r in df.select(text.split_list("t").alias("x")).collect()] == [["A. B", "C 10", "1D"], [], []]
+
+
+def test_headings_have_ids(spark):
+    from quirework.sources import files
+
+    body = "# Über `x` & mehr!\n```\n# no heading\n```\n## Same - again ##\n### Same - again\n## Same - again\n#none\ntext\n"
+    rows = spark.createDataFrame([("a", body), ("b", "## Same - again"), ("c", None)], "k string, t string")
+    got = files.headings(rows, "k", "t").orderBy("k", "line").collect()
+    assert [(r.k, r.line, r.level, r.id, r.heading) for r in got] == [
+        ("a", 0, 1, "uber-x-mehr", "Über `x` & mehr!"), ("a", 4, 2, "same-again", "Same - again"), ("a", 5, 3, "same-again_1", "Same - again"), ("a", 6, 2, "same-again_2", "Same - again"), ("b", 0, 2, "same-again", "Same - again"),
+    ]
