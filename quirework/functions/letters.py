@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+from itertools import accumulate, chain
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What is misread, and what stands in print.
 CONFUSIONS = (("f", "s"), ("ft", "st"), ("D", "W"), ("W", "D"), ("w", "m"), ("m", "w"), ("ih", "l"), ("l", "ih"), ("A", "N"), ("N", "A"), ("h", "li"), ("ss", "s"), ("ll", "l"))
@@ -59,20 +65,70 @@ def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     Words of under four letters and known ones are left, and a variant of under four letters counts as known; one known variant is a suggestion, several are ambiguous. Joins on the variant, so neither side needs to be small.
     """
     words = words.where(F.length("word") >= 4)
-    fixed = words.where(F.col("word").isin(*KNOWN)).select("word", F.element_at(F.create_map(*(F.lit(x) for kv in KNOWN.items() for x in kv)), F.col("word")).alias("suggestion"), F.lit("known").alias("rule"), F.lit(1).cast("long").alias("candidates"))
-    unknown = words.where(~F.col("word").isin(*KNOWN)).join(dictionary, F.lower("word") == F.col("known"), "left_anti")
-    each = unknown.select("word", F.posexplode(variants(F.col("word"))).alias("nth", "v")).select("word", "nth", "v.variant", "v.rule")
-    short = F.length("variant") <= 3
+    fixed = F.element_at(F.create_map(*(F.lit(x) for kv in KNOWN.items() for x in kv)), F.col("word"))
+    words = words.join(dictionary, (F.lower("word") == F.col("known")) & ~F.col("word").isin(*KNOWN), "left_anti")
+    v = F.when(F.col("word").isin(*KNOWN), F.array(F.struct(fixed.alias("variant"), F.lit("known").alias("rule"), F.lit(0).alias("at")))).otherwise(variants(F.col("word")))
+    each = words.select("word", F.posexplode(v).alias("nth", "v")).select("word", "nth", "v.variant", "v.rule")
+    short = (F.length("variant") <= 3) | (F.col("rule") == "known")
     met = each.where(~short).join(dictionary, F.lower("variant") == F.col("known"), "left_semi").unionByName(each.where(short))  # so short a word is taken as known
     first = F.row_number().over(Window.partitionBy("word", F.lower("variant")).orderBy("nth"))
     met = met.withColumn("first", first).where("first = 1").groupBy("word").agg(F.count("*").alias("candidates"), F.min_by(F.struct("variant", "rule"), "nth").alias("b"))
     one = F.col("candidates") == 1
-    return met.select("word", F.when(one, F.col("b.variant")).alias("suggestion"), F.when(one, F.col("b.rule")).otherwise("ambiguous").alias("rule"), "candidates").unionByName(fixed)
+    return met.select("word", F.when(one, F.col("b.variant")).alias("suggestion"), F.when(one, F.col("b.rule")).otherwise("ambiguous").alias("rule"), "candidates")
 
 
 #: Fixed value: letters of words in print.
 LETTER = "[A-Za-zÄÖÜäöüßàâéèêëïîôùûç]"
 AROUND = 20
+#: White space as Unicode has it, which Python's own class exceeds.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUN = re.compile(f"{LETTER}+")
+_DIVIDES = re.compile(f"[-=][{_SPACE}]*\n[{_SPACE}]*")
+_ENDS = re.compile(f"[.!?][{_SPACE}]*\\Z")
+
+
+def _runs(whole: str) -> list[tuple[str, int, bool, bool]]:
+    """word, at, broken, named of each run of letters."""
+    found = list(_RUN.finditer(whole))
+    out, second = [], False
+    for m, n in zip(found, [*found, None][1:], strict=True):
+        run, at = m.group(), m.start()
+        divided = n is not None and _DIVIDES.fullmatch(whole, m.end(), n.start()) is not None
+        capital = run[0].upper() == run[0] != run[0].lower() and run.upper() != run
+        out.append((run, at, second or divided, capital and not _ENDS.search(whole[max(at - 3, 0) : at])))
+        second = divided and not second  # pairs from the left
+    return out
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("at", T.IntegerType()), T.StructField("broken", T.BooleanType()), T.StructField("named", T.BooleanType())])))
+def _places(texts: pa.Array) -> pa.Array:
+    each = [_runs(t or "") for t in texts.to_pylist()]
+    columns = zip(*chain.from_iterable(each), strict=True) if any(each) else ((),) * 4
+    values = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.bool_(), pa.bool_()), strict=True)], ["word", "at", "broken", "named"])
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, each))], pa.int32()), values)
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("ats", T.ArrayType(T.IntegerType()))])))
+def _doubtful(texts: pa.Array) -> pa.Array:
+    """Each word of a text that corrections() may ask for, once, with its places."""
+    words, cuts, ats, ends = [], [0], [], [0]
+    for t in texts.to_pylist():
+        by = defaultdict(list)
+        for word, at, broken, named in _runs(t or ""):
+            if not broken and len(word) >= 4 and (not named or word in KNOWN):
+                by[word].append(at)
+        for word, found in by.items():
+            words.append(word)
+            ats += found
+            ends.append(len(ats))
+        cuts.append(len(words))
+    values = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ats, pa.int32()))], ["word", "ats"])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), values)
+
+
+def _context(whole: str, at: Column, n: Column) -> Column:
+    start = F.greatest(at - AROUND, F.lit(0))
+    return F.substring(whole, start + 1, at - start + n + AROUND)
 
 
 def occurrences(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -81,27 +137,22 @@ def occurrences(pages: DataFrame, keys: list[str], text: str = "text") -> DataFr
     broken: part of a word that a hyphen or = divides at the end of a line; such pairs are taken from the left and do not overlap.
     named: likely a name, i.e. a capital (not all capitals) other than after the end of a sentence.
     """
-    cut = rf"(?<={LETTER})(?!{LETTER})|(?<!{LETTER})(?={LETTER})"
-    runs = pages.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("whole"), F.posexplode(F.split(text, cut)).alias("nth", "run"))
-    page = Window.partitionBy(*keys).orderBy("nth")
-    runs = runs.withColumns({"at": F.coalesce(F.sum(F.length("run")).over(page.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"), "gap": F.lag("run").over(page), "next": F.lead("run").over(page), "then": F.lead("run", 2).over(page)})
-    words = runs.where(F.col("run").rlike(rf"^{LETTER}"))
-    divides = lambda c: F.coalesce(F.col(c).rlike(r"(?U)\A[-=]\s*\n\s*\z"), F.lit(False))
-    words = words.withColumn("chain", F.sum(F.when(divides("gap") & (F.col("nth") > 1), 0).otherwise(1)).over(page))
-    place = F.row_number().over(Window.partitionBy(*keys, "chain").orderBy("nth"))
-    broken = F.when(place % 2 == 0, True).otherwise(divides("next") & F.col("then").isNotNull())
-    before = F.regexp_replace(F.substring("whole", F.greatest(F.col("at") - 2, F.lit(1)), F.least("at", F.lit(3))), r"(?U)\s+\z", "")
-    capital = F.substring("run", 1, 1)
-    named = (F.upper(capital) == capital) & (F.lower(capital) != capital) & (F.upper("run") != F.col("run")) & ~before.rlike(r"[.!?]\z")
-    start = F.greatest(F.col("at") - AROUND, F.lit(0))
-    context = F.substring("whole", start + 1, F.col("at") - start + F.length("run") + AROUND)
-    return words.select(*keys, F.col("run").alias("word"), "at", context.alias("context"), broken.alias("broken"), named.alias("named"))
+    found = pages.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("whole"), F.explode(_places(F.col(text))).alias("p"))
+    return found.select(*keys, "p.word", "p.at", _context("whole", F.col("p.at"), F.length("p.word")).alias("context"), "p.broken", "p.named")
 
 
 def find_corrections(pages: DataFrame, keys: list[str], dictionary: DataFrame, text: str = "text") -> DataFrame:
-    """keys, word, at, context, suggestion, rule, candidates: places where corrections() has something to say, but for parts of divided words and likely names (words that are known to be wrong always count)."""
-    found = occurrences(pages, keys, text).where(~F.col("broken") & (F.length("word") >= 4) & (F.col("word").isin(*KNOWN) | ~F.col("named"))).drop("broken", "named")
-    return found.join(corrections(found.select("word").distinct(), dictionary), "word")
+    """keys, word, at, context, suggestion, rule, candidates: places where corrections() has something to say, but for parts of divided words and likely names (words that are known to be wrong always count).
+
+    Only words and places are sent to meet their corrections; each text is sent once, to meet what was found in it. Repeated pages are one until the end.
+    """
+    pages = pages.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("whole"))
+    pages = pages.withColumns({"k64": F.xxhash64(*keys, "whole"), "k32": F.hash(*keys, "whole")})
+    said = pages.select("k64", "k32", F.explode(_doubtful(F.col("whole"))).alias("p")).select("k64", "k32", "p.word", "p.ats")
+    met = said.join(corrections(said.select("word").distinct(), dictionary), "word").dropDuplicates(["k64", "k32", "word"])
+    once = pages.groupBy("k64", "k32").agg(*(F.first(c).alias(c) for c in (*keys, "whole")), F.count("*").cast("int").alias("copies"))
+    found = once.join(met, ["k64", "k32"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).withColumn("at", F.explode("ats"))
+    return found.select("word", *keys, "at", _context("whole", F.col("at"), F.length("word")).alias("context"), "suggestion", "rule", "candidates")
 
 
 def summary(objects: DataFrame, found: DataFrame, key: str = "object_id") -> DataFrame:

@@ -142,6 +142,14 @@ def test_corrections_of_places(spark):
     assert {k: (w, s and s.lower()) for k, (w, s) in got.items() if w.lower() in ("gewefen", "mitgebrine")} == {k: (w, s.lower()) for k, (w, s) in right.items()}
 
 
+def test_corrections_send_no_text_with_a_word(spark):
+    page = spark.createDataFrame([(1, "gewefen ift gewefen"), (1, "gewefen ift gewefen"), (None, "gewefen")], "page long, t string")
+    words = spark.createDataFrame([("gewesen",), ("ist",)], "known string")
+    found = letters.find_corrections(page, ["page"], words, "t")
+    assert sorted((r.page or 0, r.at, r.suggestion) for r in found.collect()) == [(0, 0, "gewesen"), *[(1, 0, "gewesen")] * 2, *[(1, 12, "gewesen")] * 2]
+    assert "Window" not in letters.occurrences(page, ["page"], "t")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_agreement_by_words(spark):
     def distance(a, b):
         table = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i * j}
