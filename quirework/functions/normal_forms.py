@@ -16,6 +16,10 @@ from .text import normalize
 _JOINING = r"\p{M}\x{1161}-\x{1175}\x{11A8}-\x{11C2}"
 
 
+#: Nothing before U+0300 changes or joins, which is told at once; the class has some hundred ranges.
+_LATER = r"(?=[^\x{0}-\x{2FF}])"
+
+
 @lru_cache(1)
 def changing() -> str:
     """A character class of all that composition may change: what it replaces even if it stands alone, and what may join the character before."""
@@ -32,7 +36,7 @@ def changing() -> str:
 def composed(c: Column | str) -> Column:
     """The text in NFC; null stays null. Python sees null in place of all texts that cannot change."""
     c = F.col(c) if isinstance(c, str) else c
-    odd = c.rlike(changing())
+    odd = c.rlike(_LATER + changing())
     return F.when(odd, nfc(F.when(odd, c))).otherwise(c)
 
 
