@@ -115,7 +115,7 @@ def q_fn_normalize_nfc(spark, d):
 FROM (SELECT *, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS w FROM conversations) WHERE len(w) > 3""")
 def q_sim_edit_diff(spark, d):
     """Present texts lack the first words of the oldest and have one more at the end: what was done is what the script tells."""
-    rows = turns(spark, d).withColumn("w", text.words("text")).where(F.size("w") > 3)
+    rows = readings.spread_out(turns(spark, d)).withColumn("w", text.words("text")).where(F.size("w") > 3)
     now = F.concat(F.array_join(F.slice("w", F.col("pos") % 3 + 1, F.size("w")), " "), F.when(F.col("pos") % 2 == 1, " \u00a7new").otherwise(""))
     rows = rows.select("object_id", "pos", F.array(F.struct(F.col("text").alias("original_transcription")), F.struct(F.lit("later").alias("original_transcription"))).alias("history"), now.alias("now"))
     rows = rows.withColumns({"d": edits.edit_diff(F.col("history"), F.col("now")), "common": edits.words_in_common(F.get("history", F.lit(0))["original_transcription"], F.col("now"))}).withColumn("s", similarity.diff_statistics(F.col("d")))
