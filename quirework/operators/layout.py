@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import PAGE_XML_TYPES
 from ..functions.text import lookup
+from .readings import spread_out
 
 
 def percent_box(left: Column, top: Column, right: Column, bottom: Column, width: Column, height: Column, from_bottom: bool = False) -> Column:
@@ -146,5 +147,6 @@ def merged_sources(model: DataFrame, regions: DataFrame, lines: DataFrame) -> Da
     detected = regions.select(*columns, "nth", F.lit(1).alias("rank"), F.lit("regions").alias("source")).unionByName(lines.withColumn("type", F.lit("paragraph")).select(*columns, "nth", F.lit(2).alias("rank"), F.lit("lines").alias("source")))
     every = model.select(*columns, "nth", F.lit(0).alias("rank"), F.lit("model").alias("source")).unionByName(detected)
     page = Window.partitionBy("object_id", "page")
+    every = spread_out(every, ("object_id", "page"))  # a task holds as much whatever the size of the tables
     kept = every.withColumn("best_", F.min("rank").over(page)).where("best_ > 0 or rank = 0")
     return kept.withColumn("nth", F.row_number().over(page.orderBy("rank", "nth"))).select(*columns, "source", "nth")

@@ -152,7 +152,7 @@ u AS (SELECT object_id, nth, 0 AS rank, 'heading' AS type, 'model' AS source FRO
 k AS (SELECT *, min(rank) OVER (PARTITION BY object_id) AS best FROM u)
 SELECT object_id, 1 AS page, type, nth * 0.5::DOUBLE AS x, source, CAST(row_number() OVER (PARTITION BY object_id ORDER BY rank, nth) AS INTEGER) AS nth FROM k WHERE best > 0 OR rank = 0""")
 def q_geo_fallback_merge(spark, d):
-    e = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("object_id"), F.lit(1).alias("page"), F.col("l_partkey").alias("nth")).distinct().withColumn("bbox", F.array(F.col("nth") * F.lit(0.5), F.lit(1.0), F.lit(2.0), F.lit(3.0)))
+    e = readings.spread_out(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("object_id"), F.lit(1).alias("page"), F.col("l_partkey").alias("nth")), ("object_id", "nth")).distinct().withColumn("bbox", F.array(F.col("nth") * F.lit(0.5), F.lit(1.0), F.lit(2.0), F.lit(3.0)))
     model = e.where("object_id % 3 = 0 and nth % 2 = 0").withColumn("type", F.lit("heading"))
     rows = layout.merged_sources(model, e.where("nth % 3 = 0").withColumn("type", F.lit("table")), e.where("nth % 3 = 1"))
     return rows.select("object_id", "page", "type", F.col("bbox")[0].alias("x"), "source", "nth")
