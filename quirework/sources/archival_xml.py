@@ -6,7 +6,7 @@ work on a column of text (`described`, `page_regions`), so XML that lies in a ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import PAGE_XML_TYPES
@@ -157,17 +157,16 @@ def percent(points: Column, width: Column, height: Column) -> Column:
 
 
 def _regions(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, image, width, height, region_id, type, bbox, reading_order, text. Regions that the reading order leaves out come last, in the order of the file."""
+    """keys, image, width, height, region_id, type, bbox, reading_order (of each document), text. Regions that the reading order leaves out come last, in the order of the file."""
     back = {v: k for k, v in PAGE_XML_TYPES.items()}
     p = F.col("page_")
     order = F.coalesce(_of(p, "ReadingOrder", "OrderedGroup", "RegionRefIndexed"), F.array().cast("array<struct<_regionRef:string,_index:int>>"))
-    rows = rows.select(*keys, p["_imageFilename"].alias("image"), p["_imageWidth"].alias("width"), p["_imageHeight"].alias("height"), order.alias("order_"), F.posexplode(p["TextRegion"]).alias("nth_", "r"))
-    place = F.array_min(F.transform(F.filter("order_", lambda o: o["_regionRef"] == F.col("r._id")), lambda o: o["_index"]))
-    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("place_").asc_nulls_last(), "nth_")).cast("int")
+    place = lambda r: F.array_min(F.transform(F.filter(order, lambda o: o["_regionRef"] == r["_id"]), lambda o: o["_index"]))
+    ranked = F.array_sort(F.transform(p["TextRegion"], lambda r, i: F.struct(F.coalesce(place(r).cast("long"), F.lit(1 << 40)).alias("place"), i.alias("nth"), r.alias("r"))))  # within the page: no shuffle
+    rows = rows.select(*keys, p["_imageFilename"].alias("image"), p["_imageWidth"].alias("width"), p["_imageHeight"].alias("height"), F.posexplode(ranked).alias("nth_", "s_")).select("*", "s_.r")
     kind = F.coalesce(lookup(F.col("r._type"), back), F.lit("paragraph"))
     text = F.coalesce(F.get(F.col("r.TextEquiv"), F.lit(0))["Unicode"], F.lit(""))
-    rows = rows.withColumn("place_", place)
-    return rows.select(*keys, "image", "width", "height", F.col("r._id").alias("region_id"), kind.alias("type"), percent(F.col("r.Coords._points"), F.col("width"), F.col("height")).alias("bbox"), ranked.alias("reading_order"), text.alias("text"))
+    return rows.select(*keys, "image", "width", "height", F.col("r._id").alias("region_id"), kind.alias("type"), percent(F.col("r.Coords._points"), F.col("width"), F.col("height")).alias("bbox"), (F.col("nth_") + 1).alias("reading_order"), text.alias("text"))
 
 
 _EXACT = {"rowTag": "PcGts", "ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
