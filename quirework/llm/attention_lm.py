@@ -6,9 +6,9 @@ back over a window; its sum, the current symbol and a hidden layer adjust a two-
 counts of symbol pairs in all training texts. Windows of 48 symbols overlap by 16, and each scores its last 32 (the first one all), so every symbol is
 scored once, with at least 16 of context where the text has them; windows of many texts are computed together, masked.
 
-Training: windows are drawn from all places of all training texts by a hash of the text and the window's number. About WARM of them make a start on
-the driver; one in SHARE goes on from it, dealt by that hash to replicas of about REPLICA windows, whose weights are averaged by what they
-saw. So the outcome depends on the texts, not on how the table is partitioned (but for the order in which numbers are added up). Word, id and pair counts cover
+Training: every window of every training text is trained on. Rows are dealt to ROUNDS rounds by a hash of doc_id and text, so that copies of a text part, and within a
+round in pieces of PIECE windows to replicas of about REPLICA windows. All replicas of a round start from the same weights, go once through their windows (more often, where these are few) and are averaged by what they
+saw. So the outcome depends on the rows, not on how the table is partitioned (but for the order in which numbers are added up). Word, id and pair counts cover
 every training text; of pairs whose second id is no symbol, the most frequent, at most PAIRS, are sent to the tasks, the others fall back to the ids' own counts.
 The base model is add-one smoothed word counts. Words are counted by 64-bit hash; the most frequent, at most HOT of them, are broadcast, the
 others joined.
@@ -36,12 +36,15 @@ SYMBOLS, CLASSES = 1024, 32
 PER_CLASS = SYMBOLS // CLASSES
 END, TAIL = 0, 1
 WINDOW, SCORED = 48, 32
+BACK = WINDOW - SCORED
 WIDTH, HIDDEN = 16, 24
 HOT = 1 << 20
 PAIRS = 1 << 20
 BLOCKS, HELD_PAIRS = 1_024, 4 << 20
-WARM, WARM_STEPS, BATCH = 32_768, 800, 64
-SHARE, REPLICA = 64, 8_192
+ROUNDS, REPLICA, PIECE = 8, 16_384, 64
+BATCH, STEPS = 128, 100
+FAST, SLOW = 8e-3, 2e-3
+WEIGHTS = 1 << 13
 PART = 500
 SEED = 5
 FOLDS, HELD = 7, 2
@@ -58,7 +61,7 @@ def _encode(path: str):
                 ids, counts = unit_ids(path, own=True).encode(lowered(data), off, 0)
                 ids, cuts = ids.astype(np.uint16), np.concatenate([[0], np.cumsum(counts)])
                 packed = [ids[a : b - 1].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.record_batch([rows.column("k64"), rows.column("k32"), rows.column("held_out"), pa.array(packed, pa.binary())], names=["k64", "k32", "held_out", "ids"])
+                yield pa.record_batch([rows.column("k64"), rows.column("k32"), rows.column("held_out"), rows.column("deal"), pa.array(packed, pa.binary())], names=["k64", "k32", "held_out", "deal", "ids"])
 
     return run
 
@@ -278,16 +281,30 @@ def windows_of(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     here.reshape(-1)[first * SCORED] = END
     targets.reshape(-1)[at] = flat
     targets.reshape(-1)[first * SCORED + counts] = END
-    before = np.full((len(here), WINDOW - SCORED), -1, np.int32)
-    before[1:] = here[:-1, SCORED - (WINDOW - SCORED) :]
+    before = np.full((len(here), BACK), -1, np.int32)
+    before[1:] = here[:-1, SCORED - BACK :]
     before[first] = -1
     return np.concatenate([before, here], axis=1), targets, np.repeat(np.arange(len(n)), blocks)
 
 
-_DISTANCE = np.arange(WINDOW - SCORED, WINDOW)[:, None] - np.arange(WINDOW)[None, :]
+_DISTANCE = np.arange(BACK, WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _MASK = np.where(_DISTANCE >= 0, 0, -1e9).astype(np.float32)
 
 
+def _summed_rows(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each symbol the sum of the rows at it: rows in the order of symbols, PER_CLASS symbols at a time as a product with zeros and ones."""
+    order = np.argsort(at, kind="stable")
+    at, rows = at[order], rows.take(order, axis=0)
+    one = np.zeros((len(at), PER_CLASS), np.float32)
+    one[np.arange(len(at)), at % PER_CLASS] = 1
+    cuts = np.searchsorted(at, np.arange(0, SYMBOLS + 1, PER_CLASS))
+    out = np.zeros((SYMBOLS, rows.shape[1]), np.float32)
+    for c in np.flatnonzero(np.diff(cuts)):
+        part = slice(cuts[c], cuts[c + 1])
+        out[c * PER_CLASS : (c + 1) * PER_CLASS] = one[part].T @ rows[part]
+    return out
+
+
 class Model:
     """Attention over a window, then classes and their symbols, as changes to the log odds of pair counts."""
 
@@ -312,7 +329,7 @@ class Model:
         at = 0
         for n in self.NAMES:
             old = getattr(self, n)
-            setattr(self, n, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
+            setattr(self, n, flat[at : at + old.size].reshape(old.shape).astype(np.float32, copy=False))
             at += old.size
 
     def score(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -322,7 +339,7 @@ class Model:
         s = np.matmul(self.q[here], (self.k * np.float32(WIDTH**-0.5))[i].transpose(0, 2, 1))
         s += (self.far[np.maximum(_DISTANCE, 0)] + _MASK)[None]
         np.exp(s, out=s)
-        s[inputs[:, WINDOW - SCORED - 1] < 0, :, : WINDOW - SCORED] = 0
+        s[inputs[:, BACK - 1] < 0, :, :BACK] = 0
         # The last column sums the weights.
         u = np.matmul(s, np.concatenate([self.v, np.ones((SYMBOLS, 1), np.float32)], axis=1)[i])
         goal = targets.reshape(-1)
@@ -352,93 +369,99 @@ class Model:
         return out.reshape(targets.shape)
 
     def run(self, inputs: np.ndarray, targets: np.ndarray, learn: bool = False):
-        """Natural-log odds of each target (0 where there is none), and with `learn` the gradients of their mean loss."""
-        n = len(inputs)
-        known = inputs >= 0
-        i = np.where(known, inputs, END)
-        here = i[:, -SCORED:]
-        q, k, v = self.q[here], self.k[i], self.v[i]
-        scale = np.float32(WIDTH**-0.5)
+        """Natural-log odds of each target (0 where there is none), and with `learn` the gradients of their mean loss. Attention is divided by its sum late, so gradients of a weight s are s (du v - du u) over that sum."""
+        n, scale = len(inputs), np.float32(WIDTH**-0.5)
+        i = np.maximum(inputs, END).astype(np.intp)
+        here = i[:, BACK:]
+        kv = np.concatenate([self.k * scale, self.v, np.ones((SYMBOLS, 1), np.float32)], axis=1).take(i, axis=0)
+        q, k, v = self.q.take(here, axis=0), kv[:, :, :WIDTH], kv[:, :, WIDTH:]
         s = np.matmul(q, k.transpose(0, 2, 1))
-        s *= scale
         s += (self.far[np.maximum(_DISTANCE, 0)] + _MASK)[None]
-        s += np.where(known, np.float32(0), np.float32(-1e9))[:, None, :]
-        s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
-        u = (np.matmul(s, v) + self.x[here]).reshape(-1, WIDTH)
-        flat, goal = here.reshape(-1), targets.reshape(-1)
+        s[inputs[:, BACK - 1] < 0, :, :BACK] = 0
+        u = np.matmul(s, v).reshape(-1, WIDTH + 1)
+        over = 1 / u[:, WIDTH:]
+        u = u[:, :WIDTH] * over
+        goal = targets.reshape(-1)
         live = np.flatnonzero(goal >= 0)
-        order = live[np.argsort(goal[live] // PER_CLASS, kind="stable")]  # symbols of a class together
-        u_, prev, goal_ = u[order], flat[order], goal[order]
-        h = u_ @ self.w1 + self.b1
+        order = live[np.argsort((goal[live] // PER_CLASS).astype(np.uint8), kind="stable")]  # symbols of a class together
+        goal, prev, rows = goal[order], here.reshape(-1)[order], np.arange(len(order))
+        cls, member = goal // PER_CLASS, goal % PER_CLASS
+        cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
+        parts = [(c, slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts))]
+        ones = np.ones(CLASSES, np.float32)
+        x = u[order]
+        x += self.x.take(prev, axis=0)
+        h = x @ self.w1
+        h += self.b1
         np.maximum(h, 0, out=h)
-        cls, member, rows = goal_ // PER_CLASS, goal_ % PER_CLASS, np.arange(len(order))
         zc = h @ self.wc
-        zc += self.bc[prev]
-        zc -= zc.max(axis=1, keepdims=True)
-        own = zc[rows, cls]
-        np.exp(zc, out=zc)
-        total = zc.sum(axis=1, keepdims=True)
-        logp = own - np.log(total[:, 0])
-        cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
-        zm = self.bm[prev, cls]
-        for c in range(CLASSES):
-            if cuts[c] < cuts[c + 1]:
-                part = slice(cuts[c], cuts[c + 1])
-                zm[part] += h[part] @ self.wm[c]
-        zm -= zm.max(axis=1, keepdims=True)
-        own = zm[rows, member]
-        np.exp(zm, out=zm)
-        inner = zm.sum(axis=1, keepdims=True)
-        logp += own - np.log(inner[:, 0])
-        out = np.zeros(n * SCORED)
+        zc += self.bc.take(prev, axis=0)
+        logp = zc[rows, cls].astype(np.float64)
+        total = np.exp(zc, out=zc) @ ones
+        zm = self.bm.reshape(-1, PER_CLASS).take(prev * CLASSES + cls, axis=0)
+        for c, part in parts:
+            zm[part] += h[part] @ self.wm[c]
+        logp += zm[rows, member]
+        inner = np.exp(zm, out=zm) @ ones
+        logp -= np.log(total) + np.log(inner)
+        out = np.zeros(targets.size)
         out[order] = logp
         if not learn:
-            return out.reshape(n, SCORED), None
+            return out.reshape(targets.shape), None
         m = np.float32(max(len(order), 1))
-        zc /= total
-        zm /= inner
-        zc[rows, cls] -= 1
-        zm[rows, member] -= 1
-        zc /= m
-        zm /= m
+        zc *= (1 / (total * m))[:, None]
+        zm *= (1 / (inner * m))[:, None]
+        zc[rows, cls] -= 1 / m
+        zm[rows, member] -= 1 / m
         g = {"wc": h.T @ zc, "wm": np.zeros_like(self.wm)}
         dh = zc @ self.wc.T
-        for c in range(CLASSES):
-            part = slice(cuts[c], cuts[c + 1])
+        for c, part in parts:
             g["wm"][c] = h[part].T @ zm[part]
             dh[part] += zm[part] @ self.wm[c].T
         dh *= h > 0
-        g["w1"], g["b1"] = u_.T @ dh, dh.sum(axis=0)
-        du = np.zeros_like(u)
-        du[order] = dh @ self.w1.T
-        g["x"] = np.zeros_like(self.x)
-        np.add.at(g["x"], flat, du)
-        du = du.reshape(n, SCORED, WIDTH)
+        g["w1"], g["b1"] = x.T @ dh, dh.sum(axis=0)
+        du = np.zeros((n * SCORED, WIDTH + 1), np.float32)
+        du[order, :WIDTH] = dh @ self.w1.T
+        by_place = np.zeros((n, WINDOW, 4 * WIDTH), np.float32)  # of q, k, v and x
+        by_place[:, BACK:, 3 * WIDTH :] = du[:, :WIDTH].reshape(n, SCORED, WIDTH)
+        du[:, :WIDTH] *= over
+        du[:, WIDTH] = -np.einsum("ij,ij->i", du[:, :WIDTH], u)
+        du = du.reshape(n, SCORED, WIDTH + 1)
+        by_place[:, :, 2 * WIDTH : 3 * WIDTH] = np.matmul(s.transpose(0, 2, 1), du[:, :, :WIDTH])
         ds = np.matmul(du, v.transpose(0, 2, 1))
-        ds = s * (ds - (ds * s).sum(axis=2, keepdims=True))
+        ds *= s
         g["far"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=ds.sum(axis=0).ravel(), minlength=WINDOW).astype(np.float32)
-        ds *= scale
-        for name, at, value in (("q", here, np.matmul(ds, k)), ("k", i, np.matmul(ds.transpose(0, 2, 1), q)), ("v", i, np.matmul(s.transpose(0, 2, 1), du))):
-            g[name] = np.zeros_like(self.q)
-            np.add.at(g[name], at.reshape(-1), value.reshape(-1, WIDTH))
-        return out.reshape(n, SCORED), np.concatenate([g[x].ravel() for x in self.NAMES])
+        by_place[:, BACK:, :WIDTH] = np.matmul(ds, k)
+        by_place[:, :, WIDTH : 2 * WIDTH] = np.matmul(ds.transpose(0, 2, 1), q * scale)
+        sums = _summed_rows(i.reshape(-1).astype(np.uint16), by_place.reshape(-1, 4 * WIDTH))
+        g["q"], g["k"], g["v"], g["x"] = np.split(sums, 4, axis=1)
+        return out.reshape(targets.shape), np.concatenate([g[x].ravel() for x in self.NAMES])
 
     def train(self, inputs: np.ndarray, targets: np.ndarray, rate: float, steps: int, seed: int = SEED) -> int:
-        """Adam over random batches; the number of symbols seen."""
+        """Adam over batches in random order, no window again before all others; the number of symbols seen."""
         if not len(inputs):
             return 0
         rng, w = np.random.default_rng(seed), self.get()
-        m, v, seen = np.zeros_like(w), np.zeros_like(w), 0
+        self.put(w)  # views, so that steps change the weights in place
+        m, v, seen, left = np.zeros_like(w), np.zeros_like(w), 0, np.zeros(0, np.int64)
         for t in range(1, steps + 1):
-            pick = rng.integers(0, len(inputs), BATCH)
+            left = left if len(left) else rng.permutation(len(inputs))
+            pick, left = left[:BATCH], left[BATCH:]
             seen += int((targets[pick] >= 0).sum())
             _, g = self.run(inputs[pick], targets[pick], learn=True)
-            m = 0.9 * m + 0.1 * g
-            v = 0.99 * v + 0.01 * g * g
-            w = w - rate * min(1.0, 2 * (1 - t / (steps + 1))) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-            self.put(w)
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.99
+            g *= g
+            g *= 0.01
+            v += g
+            np.sqrt(v, out=g)
+            g *= (1 - 0.99**t) ** -0.5
+            g += 1e-8
+            np.divide(m, g, out=g)
+            g *= rate * min(1.0, 2 * (1 - t / (steps + 1))) / (1 - 0.9**t)
+            w -= g
         return seen
 
 
@@ -450,60 +473,103 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint16)[ends[0] // 2 : ends[-1] // 2] if data is not None else np.zeros(0, np.uint16), np.diff(ends) // 2
 
 
-def _draw_windows(vocabulary: Vocabulary, warm: float, replicas: int):
-    """Windows of all places of all texts, drawn by hash: replica -1 for the start, others to go on."""
-    parts = 1 << 32
+def pieces(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """All windows of all texts, packed: the text of each piece, its number within the text, and its symbols, those that its first window looks back to and the one after its last window included; -1 where there is none."""
+    blocks = counts // SCORED + 1
+    size = BACK + blocks * SCORED + 1
+    start = np.cumsum(size) - size
+    line = np.full(int(size.sum()), -1, np.int16)
+    line[start + BACK] = END
+    line[spread(start + BACK + 1, counts)] = flat
+    n = -(-blocks // PIECE)
+    text = np.repeat(np.arange(len(counts)), n)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+    a = start[text] + nth * PIECE * SCORED
+    b = a + BACK + np.minimum(blocks[text] - nth * PIECE, PIECE) * SCORED + 1
+    return text, nth, [line[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+
+
+def unpacked(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and targets of the windows of pieces, as windows_of() has them."""
+    both = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(x, np.int16), WINDOW + 1)[::SCORED] for x in data]).astype(np.int32)
+    inputs, after = both[:, :WINDOW], both[:, BACK + 1 :]
+    return inputs, np.where((after < 0) & (inputs[:, BACK:] >= 0), END, after)
+
+
+def deal(ids: DataFrame, held, round_: int, replicas: int) -> DataFrame:
+    """replica, h, data: all windows of a round's rows. ids: deal, ids; held: a broadcast of the symbols of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, PART):
                 part = batch.slice(i, PART)
-                inputs, targets, text = windows_of(vocabulary.placed[_flat(part.column("ids"))[0]], n := _flat(part.column("ids"))[1])
-                k64 = part.column("k64").to_numpy()[text]
-                nth = np.arange(len(text)) - np.repeat(np.cumsum(b := n // SCORED + 1) - b, b)
-                h = mix(k64.view(np.uint64) ^ mix(nth.astype(np.uint64) + np.uint64(SEED)))
-                g = mix(h + np.uint64(1))
-                for rows, replica in ((np.flatnonzero((h >> np.uint64(32)) < int(warm * parts)), None), (np.flatnonzero(g % np.uint64(SHARE) == 0), (g >> np.uint64(32)) % np.uint64(replicas))):
-                    data = np.concatenate([inputs[rows], targets[rows]], axis=1).astype(np.int16)
-                    yield pa.record_batch([np.full(len(rows), -1, np.int32) if replica is None else replica[rows].astype(np.int32), h[rows].view(np.int64), pa.array([x.tobytes() for x in data], pa.binary())], names=["replica", "h", "data"])
+                flat, n = _flat(part.column("ids"))
+                text, nth, data = pieces(held.value[flat], n)
+                h = mix(part.column("deal").to_numpy()[text].view(np.uint64) ^ mix(nth.astype(np.uint64) + np.uint64(SEED)))
+                yield pa.record_batch([((h >> np.uint64(32)) % np.uint64(replicas)).astype(np.int32), h.view(np.int64), pa.array(data, pa.binary())], names=["replica", "h", "data"])
 
-    return run
-
-
-def _unpacked(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(b"".join(data), np.int16).reshape(-1, WINDOW + SCORED).astype(np.int32)
-    return both[:, :WINDOW], both[:, WINDOW:]
+    of_round = ids.where(F.pmod("deal", F.lit(ROUNDS)) == round_)
+    return of_round.select("deal", "ids").mapInArrow(run, "replica int, h long, data binary")
 
 
-def _train_replicas(held):
-    """Rows sorted by replica: the sum of the replicas' weights, times what each saw."""
+def _train_replicas(held, weights, rate: float):
+    """Rows sorted by replica: the sum of the replicas' weights, times what each saw, in blocks; what they saw, and the windows that they have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = held.value
-        total, seen, replica, data = 0.0, 0, None, []
+        total, seen, windows, replica, data = 0.0, 0, 0, None, []
 
         def learn():
             model = Model.__new__(Model)
-            model.__dict__.update(start.__dict__)
-            inputs, targets = _unpacked(data)
-            n = model.train(inputs, targets, 1e-3, -(-len(inputs) // BATCH))
-            return total + model.get().astype(np.float64) * n, seen + n
+            model.__dict__.update(held.value.__dict__)
+            model.put(weights.value)
+            inputs, targets = unpacked(data)
+            n = model.train(inputs, targets, rate, max(-(-len(inputs) // BATCH), STEPS))
+            return total + model.get().astype(np.float64) * n, seen + n, windows + len(inputs)
 
         for batch in batches:
             for r, x in zip(batch.column("replica").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 if r != replica and data:
-                    total, seen = learn()
+                    total, seen, windows = learn()
                     data = []
                 replica = r
                 data.append(x)
         if data:
-            total, seen = learn()
-            for i in range(0, len(total), 20_000):
-                yield pa.record_batch([np.arange(i, min(i + 20_000, len(total))), total[i : i + 20_000], np.full(len(total[i : i + 20_000]), seen, np.int64)], names=["at", "w", "seen"])
+            total, seen, windows = learn()
+            at = range(0, len(total), WEIGHTS)
+            yield pa.record_batch([pa.array([i // WEIGHTS for i in at], pa.int32()), pa.array([total[i : i + WEIGHTS].tobytes() for i in at], pa.binary()), np.full(len(at), seen), np.full(len(at), windows)], names=["block", "w", "seen", "windows"])
 
     return run
 
 
+def _sum_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _train_replicas, all of a block in one task: one row a block."""
+    sums: dict[int, list] = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            new = [np.frombuffer(r["w"], np.float64), r["seen"], r["windows"]]
+            sums[r["block"]] = [a + b for a, b in zip(sums[r["block"]], new, strict=True)] if r["block"] in sums else new
+    for b, (w, seen, windows) in sums.items():
+        yield pa.record_batch([pa.array([b], pa.int32()), pa.array([w.tobytes()], pa.binary()), np.array([seen]), np.array([windows])], names=["block", "w", "seen", "windows"])
+
+
+def train_on_all(model: Model, vocabulary: Vocabulary, ids: DataFrame, windows: float) -> int:
+    """Trains the model on every window of ids (deal, ids), about `windows`; the number of windows that it trained on."""
+    spark, done = ids.sparkSession, 0
+    replicas = max(1, round(windows / ROUNDS / REPLICA))
+    placed, held = spark.sparkContext.broadcast(vocabulary.placed), spark.sparkContext.broadcast(model)
+    schema = "block int, w binary, seen long, windows long"
+    for r in range(ROUNDS):
+        rate = FAST * (SLOW / FAST) ** (r / (ROUNDS - 1))
+        dealt = deal(ids, placed, r, replicas).repartition(min(shuffle_partitions(spark), replicas), "replica").sortWithinPartitions("replica", "h", "data")
+        trained = dealt.mapInArrow(_train_replicas(held, spark.sparkContext.broadcast(model.get()), rate), schema)
+        blocks = -(-len(model.get()) // WEIGHTS)
+        found = sorted(trained.repartition(min(shuffle_partitions(spark), blocks), "block").mapInArrow(_sum_weights, schema).collect())  # one row a block of weights
+        if found:
+            model.put(np.concatenate([np.frombuffer(x.w, np.float64) for x in found]) / found[0].seen)
+            done += found[0].windows
+    return done
+
+
 def pair_counts(ids: DataFrame) -> DataFrame:
     """block, pairs, n: all pairs of ids that follow each other, one row a block."""
     found = ids.select("ids").mapInArrow(_count_pairs, "block int, pairs binary, n binary")
@@ -512,8 +578,7 @@ def pair_counts(ids: DataFrame) -> DataFrame:
 
 
 def fit(ids: DataFrame, size: int, most: int = PAIRS) -> tuple[Vocabulary, Model, TailPairs]:
-    """ids: k64, ids (binary uint16) of the training texts."""
-    spark = ids.sparkSession
+    """ids: deal, ids (binary uint16) of the training texts."""
     pairs = pair_counts(ids)
 
     def by_index(fn, name: str) -> pa.Table:
@@ -546,18 +611,7 @@ def fit(ids: DataFrame, size: int, most: int = PAIRS) -> tuple[Vocabulary, Model
     tails = TailPairs(keys[order], n[order], vocabulary.tail_log)
 
     windows = max(1.0, total / SCORED + texts / 2)  # about as many
-    replicas = max(1, round(windows / SHARE / REPLICA))
-    drawn = written(ids.select("k64", "ids").mapInArrow(_draw_windows(vocabulary, min(1.0, WARM / windows), replicas), "replica int, h long, data binary"), "windows")
-    warm = sorted((r.h, bytes(r.data)) for r in drawn.where("replica < 0").collect())  # about WARM
-    if warm:
-        model.train(*_unpacked([x for _, x in warm]), 4e-3, WARM_STEPS)
-    held = spark.sparkContext.broadcast(model)
-    dealt = drawn.where("replica >= 0").repartition(min(shuffle_partitions(spark), replicas), "replica").sortWithinPartitions("replica", "h", "data")
-    sums = dealt.mapInArrow(_train_replicas(held), "at long, w double, seen long").groupBy("at").agg((F.sum("w") / F.sum("seen")).alias("w"), F.sum("seen").alias("seen")).where("seen > 0").toArrow()  # as many rows as the model has weights
-    if sums.num_rows:
-        w = np.zeros(sums.num_rows)
-        w[sums.column("at").to_numpy()] = sums.column("w").to_numpy()
-        model.put(w)
+    train_on_all(model, vocabulary, ids, windows)
     return vocabulary, model, tails
 
 
@@ -590,9 +644,10 @@ def lm_scores(docs: DataFrame, path: str) -> DataFrame:
     """docs: doc_id, text. doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", is_held_out().alias("held_out"), F.xxhash64("text").alias("k64"), F.hash("text").alias("k32"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select("k64", "k32", "held_out", F.xxhash64("doc_id", "k64").alias("deal"), "text")
     counts = word_counts(docs.where("not held_out"))
     rows, rare, total = base_scores(docs, counts, docs.where("not held_out").count())
-    ids = written(docs.select("k64", "k32", "held_out", "text").mapInArrow(_encode(path), "k64 long, k32 int, held_out boolean, ids binary"), "subword-ids")
+    ids = written(keyed.mapInArrow(_encode(path), "k64 long, k32 int, held_out boolean, deal long, ids binary"), "subword-ids")
     held = spark.sparkContext.broadcast(fit(ids.where("not held_out"), unit_ids(path).size))
     scores = ids.select("k64", "k32", "ids").mapInArrow(_score(held), "k64 long, k32 int, score double").groupBy("k64", "k32").agg(F.max("score").alias("score"))
     texts = written(scores.join(rare, ["k64", "k32"], "left"), "text-scores")  # one row a text, so that copies meet in a plain join

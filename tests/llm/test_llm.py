@@ -409,6 +409,46 @@ def test_windows_score_each_symbol_once():
     assert np.abs(model.score(inputs[-1:], targets[-1:]) - model.score(changed, targets[-1:]))[0, :31].max() < 1e-5
 
 
+def test_pieces_hold_every_window(monkeypatch):
+    rng = np.random.default_rng(2)
+    counts = np.array([0, 5, 31, 32, 33, 400, 0, 64])
+    flat = rng.integers(2, 1024, counts.sum()).astype(np.int32)
+    monkeypatch.setattr(attention_lm, "PIECE", 3)
+    text, nth, data = attention_lm.pieces(flat, counts)
+    assert len(set(zip(text.tolist(), nth.tolist(), strict=True))) == len(data) > len(counts)
+    inputs, targets, _ = attention_lm.windows_of(flat, counts)
+    got = attention_lm.unpacked(data)
+    assert np.array_equal(got[0], inputs) and np.array_equal(got[1], targets)
+
+
+def test_each_window_is_seen_once_in_a_pass():
+    rng = np.random.default_rng(4)
+    inputs, targets, _ = attention_lm.windows_of(rng.integers(2, 1024, 20_000).astype(np.int32), np.full(200, 100))
+    model = attention_lm.Model(np.ones((1024, 1024)))
+    assert model.train(inputs, targets, 1e-3, -(-len(inputs) // attention_lm.BATCH)) == (targets >= 0).sum()
+
+
+def test_language_model_trains_on_every_window(spark):
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 3_000, n).astype(np.uint16) for n in rng.integers(0, 200, 300)] + [np.arange(5_000, dtype=np.uint16)] * 100
+    rows = [(i * 0x9E3779B97F4A7C15 % (1 << 63), bytearray(t.tobytes())) for i, t in enumerate(texts)]
+    ids = spark.createDataFrame(rows, "deal long, ids binary").repartition(3)
+    flat, counts = np.concatenate(texts), np.array([len(t) for t in texts])
+    vocabulary = attention_lm.Vocabulary(np.bincount(flat, minlength=6_000))
+    model = attention_lm.Model(vocabulary.place(np.zeros((1024, 1024))))
+    before, windows = model.get(), int((counts // 32 + 1).sum())
+    assert attention_lm.train_on_all(model, vocabulary, ids, windows) == windows
+    assert np.isfinite(model.get()).all() and not np.array_equal(model.get(), before)
+    # In rounds and replicas, too, each window is dealt once, and copies of a text part.
+    held = spark.sparkContext.broadcast(vocabulary.placed)
+    dealt = [(r, x.replica, bytes(x.data)) for r in range(attention_lm.ROUNDS) for x in attention_lm.deal(ids, held, r, 4).collect()]
+    assert sum(len(attention_lm.unpacked([d])[0]) for _, _, d in dealt) == windows
+    whole = attention_lm.pieces(vocabulary.placed[flat], counts)[2]
+    assert Counter(d for _, _, d in dealt) == Counter(whole)
+    most = max(Counter(d for _, _, d in dealt).items(), key=lambda x: x[1])[0]
+    assert len({(r, replica) for r, replica, d in dealt if d == most}) > 16
+
+
 def test_gradients():
     rng = np.random.default_rng(1)
     inputs, targets, _ = attention_lm.windows_of(rng.integers(2, 1024, 90).astype(np.int32), np.array([90]))
