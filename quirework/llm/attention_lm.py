@@ -20,6 +20,7 @@ is dealt to a fold.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ ROUNDS, REPLICA, PIECE = 8, 16_384, 64
 BATCH, STEPS = 128, 100
 FAST, SLOW = 8e-3, 2e-3
 WEIGHTS = 1 << 13
+ONE_HOT = 16
 PART = 500
 SEED = 5
 FOLDS, HELD = 7, 2
@@ -292,16 +294,16 @@ _MASK = np.where(_DISTANCE >= 0, 0, -1e9).astype(np.float32)
 
 
 def _summed_rows(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For each symbol the sum of the rows at it: rows in the order of symbols, PER_CLASS symbols at a time as a product with zeros and ones."""
+    """For each symbol the sum of the rows at it: rows in the order of symbols, ONE_HOT symbols at a time as a product with zeros and ones."""
     order = np.argsort(at, kind="stable")
-    at, rows = at[order], rows.take(order, axis=0)
-    one = np.zeros((len(at), PER_CLASS), np.float32)
-    one[np.arange(len(at)), at % PER_CLASS] = 1
-    cuts = np.searchsorted(at, np.arange(0, SYMBOLS + 1, PER_CLASS))
+    at, rows = at.take(order), rows.take(order, axis=0)
+    one = np.zeros((len(at), ONE_HOT), np.float32)
+    one.reshape(-1)[np.arange(0, one.size, ONE_HOT) + at % ONE_HOT] = 1
+    cuts = np.searchsorted(at, np.arange(0, SYMBOLS + 1, ONE_HOT)).tolist()
     out = np.zeros((SYMBOLS, rows.shape[1]), np.float32)
-    for c in np.flatnonzero(np.diff(cuts)):
-        part = slice(cuts[c], cuts[c + 1])
-        out[c * PER_CLASS : (c + 1) * PER_CLASS] = one[part].T @ rows[part]
+    for c, (x, y) in enumerate(pairwise(cuts)):
+        if x < y:
+            np.matmul(one[x:y].T, rows[x:y], out=out[c * ONE_HOT : (c + 1) * ONE_HOT])
     return out
 
 
@@ -325,118 +327,105 @@ class Model:
     def get(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
 
-    def put(self, flat: np.ndarray) -> None:
-        at = 0
+    def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """The parts of what get() returns."""
+        out, at = {}, 0
         for n in self.NAMES:
             old = getattr(self, n)
-            setattr(self, n, flat[at : at + old.size].reshape(old.shape).astype(np.float32, copy=False))
+            out[n] = flat[at : at + old.size].reshape(old.shape)
             at += old.size
+        return out
+
+    def put(self, flat: np.ndarray) -> None:
+        self.__dict__.update(self.views(flat.astype(np.float32, copy=False)))
 
     def score(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """As run() without learning: the same sums in fewer passes. Scores are small, so powers need no shift. Inputs that lack stand before a text or after it, where none looks."""
-        i = np.maximum(inputs, END)
-        here = i[:, -SCORED:]
-        s = np.matmul(self.q[here], (self.k * np.float32(WIDTH**-0.5))[i].transpose(0, 2, 1))
-        s += (self.far[np.maximum(_DISTANCE, 0)] + _MASK)[None]
-        np.exp(s, out=s)
-        s[inputs[:, BACK - 1] < 0, :, :BACK] = 0
-        # The last column sums the weights.
-        u = np.matmul(s, np.concatenate([self.v, np.ones((SYMBOLS, 1), np.float32)], axis=1)[i])
-        goal = targets.reshape(-1)
-        live = np.flatnonzero(goal >= 0)
-        order = live[np.argsort((goal[live] // PER_CLASS).astype(np.uint8), kind="stable")]
-        goal = goal[order]
-        prev, cls, rows = here.reshape(-1)[order], goal // PER_CLASS, np.arange(len(order))
-        u = u.reshape(-1, WIDTH + 1)[order]
-        h = (u[:, :WIDTH] / u[:, WIDTH:]) @ self.w1
-        h += (self.x @ self.w1 + self.b1)[prev]
-        np.maximum(h, 0, out=h)
-        zc = h @ self.wc
-        zc += self.bc[prev]
-        ones = np.ones(CLASSES, np.float32)
-        logp = zc[rows, cls].astype(np.float64)
-        total = np.exp(zc, out=zc) @ ones
-        zm = self.bm.reshape(-1, PER_CLASS)[prev * CLASSES + cls]
-        cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            if cuts[c] < cuts[c + 1]:
-                zm[cuts[c] : cuts[c + 1]] += h[cuts[c] : cuts[c + 1]] @ self.wm[c]
-        logp += zm[rows, goal % PER_CLASS]
-        total *= np.exp(zm, out=zm) @ ones
-        logp -= np.log(total)
-        out = np.zeros(targets.size)
-        out[order] = logp
-        return out.reshape(targets.shape)
+        return self.run(inputs, targets)[0]
 
     def run(self, inputs: np.ndarray, targets: np.ndarray, learn: bool = False):
-        """Natural-log odds of each target (0 where there is none), and with `learn` the gradients of their mean loss. Attention is divided by its sum late, so gradients of a weight s are s (du v - du u) over that sum."""
+        """Natural-log odds of each target (0 where there is none), and with `learn` the gradients of their mean loss. Scores are small, so powers need no shift. Inputs that lack stand before a text or after it,
+        where none looks. Attention is divided by its sum late, so gradients of a weight s are s (du v - du u) over that sum. Odds of classes and of a class's symbols lie side by side, so that a class takes one product."""
         n, scale = len(inputs), np.float32(WIDTH**-0.5)
         i = np.maximum(inputs, END).astype(np.intp)
-        here = i[:, BACK:]
+        here = np.ascontiguousarray(i[:, BACK:])
+        # The last column sums the weights.
         kv = np.concatenate([self.k * scale, self.v, np.ones((SYMBOLS, 1), np.float32)], axis=1).take(i, axis=0)
         q, k, v = self.q.take(here, axis=0), kv[:, :, :WIDTH], kv[:, :, WIDTH:]
-        s = np.matmul(q, k.transpose(0, 2, 1))
+        s = np.matmul(q, k.transpose(0, 2, 1), out=np.empty((n, SCORED, WINDOW), np.float32))
         s += (self.far[np.maximum(_DISTANCE, 0)] + _MASK)[None]
         np.exp(s, out=s)
         s[inputs[:, BACK - 1] < 0, :, :BACK] = 0
         u = np.matmul(s, v).reshape(-1, WIDTH + 1)
-        over = 1 / u[:, WIDTH:]
-        u = u[:, :WIDTH] * over
         goal = targets.reshape(-1)
         live = np.flatnonzero(goal >= 0)
-        order = live[np.argsort((goal[live] // PER_CLASS).astype(np.uint8), kind="stable")]  # symbols of a class together
-        goal, prev, rows = goal[order], here.reshape(-1)[order], np.arange(len(order))
-        cls, member = goal // PER_CLASS, goal % PER_CLASS
-        cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
-        parts = [(c, slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts))]
-        ones = np.ones(CLASSES, np.float32)
-        x = u[order]
-        x += self.x.take(prev, axis=0)
+        order = live.take(np.argsort((goal.take(live) // PER_CLASS).astype(np.uint8), kind="stable"))  # symbols of a class together
+        goal, prev = goal.take(order), here.reshape(-1).take(order)
+        cls = goal // PER_CLASS
+        cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+        parts = [(c, slice(x, y)) for c, (x, y) in enumerate(pairwise(cuts)) if x < y]
+        u = u.take(order, axis=0)
+        over = 1 / u[:, WIDTH:]
+        u = u[:, :WIDTH] * over
+        x = u + self.x.take(prev, axis=0)
         h = x @ self.w1
         h += self.b1
         np.maximum(h, 0, out=h)
-        zc = h @ self.wc
-        zc += self.bc.take(prev, axis=0)
-        logp = zc[rows, cls].astype(np.float64)
-        total = np.exp(zc, out=zc) @ ones
-        zm = self.bm.reshape(-1, PER_CLASS).take(prev * CLASSES + cls, axis=0)
+        w = np.concatenate([np.broadcast_to(self.wc, (CLASSES, HIDDEN, CLASSES)), self.wm], axis=2)
+        z = np.empty((len(order), CLASSES + PER_CLASS), np.float32)
         for c, part in parts:
-            zm[part] += h[part] @ self.wm[c]
-        logp += zm[rows, member]
-        inner = np.exp(zm, out=zm) @ ones
-        logp -= np.log(total) + np.log(inner)
+            np.matmul(h[part], w[c], out=z[part])
+        z[:, :CLASSES] += self.bc.take(prev, axis=0)
+        z[:, CLASSES:] += self.bm.reshape(-1, PER_CLASS).take(prev * CLASSES + cls, axis=0)
+        flat, at = z.reshape(-1), np.arange(0, z.size, CLASSES + PER_CLASS)
+        at_class, at_member = at + cls, at + (CLASSES + goal % PER_CLASS)
+        logp = flat.take(at_class).astype(np.float64) + flat.take(at_member)
+        np.exp(z, out=z)
+        sums = np.stack([z[:, :CLASSES] @ np.ones(CLASSES, np.float32), z[:, CLASSES:] @ np.ones(PER_CLASS, np.float32)], axis=1)
+        logp -= np.log(sums[:, 0]) + np.log(sums[:, 1])
         out = np.zeros(targets.size)
         out[order] = logp
         if not learn:
             return out.reshape(targets.shape), None
         m = np.float32(max(len(order), 1))
-        zc *= (1 / (total * m))[:, None]
-        zm *= (1 / (inner * m))[:, None]
-        zc[rows, cls] -= 1 / m
-        zm[rows, member] -= 1 / m
-        g = {"wc": h.T @ zc, "wm": np.zeros_like(self.wm)}
-        dh = zc @ self.wc.T
+        z[:, :CLASSES] *= 1 / (sums[:, :1] * m)
+        z[:, CLASSES:] *= 1 / (sums[:, 1:] * m)
+        flat[at_class] -= 1 / m
+        flat[at_member] -= 1 / m
+        w, dw, dh = np.ascontiguousarray(w.transpose(0, 2, 1)), np.zeros_like(w), np.empty_like(h)
         for c, part in parts:
-            g["wm"][c] = h[part].T @ zm[part]
-            dh[part] += zm[part] @ self.wm[c].T
+            np.matmul(h[part].T, z[part], out=dw[c])
+            np.matmul(z[part], w[c], out=dh[part])
         dh *= h > 0
-        g["w1"], g["b1"] = x.T @ dh, dh.sum(axis=0)
-        du = np.zeros((n * SCORED, WIDTH + 1), np.float32)
-        du[order, :WIDTH] = dh @ self.w1.T
-        by_place = np.zeros((n, WINDOW, 4 * WIDTH), np.float32)  # of q, k, v and x
-        by_place[:, BACK:, 3 * WIDTH :] = du[:, :WIDTH].reshape(n, SCORED, WIDTH)
-        du[:, :WIDTH] *= over
-        du[:, WIDTH] = -np.einsum("ij,ij->i", du[:, :WIDTH], u)
-        du = du.reshape(n, SCORED, WIDTH + 1)
-        by_place[:, :, 2 * WIDTH : 3 * WIDTH] = np.matmul(s.transpose(0, 2, 1), du[:, :, :WIDTH])
-        ds = np.matmul(du, v.transpose(0, 2, 1))
+        found = np.empty(sum(getattr(self, x).size for x in self.NAMES), np.float32)
+        g = self.views(found)
+        g["wc"][:], g["wm"][:] = dw[:, :, :CLASSES].sum(axis=0), dw[:, :, CLASSES:]
+        g["w1"][:], g["b1"][:] = x.T @ dh, np.ones(len(dh), np.float32) @ dh
+        # By place: du over the sum of weights, that of the sum, and du as such; zeros where there is no target.
+        du = np.zeros((len(order) + 1, 2 * WIDTH + 1), np.float32)
+        dx = dh @ self.w1.T
+        du[:-1, WIDTH + 1 :] = dx
+        dx *= over
+        du[:-1, :WIDTH] = dx
+        dx *= u
+        du[:-1, WIDTH] = dx @ np.full(WIDTH, -1, np.float32)
+        back = np.full(targets.size, len(order))
+        back[order] = np.arange(len(order))
+        du = du.take(back, axis=0).reshape(n, SCORED, 2 * WIDTH + 1)
+        by_place = np.empty((n, WINDOW, 4 * WIDTH), np.float32)  # of q, k, v and x
+        by_place[:, :BACK, :WIDTH] = by_place[:, :BACK, 3 * WIDTH :] = 0
+        by_place[:, BACK:, 3 * WIDTH :] = du[:, :, WIDTH + 1 :]
+        np.matmul(s.transpose(0, 2, 1), du[:, :, :WIDTH], out=by_place[:, :, 2 * WIDTH : 3 * WIDTH])
+        ds = np.matmul(du[:, :, : WIDTH + 1], v.transpose(0, 2, 1), out=np.empty_like(s))
         ds *= s
-        g["far"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=ds.sum(axis=0).ravel(), minlength=WINDOW).astype(np.float32)
-        by_place[:, BACK:, :WIDTH] = np.matmul(ds, k)
-        by_place[:, :, WIDTH : 2 * WIDTH] = np.matmul(ds.transpose(0, 2, 1), q * scale)
+        by_pair = np.ones(n, np.float32) @ ds.reshape(n, -1)
+        g["far"][:] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=by_pair, minlength=WINDOW)
+        np.matmul(ds, k, out=by_place[:, BACK:, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=by_place[:, :, WIDTH : 2 * WIDTH])
         sums = _summed_rows(i.reshape(-1).astype(np.uint16), by_place.reshape(-1, 4 * WIDTH))
-        g["q"], g["k"], g["v"], g["x"] = np.split(sums, 4, axis=1)
-        return out.reshape(targets.shape), np.concatenate([g[x].ravel() for x in self.NAMES])
+        for c, name in enumerate("qkvx"):
+            g[name][:] = sums[:, c * WIDTH : (c + 1) * WIDTH]
+        g["k"] *= scale
+        return out.reshape(targets.shape), found
 
     def train(self, inputs: np.ndarray, targets: np.ndarray, rate: float, steps: int, seed: int = SEED) -> int:
         """Adam over batches in random order, no window again before all others; the number of symbols seen."""

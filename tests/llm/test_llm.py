@@ -463,6 +463,35 @@ def test_gradients():
         assert (loss(w + step) - loss(w - step)) / 6e-3 == pytest.approx(g[at], rel=0.1, abs=1e-4)
 
 
+def test_language_model_scores_symbol_by_symbol():
+    rng = np.random.default_rng(7)
+    counts = np.array([0, 3, 31, 32, 70])
+    inputs, targets, _ = attention_lm.windows_of(rng.integers(2, 1024, counts.sum()).astype(np.int32), counts)
+    m = attention_lm.Model(rng.integers(0, 9, (1024, 1024)).astype(float))
+    m.train(inputs, targets, 1e-2, 5)
+    softmax_log = lambda z, at: z[at] - np.log(np.exp(z).sum())
+    for got, x, goals in zip(m.score(inputs, targets), inputs, targets, strict=True):
+        for t, goal in enumerate(goals):
+            if goal < 0:
+                assert got[t] == 0
+                continue
+            p, c = 16 + t, goal // 32
+            seen = [j for j in range(p + 1) if x[j] >= 0]
+            w = np.array([np.exp(m.q[x[p]].astype(float) @ m.k[x[j]] / 4 + m.far[p - j]) for j in seen])
+            u = w @ m.v[x[seen]] / w.sum()
+            h = np.maximum((u + m.x[x[p]]) @ m.w1 + m.b1, 0)
+            expected = softmax_log(h @ m.wc + m.bc[x[p]], c) + softmax_log(h @ m.wm[c] + m.bm[x[p], c], goal % 32)
+            assert got[t] == pytest.approx(expected, abs=1e-4)
+
+
+def test_sums_by_symbol():
+    rng = np.random.default_rng(8)
+    at, rows = np.append(rng.zipf(1.3, 500) % 1024, [0, 1023]).astype(np.uint16), rng.standard_normal((502, 6)).astype(np.float32)
+    expected = np.zeros((1024, 6))
+    np.add.at(expected, at, rows)
+    assert np.allclose(attention_lm._summed_rows(at, rows), expected, atol=1e-4)
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((300, 32))
