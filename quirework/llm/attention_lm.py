@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, mix, shuffle_partitions, spread, text_slices, word_hashes, word_spans, written
+from .common import Lookup, documents, mix, shuffle_partitions, spread, text_slices, word_hashes, word_spans, written
 from .quality import lowered
 from .token_files import SLICE
 from .vocabularies import tokenizer_path
@@ -46,7 +46,6 @@ ROUNDS, REPLICA, PIECE = 8, 16_384, 64
 BATCH, STEPS = 128, 100
 FAST, SLOW = 8e-3, 2e-3
 WEIGHTS = 1 << 13
-ONE_HOT = 16
 PART = 500
 SEED = 5
 FOLDS, HELD = 7, 2
@@ -101,18 +100,18 @@ def base_scores(docs: DataFrame, counts: DataFrame, n_train_docs: int, hot: int
     words, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     total = (words or 0) + n_train_docs
     size = total + (distinct or 0) + (n_train_docs > 0) + 1
-    held = spark.sparkContext.broadcast(hottest(counts, hot))  # bounded by `hot`
+    keys, n_hot = hottest(counts, hot)
+    held = spark.sparkContext.broadcast((Lookup(keys), n_hot))  # bounded by `hot`
     floor = float(np.log10(size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n = held.value
+        places, n = held.value
         logs = np.log10(n + 1.0) - floor
         for batch in batches:
             for rows, data, off in text_slices(batch, "text"):
                 h, per = _words(data, off)
                 row = np.repeat(np.arange(len(per)), per)
-                at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-                hit = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+                at, hit = places(h)
                 known = np.bincount(row[hit], minlength=len(per)) + (n_train_docs > 0)
                 score = np.bincount(row[hit], weights=logs[at[hit]], minlength=len(per)) + np.log10(n_train_docs + 1.0) - floor
                 r, v = row[~hit], h[~hit]
@@ -291,19 +290,18 @@ def windows_of(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 _DISTANCE = np.arange(BACK, WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _MASK = np.where(_DISTANCE >= 0, 0, -1e9).astype(np.float32)
+_BACKWARD = np.maximum(_DISTANCE, 0)
 
 
-def _summed_rows(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For each symbol the sum of the rows at it: rows in the order of symbols, ONE_HOT symbols at a time as a product with zeros and ones."""
+def _summed_rows(at: np.ndarray, *parts: np.ndarray) -> list[np.ndarray]:
+    """For each symbol the sum of the rows at it, for each of the parts: rows in the order of symbols, added run by run."""
     order = np.argsort(at, kind="stable")
-    at, rows = at.take(order), rows.take(order, axis=0)
-    one = np.zeros((len(at), ONE_HOT), np.float32)
-    one.reshape(-1)[np.arange(0, one.size, ONE_HOT) + at % ONE_HOT] = 1
-    cuts = np.searchsorted(at, np.arange(0, SYMBOLS + 1, ONE_HOT)).tolist()
-    out = np.zeros((SYMBOLS, rows.shape[1]), np.float32)
-    for c, (x, y) in enumerate(pairwise(cuts)):
-        if x < y:
-            np.matmul(one[x:y].T, rows[x:y], out=out[c * ONE_HOT : (c + 1) * ONE_HOT])
+    at = at.take(order)
+    cuts = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+    out = []
+    for rows in parts:
+        out.append(np.zeros((SYMBOLS, rows.shape[1]), np.float32))
+        out[-1][at[cuts]] = np.add.reduceat(rows.take(order, axis=0), cuts, axis=0)
     return out
 
 
@@ -352,7 +350,7 @@ class Model:
         kv = np.concatenate([self.k * scale, self.v, np.ones((SYMBOLS, 1), np.float32)], axis=1).take(i, axis=0)
         q, k, v = self.q.take(here, axis=0), kv[:, :, :WIDTH], kv[:, :, WIDTH:]
         s = np.matmul(q, k.transpose(0, 2, 1), out=np.empty((n, SCORED, WINDOW), np.float32))
-        s += (self.far[np.maximum(_DISTANCE, 0)] + _MASK)[None]
+        s += self.far[_BACKWARD] + _MASK
         np.exp(s, out=s)
         s[inputs[:, BACK - 1] < 0, :, :BACK] = 0
         u = np.matmul(s, v).reshape(-1, WIDTH + 1)
@@ -366,7 +364,8 @@ class Model:
         u = u.take(order, axis=0)
         over = 1 / u[:, WIDTH:]
         u = u[:, :WIDTH] * over
-        x = u + self.x.take(prev, axis=0)
+        x = self.x.take(prev, axis=0)
+        x += u
         h = x @ self.w1
         h += self.b1
         np.maximum(h, 0, out=h)
@@ -380,15 +379,16 @@ class Model:
         at_class, at_member = at + cls, at + (CLASSES + goal % PER_CLASS)
         logp = flat.take(at_class).astype(np.float64) + flat.take(at_member)
         np.exp(z, out=z)
-        sums = np.stack([z[:, :CLASSES] @ np.ones(CLASSES, np.float32), z[:, CLASSES:] @ np.ones(PER_CLASS, np.float32)], axis=1)
-        logp -= np.log(sums[:, 0]) + np.log(sums[:, 1])
+        halves = z.reshape(-1, PER_CLASS)  # as wide as the classes are many
+        sums = (halves @ np.ones(PER_CLASS, np.float32)).reshape(-1, 2)
+        logp -= np.log(sums[:, 0] * sums[:, 1].astype(np.float64))
         out = np.zeros(targets.size)
         out[order] = logp
         if not learn:
             return out.reshape(targets.shape), None
         m = np.float32(max(len(order), 1))
-        z[:, :CLASSES] *= 1 / (sums[:, :1] * m)
-        z[:, CLASSES:] *= 1 / (sums[:, 1:] * m)
+        sums *= m
+        halves *= (1 / sums).reshape(-1, 1)
         flat[at_class] -= 1 / m
         flat[at_member] -= 1 / m
         w, dw, dh = np.ascontiguousarray(w.transpose(0, 2, 1)), np.zeros_like(w), np.empty_like(h)
@@ -400,31 +400,28 @@ class Model:
         g = self.views(found)
         g["wc"][:], g["wm"][:] = dw[:, :, :CLASSES].sum(axis=0), dw[:, :, CLASSES:]
         g["w1"][:], g["b1"][:] = x.T @ dh, np.ones(len(dh), np.float32) @ dh
-        # By place: du over the sum of weights, that of the sum, and du as such; zeros where there is no target.
-        du = np.zeros((len(order) + 1, 2 * WIDTH + 1), np.float32)
-        dx = dh @ self.w1.T
-        du[:-1, WIDTH + 1 :] = dx
-        dx *= over
-        du[:-1, :WIDTH] = dx
-        dx *= u
-        du[:-1, WIDTH] = dx @ np.full(WIDTH, -1, np.float32)
+        # By place: du over the sum of weights and that of the sum, and du as such; zeros where there is no target.
+        dx, du = np.zeros((len(order) + 1, WIDTH), np.float32), np.zeros((len(order) + 1, WIDTH + 1), np.float32)
+        np.matmul(dh, self.w1.T, out=dx[:-1])
+        np.multiply(dx[:-1], over, out=du[:-1, :WIDTH])
+        u *= du[:-1, :WIDTH]
+        np.matmul(u, np.full(WIDTH, -1, np.float32), out=du[:-1, WIDTH])
         back = np.full(targets.size, len(order))
         back[order] = np.arange(len(order))
-        du = du.take(back, axis=0).reshape(n, SCORED, 2 * WIDTH + 1)
-        by_place = np.empty((n, WINDOW, 4 * WIDTH), np.float32)  # of q, k, v and x
-        by_place[:, :BACK, :WIDTH] = by_place[:, :BACK, 3 * WIDTH :] = 0
-        by_place[:, BACK:, 3 * WIDTH :] = du[:, :, WIDTH + 1 :]
-        np.matmul(s.transpose(0, 2, 1), du[:, :, :WIDTH], out=by_place[:, :, 2 * WIDTH : 3 * WIDTH])
-        ds = np.matmul(du[:, :, : WIDTH + 1], v.transpose(0, 2, 1), out=np.empty_like(s))
+        dx, du = dx.take(back, axis=0), du.take(back, axis=0).reshape(n, SCORED, WIDTH + 1)
+        dkv = np.empty((n, WINDOW, 2 * WIDTH), np.float32)
+        np.matmul(s.transpose(0, 2, 1), du[:, :, :WIDTH], out=dkv[:, :, WIDTH:])
+        ds = np.matmul(du, v.transpose(0, 2, 1), out=np.empty_like(s))
         ds *= s
         by_pair = np.ones(n, np.float32) @ ds.reshape(n, -1)
-        g["far"][:] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=by_pair, minlength=WINDOW)
-        np.matmul(ds, k, out=by_place[:, BACK:, :WIDTH])
-        np.matmul(ds.transpose(0, 2, 1), q, out=by_place[:, :, WIDTH : 2 * WIDTH])
-        sums = _summed_rows(i.reshape(-1).astype(np.uint16), by_place.reshape(-1, 4 * WIDTH))
-        for c, name in enumerate("qkvx"):
-            g[name][:] = sums[:, c * WIDTH : (c + 1) * WIDTH]
-        g["k"] *= scale
+        g["far"][:] = np.bincount(_BACKWARD.ravel(), weights=by_pair, minlength=WINDOW)
+        dq = ds @ k
+        np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
+        i = i.astype(np.uint16)
+        (sums,) = _summed_rows(i.reshape(-1), dkv.reshape(-1, 2 * WIDTH))
+        np.multiply(sums[:, :WIDTH], scale, out=g["k"])
+        g["v"][:] = sums[:, WIDTH:]
+        g["q"][:], g["x"][:] = _summed_rows(i[:, BACK:].reshape(-1), dq.reshape(-1, WIDTH), dx)
         return out.reshape(targets.shape), found
 
     def train(self, inputs: np.ndarray, targets: np.ndarray, rate: float, steps: int, seed: int = SEED) -> int:
@@ -433,14 +430,15 @@ class Model:
             return 0
         rng, w = np.random.default_rng(seed), self.get()
         self.put(w)  # views, so that steps change the weights in place
-        m, v, seen, left = np.zeros_like(w), np.zeros_like(w), 0, np.zeros(0, np.int64)
+        m, v, part, seen, left = np.zeros_like(w), np.zeros_like(w), np.empty_like(w), 0, np.zeros(0, np.int64)
+        symbols = (targets >= 0).sum(axis=1)
         for t in range(1, steps + 1):
             left = left if len(left) else rng.permutation(len(inputs))
             pick, left = left[:BATCH], left[BATCH:]
-            seen += int((targets[pick] >= 0).sum())
-            _, g = self.run(inputs[pick], targets[pick], learn=True)
+            seen += int(symbols[pick].sum())
+            _, g = self.run(inputs.take(pick, axis=0), targets.take(pick, axis=0), learn=True)
             m *= 0.9
-            m += 0.1 * g
+            m += np.multiply(g, 0.1, out=part)
             v *= 0.99
             g *= g
             g *= 0.01
@@ -485,8 +483,12 @@ def unpacked(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return inputs, np.where((after < 0) & (inputs[:, BACK:] >= 0), END, after)
 
 
+def round_of(deal: str):
+    return F.pmod(deal, F.lit(ROUNDS)).cast("int")
+
+
 def deal(ids: DataFrame, held, round_: int, replicas: int) -> DataFrame:
-    """replica, h, data: all windows of a round's rows. ids: deal, ids; held: a broadcast of the symbols of ids."""
+    """replica, h, data: all windows of a round's rows. ids: deal, ids, and round where the table has a folder for each; held: a broadcast of the symbols of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -497,7 +499,7 @@ def deal(ids: DataFrame, held, round_: int, replicas: int) -> DataFrame:
                 h = mix(part.column("deal").to_numpy()[text].view(np.uint64) ^ mix(nth.astype(np.uint64) + np.uint64(SEED)))
                 yield pa.record_batch([((h >> np.uint64(32)) % np.uint64(replicas)).astype(np.int32), h.view(np.int64), pa.array(data, pa.binary())], names=["replica", "h", "data"])
 
-    of_round = ids.where(F.pmod("deal", F.lit(ROUNDS)) == round_)
+    of_round = ids.where((F.col("round") if "round" in ids.columns else round_of("deal")) == round_)
     return of_round.select("deal", "ids").mapInArrow(run, "replica int, h long, data binary")
 
 
@@ -632,11 +634,12 @@ def _score(held):
 def lm_scores(docs: DataFrame, path: str) -> DataFrame:
     """docs: doc_id, text. doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", is_held_out().alias("held_out"), F.xxhash64("text").alias("k64"), F.hash("text").alias("k32"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))  # for the keys, too, so that a null text scores as an empty one does
+    docs = docs.select("doc_id", is_held_out().alias("held_out"), F.xxhash64(text).alias("k64"), F.hash(text).alias("k32"), text.alias("text"))
     keyed = docs.select("k64", "k32", "held_out", F.xxhash64("doc_id", "k64").alias("deal"), "text")
     counts = word_counts(docs.where("not held_out"))
     rows, rare, total = base_scores(docs, counts, docs.where("not held_out").count())
-    ids = written(keyed.mapInArrow(_encode(path), "k64 long, k32 int, held_out boolean, deal long, ids binary"), "subword-ids")
+    ids = written(keyed.mapInArrow(_encode(path), "k64 long, k32 int, held_out boolean, deal long, ids binary").withColumn("round", round_of("deal")), "subword-ids", ("round",))
     held = spark.sparkContext.broadcast(fit(ids.where("not held_out"), unit_ids(path).size))
     scores = ids.select("k64", "k32", "ids").mapInArrow(_score(held), "k64 long, k32 int, score double").groupBy("k64", "k32").agg(F.max("score").alias("score"))
     texts = written(scores.join(rare, ["k64", "k32"], "left"), "text-scores")  # one row a text, so that copies meet in a plain join

@@ -34,11 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     return place
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, kept as a Parquet table in the shared folder: later jobs read them from there, and a lost executor costs nothing but its tasks."""
+def written(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The rows, kept as a Parquet table in the shared folder: later jobs read them from there, and a lost executor costs nothing but its tasks. by: columns with a folder for each value, so that a job that asks for one reads no other."""
     spark = df.sparkSession
     place = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(place)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(place)
     return spark.read.schema(df.schema).parquet(place)
 
 
@@ -118,6 +118,27 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+class Lookup:
+    """Places of 64-bit hashes in a sorted table of such hashes. The first bits tell where to look; as hashes are spread evenly, few steps are left from there."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = len(keys).bit_length() + 1
+        self.n, self.shift, self.keys = len(keys), U64(64 - bits), np.append(keys, ~U64(0))
+        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash stands, as np.searchsorted has it, and whether it is there."""
+        at = self.first.take((h >> self.shift).view(np.int64))
+        todo = np.flatnonzero(self.keys.take(at) < h)
+        left = h.take(todo)
+        while len(todo):
+            next_ = at.take(todo) + 1
+            at[todo] = next_
+            on = self.keys.take(next_) < left
+            todo, left = todo[on], left[on]
+        return at, (self.keys.take(at) == h) & (at < self.n)
+
+
 def rolling(h: np.ndarray, width: int, base: int = 0xD1342543DE82EF95) -> np.ndarray:
     """Rabin-Karp: the polynomial hash, modulo 2**64, of each run of `width` values of h; one prefix sum serves all runs."""
     n = len(h)

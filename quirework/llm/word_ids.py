@@ -12,7 +12,7 @@ import os
 import numpy as np
 
 from .bpe import Merges
-from .common import spread, word_hashes, word_spans
+from .common import Lookup, spread, word_hashes, word_spans
 
 #: Units that a worker remembers.
 MEMO = 2_000_000
@@ -81,6 +81,7 @@ class UnitIds:
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
+        self.table = Lookup(self.keys)
         self.starts, self.counts, self.flat = np.zeros(0, np.int32), np.zeros(0, np.int16), np.zeros(0, np.int32)
 
     def library(self, text: str) -> list[int]:
@@ -111,6 +112,7 @@ class UnitIds:
         starts = len(self.flat) + np.cumsum(counts) - counts
         order = np.argsort(merged := np.concatenate([self.keys, *got_keys]), kind="stable")
         self.keys = merged[order]
+        self.table = Lookup(self.keys)
         self.starts = np.concatenate([self.starts, starts.astype(np.int32)])[order]
         self.counts = np.concatenate([self.counts, counts.astype(np.int32)])[order]
         self.flat = np.concatenate([self.flat, *got_ids])
@@ -121,14 +123,15 @@ class UnitIds:
             self.forget()
         low, first, last, odd, per_row = units(data, off)
         h = word_hashes(low, first, last) ^ np.where(odd, np.uint64(0x5DEECE66D), np.uint64(0))
-        distinct, example, at = np.unique(h, return_index=True, return_inverse=True)
-        new = distinct[~np.isin(distinct, self.keys, assume_unique=True)]
-        if len(new):
-            where = example[np.searchsorted(distinct, new)]
+        place, known = self.table(h)
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            new, example = np.unique(h[missing], return_index=True)
+            where = missing[example]
             raw = low.tobytes()
             texts = [raw[a:b].decode() for a, b in zip(first[where].tolist(), last[where].tolist(), strict=True)]
             self.learn(new, texts, odd[where] | (_CLASS[low[first[where]]] == _DIGIT))
-        place = np.searchsorted(self.keys, distinct)[at]
+            place, _ = self.table(h)
         lengths = self.counts[place].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(per_row)

@@ -11,7 +11,7 @@ import pytest
 from compare import same_rows
 from pyspark.sql import functions as F
 
-from quirework.llm import attention_lm, audio_features, bpe, components, embedding_dedup, minhash_dedup, mixing, quality, registry, sharding, substring_dedup, token_files, word_ids
+from quirework.llm import attention_lm, audio_features, bpe, common, components, embedding_dedup, minhash_dedup, mixing, quality, registry, sharding, substring_dedup, token_files, word_ids
 from quirework.llm.common import rolling, sliding_min
 from quirework.llm.vocabularies import tokenizer_path
 
@@ -492,6 +492,41 @@ def test_sums_by_symbol():
     assert np.allclose(attention_lm._summed_rows(at, rows), expected, atol=1e-4)
 
 
+def test_sums_by_symbol_of_several_parts():
+    rng = np.random.default_rng(9)
+    at = (rng.zipf(1.3, 300) % 1024).astype(np.uint16)
+    parts = [rng.standard_normal((300, n)).astype(np.float32) for n in (3, 5)]
+    for rows, got in zip(parts, attention_lm._summed_rows(at, *parts), strict=True):
+        expected = np.zeros((1024, rows.shape[1]))
+        np.add.at(expected, at, rows)
+        assert np.allclose(got, expected, atol=1e-4)
+    assert not attention_lm._summed_rows(at[:0], parts[0][:0])[0].any()
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(10)
+    top = ~np.uint64(0)
+    even = rng.integers(0, 1 << 64, 5_000, dtype=np.uint64)
+    for keys in (even, even[:1], even[:0], np.append(even, np.array([0, top], np.uint64)), np.arange(300, dtype=np.uint64)):
+        keys = np.unique(keys)
+        h = np.concatenate([keys, keys + np.uint64(1), rng.integers(0, 1 << 64, 500, dtype=np.uint64), np.array([0, top], np.uint64)])
+        at, there = common.Lookup(keys)(h)
+        assert np.array_equal(at, np.searchsorted(keys, h)) and np.array_equal(there, np.isin(h, keys))
+
+
+def test_a_round_reads_only_its_rows(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(x), bytearray(rng.integers(0, 3_000, 40).astype(np.uint16).tobytes())) for x in rng.integers(-(1 << 63), 1 << 63, 200)]
+    plain = spark.createDataFrame(rows, "deal long, ids binary").withColumn("round", attention_lm.round_of("deal"))
+    ids = common.written(plain, "ids", ("round",))
+    held = spark.sparkContext.broadcast(attention_lm.Vocabulary(np.ones(6_000)).symbol)
+    for r in range(attention_lm.ROUNDS):
+        dealt = attention_lm.deal(ids, held, r, 4)
+        filters = dealt._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+        assert "round#" in filters and f" = {r})" in filters
+        assert Counter(map(tuple, dealt.collect())) == Counter(map(tuple, attention_lm.deal(plain.drop("round"), held, r, 4).collect()))
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((300, 32))
